@@ -71,7 +71,7 @@ def look_back(
     read for it; symbols that have fewer rows there are searched in the older dates, and only those symbols.
     """
     span = date_span(new, date)
-    if span.low is None:
+    if span.low is None or history.isEmpty():
         return history.limit(0)
     firsts = new.groupBy(symbol).agg(F.min(at).alias("_first"))
     edge = F.date_sub(F.lit(span.low), days)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.session import cut_lineage
@@ -40,9 +40,8 @@ def _trailing(df, value, window, rows, average, count, exact):
     total = F.col("_sum") - F.lag("_sum", rows, 0).over(window)
     held = F.col("_n") - F.lag("_n", rows, 0).over(window)
     framed = running.withColumns({"_total": total, count: held})
-    return framed.withColumn(
-        average, F.try_divide(F.col("_total").cast("double"), F.col(count).cast("double"))
-    ).drop("_sum", "_n", "_total")
+    mean = F.try_divide(F.col("_total").cast("double"), F.col(count).cast("double"))
+    return framed.select(*df.columns, mean.alias(average), count)
 
 
 def trailing_rows_plain(
@@ -96,7 +95,7 @@ def trailing_rows_chunked(
     placed = (
         join_null_safe(numbered, shifts, [*keys, "_range"])
         .select(*df.columns, (F.col("_number") + F.col("_shift")).alias("_position"))
-        .withColumn("_home", F.floor(F.col("_position") / chunk_rows))
+        .withColumn("_home", F.expr(f"_position div {chunk_rows}"))
     )
     near_end = F.col("_position") % chunk_rows > chunk_rows - rows
     copies = F.when(near_end, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array(F.col("_home")))
@@ -138,19 +137,24 @@ def _narrow(df: DataFrame) -> DataFrame:
     return df.withColumn("_sum", F.col("_sum").cast(f"decimal(36,{scale})"))
 
 
+def _bucket_of(column: str, width: int) -> Column:
+    # The value is never null here. Saying so keeps null filters out of the branches that share these rows, so that
+    # they also share one shuffle.
+    return F.coalesce(F.expr(f"{column} div {width}"), F.lit(0).cast("bigint"))
+
+
 def _running_totals(steps: DataFrame, keys: Sequence[str], widths: Sequence[int]) -> DataFrame:
-    """Replace ``_sum`` and ``_n`` at each ``_at`` by their running totals.
+    """Replace ``_sum`` and ``_n`` at each ``_at`` by their running totals, rows of the same ``_at`` included.
 
-    ``steps`` has one row per key and instant. Totals per bucket are accumulated first, then carried into the rows of
-    each bucket, so no task holds more than one bucket: a second of instants, an hour of seconds, and at the top one row
-    per hour of the key's history.
+    Totals per bucket are accumulated first, then carried into the rows of each bucket, so no task holds more than one
+    bucket: a second of instants, an hour of seconds, and at the top one row per hour of the key's history.
     """
-    so_far = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     if not widths:
         within = so_far.partitionBy(*keys)
         return _narrow(steps.withColumns({"_sum": F.sum("_sum").over(within), "_n": F.sum("_n").over(within)}))
     width, *wider = widths
-    bucketed = steps.withColumn("_bucket", F.floor(F.col("_at") / width))
+    bucketed = steps.withColumn("_bucket", _bucket_of("_at", width))
     totals = _narrow(
         bucketed.groupBy(*keys, F.col("_bucket").alias("_at")).agg(
             F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")
@@ -191,27 +195,23 @@ def trailing_range(
     it happens and takes it back just after it leaves the frame; a frame is then the running total at its end. The
     cost does not depend on how many rows a frame holds. Rows without a symbol or a time have no frame and get null.
     """
-    micros = F.unix_micros(F.col(at).cast("timestamp"))
     number = F.col(value).try_cast(exact)
-    stamped = df.withColumn("_at", micros)
+    stamped = df.withColumn("_at", F.unix_micros(F.col(at).cast("timestamp")))
+    known = F.col("_at").isNotNull()
+    for key in keys:
+        known = known & F.col(key).isNotNull()
     instants = _narrow(
-        stamped.dropna(subset=[*keys, "_at"])
+        stamped.filter(known)
         .groupBy(*keys, "_at")
         .agg(F.coalesce(F.sum(number), F.lit(0)).alias("_sum"), F.count(number).alias("_n"))
     )
-    span = seconds * _SECOND + 1
-    arrives = F.struct("_at", "_sum", "_n", F.lit(1).alias("_live"))
+    left_at = F.col("_at") + (seconds * _SECOND + 1)
+    arrives = F.struct("_at", "_sum", "_n", F.lit(True).alias("_live"))
     leaves = F.struct(
-        (F.col("_at") + span).alias("_at"), (-F.col("_sum")).alias("_sum"), (-F.col("_n")).alias("_n"),
-        F.lit(0).alias("_live"),
-    )
-    steps = _narrow(
-        instants.select(*keys, F.explode(F.array(arrives, leaves)).alias("_step"))
-        .select(*keys, "_step.*")
-        .groupBy(*keys, "_at")
-        .agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), F.max("_live").alias("_live"))
+        left_at.alias("_at"), (-F.col("_sum")).alias("_sum"), (-F.col("_n")).alias("_n"), F.lit(False).alias("_live")
     )
-    frames = _running_totals(steps, keys, list(widths)).filter("_live = 1").select(
+    steps = instants.select(*keys, F.inline(F.array(arrives, leaves)))
+    frames = _running_totals(steps, keys, list(widths)).filter("_live").select(
         *keys,
         "_at",
         F.try_divide(F.col("_sum").cast("double"), F.col("_n").cast("double")).alias(average),

@@ -22,11 +22,11 @@ def decode(messages: DataFrame, schema: T.StructType = TICK_SCHEMA) -> DataFrame
     readable time can be neither keyed nor ordered, so they get a reason and belong into quarantine.
     """
     parsed = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType(), True)])
-    text = F.col("value").cast("string")
-    rows = messages.select(
-        text.alias("_text"),
-        F.from_json(text, parsed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("_data"),
-    ).select("_text", "_data.*")
+    texts = messages.select(F.col("value").cast("string").alias("_text"))
+    record = F.from_json("_text", parsed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    # A struct taken apart with ``.*`` would be parsed again for every column and filter that uses it; a generator's
+    # output is computed once.
+    rows = texts.select("_text", F.inline(F.array(record)))
     reason = (
         F.when(F.col("_text").isNull(), "no_value")
         .when(F.col(_CORRUPT).isNotNull() & F.col("symbol").isNull(), "malformed")

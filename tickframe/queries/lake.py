@@ -141,10 +141,8 @@ _JOB_COLUMNS = ["symbol", "trade_date", "average_price", "avg_market_cap", "avg_
 def analyze_job(spark, sf_dir):
     """Messages, RAW, ANALYZED in two runs: the second batch holds the ticks from the 16th on."""
     raw, bad, done = (new_path(spark, name) for name in ("raw", "quarantine", "analyzed"))
-    sent = messages(spark, sf_dir)
-    at = F.get_json_object(F.col("value").cast("string"), "$.timestamp")
-    for part in (at < "2024-01-16", at >= "2024-01-16"):
-        run_ingest(sent.filter(part), raw, bad, batch_instant())
+    for part in ("ts < TIMESTAMP_NTZ '2024-01-16'", "ts >= TIMESTAMP_NTZ '2024-01-16'"):
+        run_ingest(messages(spark, sf_dir, part), raw, bad, batch_instant())
         run_analyze(spark, raw, done, exact=CENTS)
     return read_table(spark, done, ANALYZED_SCHEMA).select(naive("collection_time"), *_JOB_COLUMNS)
 
@@ -225,11 +223,9 @@ def stream_latest_minute(spark, sf_dir):
 def stream_analyze(spark, sf_dir):
     """RAW files picked up one batch date at a time, each appended to ANALYZED."""
     raw, bad, done = (new_path(spark, name) for name in ("raw", "quarantine", "analyzed"))
-    sent = messages(spark, sf_dir)
-    at = F.get_json_object(F.col("value").cast("string"), "$.timestamp")
     offsets = new_path(spark, "offsets")
-    for part in (at < "2024-01-16", at >= "2024-01-16"):
-        run_ingest(sent.filter(part), raw, bad, batch_instant())
+    for part in ("ts < TIMESTAMP_NTZ '2024-01-16'", "ts >= TIMESTAMP_NTZ '2024-01-16'"):
+        run_ingest(messages(spark, sf_dir, part), raw, bad, batch_instant())
         stream = spark.readStream.schema(RAW_SCHEMA).parquet(raw)
         _finish(start_analyze(stream, done, offsets, exact=CENTS))
     return read_table(spark, done, ANALYZED_SCHEMA).select(naive("collection_time"), *_JOB_COLUMNS)

@@ -34,9 +34,10 @@ def batch_instant():
     return F.lit(BATCH).cast("timestamp")
 
 
-def messages(spark, sf_dir):
+def messages(spark, sf_dir, where=None):
     """Every event as the JSON message a poller would have sent."""
-    sent = ticks(spark, sf_dir).withColumn("timestamp", iso_text(F.col("processed_timestamp")))
+    rows = ticks(spark, sf_dir)
+    sent = (rows if where is None else rows.filter(where)).withColumn("timestamp", iso_text(F.col("processed_timestamp")))
     return encode_messages(sent, columns=MESSAGE_FIELDS)
 
 
@@ -238,7 +239,7 @@ SELECT event_id, CASE event_id % 5 WHEN 1 THEN 0.0::DOUBLE ELSE value END AS cur
        0.0::DOUBLE AS previous_close,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
        strftime(make_timestamp(event_id * 1000000), '%Y-%m-%dT%H:%M:%S') AS market_timestamp
-FROM events WHERE event_id % 5 NOT IN (0, 2) AND value <> 0""")
+FROM events WHERE event_id % 5 NOT IN (0, 2) AND (event_id % 5 = 1 OR value <> 0)""")
 def quote_defaults(spark, sf_dir):
     """Zero price: no quote. Absent price: 0.0. Unreadable price: unusable record."""
     kind = F.col("event_id") % 5

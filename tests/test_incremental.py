@@ -40,7 +40,7 @@ def split(spark, rows, cut):
 def test_incremental_equals_full_for_any_split(spark, cut):
     parts, history = split(spark, walk(), cut)
     full = with_trailing(minute_rows(parts), rows=20, exact=EXACT)
-    new = analyze_new(parts, history, rows=20, exact=EXACT, days=1)
+    new = analyze_new(parts, history, rows=20, exact=EXACT)
     edge = START + dt.timedelta(minutes=cut)
     assert values(new, *OUT) == values(full.filter(F.col("collection_time") >= edge), *OUT)
 
@@ -57,13 +57,30 @@ def test_incremental_range_equals_full(spark, cut):
 def test_look_back_searches_older_dates_only_for_short_symbols(spark):
     parts, history = split(spark, walk(), 25_000)
     new = minute_rows(parts).filter(F.col("collection_time") >= START + dt.timedelta(minutes=25_000))
-    context = look_back(history, new, rows=4, days=1)
+    context = look_back(history, new, rows=4, reaches=(1, 4))
     # Only the rare symbol has new rows; its last three rows lie days apart.
     assert values(context, "symbol", "collection_time") == [
         ("RARE", START + dt.timedelta(days=3 * d)) for d in (3, 4, 5)
     ]
 
 
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("frame", ["rows", "range"])
+def test_any_mix_of_late_and_recent_minutes(spark, seed, frame):
+    """Whatever part of the minutes is new, it gets the figures of a full run."""
+    rng = random.Random(seed)
+    rows = []
+    for symbol, days in (("DAILY", range(40)), ("WEEKLY", range(0, 40, 7)), ("ONCE", [3, 39])):
+        rows += [(symbol, d * 1440 + m * 11, rng.randrange(100, 9999) / 100) for d in days for m in range(9)]
+    minutes = minute_rows(time_parts(ticks_of(spark, rows)))
+    late_days = rng.sample(range(40), 6)
+    is_new = F.dayofyear("trade_date").isin([d + 1 for d in late_days]) & (F.col("collection_minute") % 2 == seed % 2)
+    size = dict(frame=frame, rows=(3, 12, 30, 200)[seed], days=(1, 3, 7, 20)[seed], exact=EXACT)
+    full = with_trailing(minutes, **size).filter(is_new)
+    found = continue_trailing(minutes.filter(~is_new), minutes.filter(is_new), **size)
+    assert values(found, *OUT) == values(full, *OUT)
+
+
 def test_late_minutes_append_and_repair(spark):
     parts = time_parts(ticks_of(spark, walk(60, sparse=False)))
     minutes = minute_rows(parts)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.operators.dedup import last_rows, latest_per_minute
@@ -16,6 +17,9 @@ from tickframe.session import cut_lineage
 FRAME_ROWS = 168
 FRAME_DAYS = 7
 
+# Days of history searched for the rows before a new one: a long weekend first, then longer, then everything.
+LOOK_BACK_DAYS = (5, 35, 365)
+
 _AVERAGE, _COUNT = "moving_avg_7_days", "data_count_for_avg"
 
 
@@ -45,21 +49,35 @@ def drop_processed(new: DataFrame, history: DataFrame, keys: Sequence[str] = MIN
     return new.join(history.select(*keys), list(keys), "left_anti")
 
 
-def date_span(df: DataFrame, date: str = "trade_date"):
-    """Earliest and latest date, as one small row: used to prune partitions of the other side."""
-    return df.agg(F.min(date).alias("low"), F.max(date).alias("high")).first()
+def touched_dates(df: DataFrame, date: str = "trade_date") -> list:
+    """The dates that occur in ``df``. There is one per calendar day at most, so the list is small."""
+    return sorted(row[0] for row in df.select(date).distinct().collect() if row[0] is not None)
+
+
+def on_dates(df: DataFrame, dates: Iterable, date: str = "trade_date") -> DataFrame:
+    """Literal partition values, so that other directories are not read."""
+    return df.filter(F.col(date).isin(sorted(dates)))
+
+
+def days_before(dates: Iterable[dt.date], days: int) -> set[dt.date]:
+    """``dates`` and the ``days`` days before each of them."""
+    return {day - dt.timedelta(days=back) for day in dates for back in range(days + 1)}
 
 
-def between_dates(df: DataFrame, low, high, date: str = "trade_date") -> DataFrame:
-    """Literal bounds on the partition column, so that other directories are not even listed."""
-    return df.filter(F.col(date).between(F.lit(low), F.lit(high)))
+def _of_symbols(history: DataFrame, symbols: DataFrame, symbol: str, limit: int = 1000) -> DataFrame:
+    """Rows of some symbols. A short list becomes a literal filter, which skips most row groups of files that are sorted
+    by symbol; a long one is joined."""
+    names = [row[0] for row in symbols.select(symbol).distinct().limit(limit + 1).collect()]
+    if len(names) <= limit:
+        return history.filter(F.col(symbol).isin(names))
+    return history.join(symbols.select(symbol), symbol, "left_semi")
 
 
 def look_back(
     history: DataFrame,
     new: DataFrame,
     rows: int = FRAME_ROWS,
-    days: int = FRAME_DAYS,
+    reaches: Sequence[int] = LOOK_BACK_DAYS,
     symbol: str = "symbol",
     at: str = "collection_time",
     order: Sequence[str] = ("collection_time",),
@@ -67,39 +85,53 @@ def look_back(
 ) -> DataFrame:
     """History rows that the trailing frames of ``new`` reach.
 
-    For each symbol: its rows since its first new row, and the ``rows - 1`` before that. Only the last ``days`` dates are
-    read for it; symbols that have fewer rows there are searched in the older dates, and only those symbols.
+    A segment is a symbol's new rows of one date. It needs the history rows of that date from its first new row on,
+    and the ``rows - 1`` history rows before that, but none from before the symbol's previous segment: that one brings
+    its own. A segment therefore belongs to a span of dates, and spans of a symbol do not overlap, whatever mix of late
+    and recent dates came in. Few days are searched first; only segments that have not found enough rows there go on
+    to older ones, and in the end to the whole history of their symbol.
     """
-    span = date_span(new, date)
-    if span.low is None or history.isEmpty():
+    if history.isEmpty():
         return history.limit(0)
-    firsts = new.groupBy(symbol).agg(F.min(at).alias("_first"))
-    edge = F.date_sub(F.lit(span.low), days)
-
-    def tails(side: DataFrame) -> DataFrame:
-        earlier = side.join(firsts, symbol).filter(F.col(at) < F.col("_first")).drop("_first")
-        return last_rows(earlier, rows - 1, at, [symbol], tie=_newest_tie(order, at, side))
-
-    recent = history.filter(F.col(date) >= edge)
-    since = recent.join(firsts, symbol).filter(F.col(at) >= F.col("_first")).drop("_first")
-    before = tails(recent)
-    held = before.groupBy(symbol).agg(F.count(F.lit(1)).alias("_held"))
-    short = (
-        firsts.join(held, symbol, "left")
-        .filter(F.coalesce(F.col("_held"), F.lit(0)) < rows - 1)
-        .select(symbol)
-    )
-    if history.filter(F.col(date) < edge).isEmpty() or short.isEmpty():
-        return since.unionByName(before)
-    older = tails(history.filter(F.col(date) < edge).join(short, symbol, "left_semi"))
-    return since.unionByName(
-        last_rows(before.unionByName(older), rows - 1, at, [symbol], tie=_newest_tie(order, at, history))
+    previous = F.lag("_segment").over(Window.partitionBy(symbol).orderBy("_segment"))
+    segments = (
+        new.groupBy(symbol, F.col(date).alias("_segment"))
+        .agg(F.min(at).alias("_first"))
+        .withColumn("_after", F.date_add(previous, 1))
     )
-
-
-def _newest_tie(order: Sequence[str], at: str, df: DataFrame):
-    rest = [c for c in order if c != at]
-    return F.col(rest[0]).desc_nulls_last() if rest else F.xxhash64(*df.columns)
+    tie = [F.col(c).desc_nulls_last() for c in order if c != at]
+    newest = dict(n=rows - 1, at=at, keys=[symbol, "_segment"], tie=tie[0] if tie else None)
+
+    def found_in(spans: DataFrame, source: DataFrame) -> DataFrame:
+        days = spans.filter("_low <= _high").select(
+            symbol, "_segment", "_first", F.explode(F.sequence("_low", "_high")).alias(date)
+        )
+        return on_dates(source, touched_dates(days, date), date).join(days, [symbol, date])
+
+    def from_day(reach: int | None) -> Column:
+        if reach is None:
+            oldest = history.agg(F.min(date)).first()[0]
+            return F.coalesce("_after", F.lit(oldest))
+        return F.greatest("_after", F.date_sub("_segment", reach))
+
+    near = found_in(segments.withColumns({"_low": from_day(reaches[0]), "_high": F.col("_segment")}), history)
+    since = near.filter(F.col(at) >= F.col("_first")).select(*history.columns)
+    before = last_rows(near.filter(F.col(at) < F.col("_first")), **newest)
+    for done, reach in zip(reaches, [*reaches[1:], None]):
+        before = cut_lineage(before)
+        held = before.groupBy(symbol, "_segment").agg(F.count(F.lit(1)).alias("_held"))
+        unfinished = (
+            segments.filter(F.col("_after").isNull() | (F.col("_after") < F.date_sub("_segment", done)))
+            .join(held, [symbol, "_segment"], "left")
+            .filter(F.coalesce("_held", F.lit(0)) < rows - 1)
+            .drop("_held")
+        )
+        if unfinished.isEmpty():
+            break
+        spans = unfinished.withColumns({"_low": from_day(reach), "_high": F.date_sub("_segment", done + 1)})
+        older = found_in(spans, _of_symbols(history, unfinished, symbol)).filter(F.col(at) < F.col("_first"))
+        before = last_rows(before.unionByName(older), **newest)
+    return since.unionByName(before.select(*history.columns))
 
 
 def with_trailing(
@@ -134,10 +166,10 @@ def continue_trailing(
     context_columns = list(dict.fromkeys(["symbol", "trade_date", *order, price]))
     past = history.select(*context_columns).filter(F.col(price).isNotNull())
     if frame == "range":
-        span = date_span(new)
-        context = past.filter(F.col("trade_date") >= F.date_sub(F.lit(span.low), days + 1)) if span.low else past.limit(0)
+        reached = on_dates(past, days_before(touched_dates(new), days))
+        context = reached.join(new.select("symbol").distinct(), "symbol", "left_semi")
     else:
-        context = look_back(past, new, rows, days, at=at, order=order)
+        context = look_back(past, new, rows, at=at, order=order)
     combined = new.withColumn("_new", F.lit(True)).unionByName(
         context.withColumn("_new", F.lit(False)), allowMissingColumns=True
     )
@@ -155,7 +187,6 @@ def analyze_new(
 
     The new minutes feed several steps, so they are written once instead of being recomputed for each.
     """
-    span = date_span(parts)
-    known = between_dates(history, span.low, span.high) if span.low else history
+    known = on_dates(history, touched_dates(parts))
     new = cut_lineage(drop_processed(minute_rows(parts, **(dedup or {})), known, keys))
     return continue_trailing(history, new, **trailing)

@@ -118,9 +118,19 @@ def newest_rows(df: DataFrame, n: int = 5, at: str = "collection_time", tie: Col
 
 
 def freshness(
-    df: DataFrame, dataset: str, at: str, now: Column | None = None, max_lag_seconds: int = 3 * 3600
+    df: DataFrame,
+    dataset: str,
+    at: str,
+    now: Column | None = None,
+    max_lag_seconds: int = 3 * 3600,
+    partition: str | None = None,
 ) -> DataFrame:
-    """One row per dataset: its newest instant, how far that lies back, and whether it is fresh enough."""
+    """One row per dataset: its newest instant, how far that lies back, and whether it is fresh enough.
+
+    With the date partition the table is stored by, the time column is read in the newest partition only.
+    """
+    if partition:
+        df = df.filter(F.col(partition) == F.lit(df.agg(F.max(partition)).first()[0]))
     instant = F.current_timestamp() if now is None else now
     lag = F.unix_timestamp(instant) - F.unix_timestamp(F.col("latest"))
     return (

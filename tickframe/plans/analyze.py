@@ -11,9 +11,9 @@ from tickframe.operators.incremental import (
     FRAME_ROWS,
     analyze_new,
     continue_trailing,
-    date_span,
     drop_processed,
     minute_rows,
+    touched_dates,
 )
 from tickframe.operators.rollups import daily_average, daily_moving_average
 from tickframe.schemas import ANALYZED_PARTITIONS, ANALYZED_SCHEMA, DAILY_SCHEMA, RAW_SCHEMA
@@ -65,9 +65,10 @@ def run_analyze(
 def repaired(parts: DataFrame, history: DataFrame, dedup: dict | None = None, **trailing) -> DataFrame | None:
     """All rows from the earliest new date on, recomputed; ``None`` when nothing is new."""
     new = cut_lineage(drop_processed(minute_rows(parts, **(dedup or {})), history))
-    low = date_span(new).low
-    if low is None:
+    dates = touched_dates(new)
+    if not dates:
         return None
+    low = dates[0]
     touched = history.filter(F.col("trade_date") >= F.lit(low)).drop(*_TRAILING)
     untouched = history.filter(F.col("trade_date") < F.lit(low))
     return continue_trailing(untouched, touched.unionByName(new.select(*touched.columns)), **trailing)

@@ -210,6 +210,13 @@ def incremental_new_minutes(spark, sf_dir):
     return new.select("event_id", "symbol", "trade_date", whole("collection_hour"), whole("collection_minute"))
 
 
+@query(f"WITH {MINUTES_SQL} SELECT DISTINCT symbol, trade_date, collection_hour FROM minutes")
+def processed_hours(spark, sf_dir):
+    """Distinct keys, at the grain of an hour."""
+    keys = minutes(spark, sf_dir).select("symbol", "trade_date", whole("collection_hour"))
+    return keys.distinct()
+
+
 @query(f"""WITH {MINUTES_SQL}
 SELECT event_id, symbol || '_' || strftime(trade_date, '%Y-%m-%d') || '_' || collection_hour || '_' || collection_minute
   AS minute_key

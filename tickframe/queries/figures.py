@@ -9,6 +9,7 @@ from tickframe.operators import rollups as R
 from tickframe.operators import serving as S
 from tickframe.plans.upkeep import run_freshness
 from tickframe.queries.base import ANALYZED_SQL, CENTS, TICKS_SQL, analyzed, naive, query, sql_avg, table, ticks, whole
+from tickframe.sources.tables import preview
 
 
 def _by_event():
@@ -132,6 +133,17 @@ def top_latest(spark, sf_dir):
     return Q.newest_rows(table(spark, sf_dir, "events"), 5, "ts", _by_event()).select("event_id", "ts", "value")
 
 
+@query("SELECT event_id, ts, value FROM events ORDER BY event_id LIMIT 20")
+def preview_rows(spark, sf_dir):
+    return preview(table(spark, sf_dir, "events").select("event_id", "ts", "value").orderBy("event_id"), 20)
+
+
+@query(f"WITH {ANALYZED_SQL} SELECT collection_time, symbol, average_price FROM analyzed ORDER BY 1 DESC, 2")
+def newest_first(spark, sf_dir):
+    rows = analyzed(spark, sf_dir).orderBy(F.col("collection_time").desc_nulls_last(), "symbol")
+    return rows.select(naive("collection_time"), "symbol", "average_price")
+
+
 @query("SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT 1")
 def first_match(spark, sf_dir):
     return table(spark, sf_dir, "events").orderBy("ts", "event_id").select("event_id", "ts").limit(1)

@@ -133,6 +133,16 @@ def ingest_job_faults(spark, sf_dir):
     return kept.unionByName(rejected).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+SELECT count(*) FILTER (event_id % 10 NOT IN (0, 2, 3, 4)) AS raw_rows,
+       count(*) FILTER (event_id % 10 IN (0, 2, 3, 4)) AS quarantined_rows
+FROM events""")
+def write_row_counts(spark, sf_dir):
+    """Row counts observed while writing, without another pass over the data."""
+    counts = run_ingest(_faulty(spark, sf_dir), new_path(spark, "raw"), new_path(spark, "quarantine"), batch_instant())
+    return spark.createDataFrame([tuple(counts.values())], [*counts])
+
+
 _JOB_COLUMNS = ["symbol", "trade_date", "average_price", "avg_market_cap", "avg_volatility", "moving_avg_7_days",
                 "data_count_for_avg"]
 

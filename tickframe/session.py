@@ -13,6 +13,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows written to cut a lineage are removed once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -46,6 +48,14 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tickframe/{label}-{uuid.uuid4().hex}"
 
 
+def remove_own(spark: SparkSession, path: str) -> None:
+    """Delete a path that ``new_path`` gave out; anything else is refused."""
+    if not path.startswith(f"{shared_dir(spark).rstrip('/')}/tickframe/"):
+        raise ValueError(f"not a path of this library: {path}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once, so later steps see the same rows after an executor is lost."""
     shared_dir(df.sparkSession)

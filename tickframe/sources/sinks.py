@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tickframe.session import new_path
+from tickframe.session import new_path, remove_own
 
 
 def write_partitioned(
@@ -47,15 +47,17 @@ def staged_overwrite(
     """Overwrite ``path`` with rows that may have been read from ``path``.
 
     Spark deletes the target before it reads it, so the rows go to a staging table first. ``replace="partitions"``
-    touches only the directories present in ``df``; ``"all"`` replaces the table. The staging table is left in the
-    shared folder: if the second write is interrupted, it holds every row.
+    touches only the directories present in ``df``; ``"all"`` replaces the table. If the second write is interrupted, the
+    staging table still holds every row; it is removed only after that write has been committed.
     """
     if replace not in ("partitions", "all"):
         raise ValueError(f"replace must be 'partitions' or 'all', not {replace!r}")
     staging = new_path(df.sparkSession, "staging")
     df.write.parquet(staging)
     staged = df.sparkSession.read.schema(df.schema).parquet(staging)
-    return write_partitioned(staged, path, by, "overwrite", sort, dynamic=replace == "partitions")
+    rows = write_partitioned(staged, path, by, "overwrite", sort, dynamic=replace == "partitions")
+    remove_own(df.sparkSession, staging)
+    return rows
 
 
 def encode_messages(df: DataFrame, key: str = "symbol", columns: Sequence[str] | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from tickframe.plans.analyze import run_analyze, run_daily
 from tickframe.plans.ingest import run_ingest
 from tickframe.plans.upkeep import run_cleanup, run_freshness, run_quality
 from tickframe.schemas import ANALYZED_SCHEMA, DAILY_SCHEMA, RAW_SCHEMA, TICK_SCHEMA
+from tickframe.session import new_path, path_exists, remove_own
 from tickframe.sources import kafka_options, preview, read_table, staged_overwrite, stream_messages, write_partitioned
 from tickframe.streaming import latest_per_minute_stream, start_analyze, start_ingest, start_latest
 
@@ -128,6 +129,19 @@ def test_freshness(spark):
     checks = run_freshness({"a": (df, "t"), "b": (df.limit(0), "t")}, now, max_lag_seconds=3600)
     assert values(checks, "dataset", "has_data", "fresh") == [("a", True, False), ("b", False, False)]
     assert checks.filter("dataset = 'a'").first()["lag_seconds"] == 7200
+    dated = df.withColumn("d", F.to_date("t"))
+    assert Q.freshness(dated, "a", "t", now, partition="d").first()["fresh"] is True
+    assert Q.freshness(dated.limit(0), "a", "t", now, partition="d").first()["has_data"] is False
+
+
+def test_only_own_paths_are_removed(spark, tmp_path):
+    with pytest.raises(ValueError):
+        remove_own(spark, str(tmp_path))
+    path = new_path(spark, "x")
+    spark.range(1).write.parquet(path)
+    assert path_exists(spark, path)
+    remove_own(spark, path)
+    assert not path_exists(spark, path)
 
 
 def test_serving_of_a_table_without_metrics(spark):

@@ -128,7 +128,11 @@ def trailing_rows(
 
 
 _SECOND = 1_000_000
-_HOUR = 3600 * _SECOND
+_MINUTE = 60 * _SECOND
+_DAY = 1440 * _MINUTE
+
+# Type in which range frames are summed: prices up to eight decimals, without rounding from sums.
+EXACT = "decimal(28,8)"
 
 
 def _narrow(df: DataFrame) -> DataFrame:
@@ -147,7 +151,7 @@ def _running_totals(steps: DataFrame, keys: Sequence[str], widths: Sequence[int]
     """Replace ``_sum`` and ``_n`` at each ``_at`` by their running totals, rows of the same ``_at`` included.
 
     Totals per bucket are accumulated first, then carried into the rows of each bucket, so no task holds more than one
-    bucket: a second of instants, an hour of seconds, and at the top one row per hour of the key's history.
+    bucket: a minute of instants, a day of minutes, and at the top one row per day of the key's history.
     """
     so_far = Window.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     if not widths:
@@ -186,14 +190,15 @@ def trailing_range(
     count: str,
     keys: Sequence[str] = ("symbol",),
     at: str = "collection_time",
-    exact: str = "decimal(18,6)",
-    widths: Sequence[int] = (_SECOND, _HOUR),
+    exact: str = EXACT,
+    widths: Sequence[int] = (_MINUTE, _DAY),
 ) -> DataFrame:
     """Average and non-null count over the span of ``seconds`` that ends at each row, both ends included.
 
     Rows of one instant share a frame, so the work is done once per symbol and instant. Each instant adds its total when
     it happens and takes it back just after it leaves the frame; a frame is then the running total at its end. The
-    cost does not depend on how many rows a frame holds. Rows without a symbol or a time have no frame and get null.
+    cost does not depend on how many rows a frame holds. Rows without a symbol or a time have no frame and get null; a
+    value that is not a number, or does not fit ``exact``, counts as missing.
     """
     number = F.col(value).try_cast(exact)
     stamped = df.withColumn("_at", F.unix_micros(F.col(at).cast("timestamp")))
@@ -228,7 +233,7 @@ def trailing_range_plain(
     count: str,
     keys: Sequence[str] = ("symbol",),
     at: str = "collection_time",
-    exact: str | None = "decimal(18,6)",
+    exact: str | None = EXACT,
 ) -> DataFrame:
     """The window form of the same frame, for tables whose symbols and frames are known to be short."""
     micros = F.unix_micros(F.col(at).cast("timestamp"))

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tickframe.functions.times import time_parts
 from tickframe.operators.incremental import (
-    FRAME_DAYS,
-    FRAME_ROWS,
     analyze_new,
     continue_trailing,
     drop_processed,
@@ -88,6 +86,3 @@ def run_daily(
     return write_partitioned(
         daily.select(*DAILY_SCHEMA.fieldNames()), daily_path, ["trade_date"], "overwrite", ["symbol"]
     )
-
-
-__all__ = ["FRAME_DAYS", "FRAME_ROWS", "repaired", "run_analyze", "run_daily"]

@@ -41,7 +41,8 @@ def scan_partitioned(spark, sf_dir):
 def scan_numeric_symbols(spark, sf_dir):
     """Symbols of digits keep their leading zeros as partition values."""
     path = new_path(spark, "digits")
-    rows = table(spark, sf_dir, "events").select("event_id", F.lpad((F.col("user_id") % 7).cast("string"), 6, "0").alias("symbol"))
+    symbol = F.lpad((F.col("user_id") % 7).cast("string"), 6, "0")
+    rows = table(spark, sf_dir, "events").select("event_id", symbol.alias("symbol"))
     write_partitioned(rows, path, ["symbol"])
     return read_table(spark, path, "event_id bigint, symbol string")
 

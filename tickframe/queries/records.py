@@ -405,7 +405,8 @@ def unit_changes(spark, sf_dir):
 
 
 @query("""
-SELECT event_id, round_even(event_id / 2.0::DOUBLE, 0)::DOUBLE AS halves, round_even(value, 1)::DOUBLE AS tenths FROM events""")
+SELECT event_id, round_even(event_id / 2.0::DOUBLE, 0)::DOUBLE AS halves, round_even(value, 1)::DOUBLE AS tenths
+FROM events""")
 def half_even_rounding(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
         "event_id", N.half_even(F.col("event_id") / F.lit(2.0), 0).alias("halves"),

@@ -48,12 +48,22 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tickframe/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
 def remove_own(spark: SparkSession, path: str) -> None:
     """Delete a path that ``new_path`` gave out; anything else is refused."""
     if not path.startswith(f"{shared_dir(spark).rstrip('/')}/tickframe/"):
         raise ValueError(f"not a path of this library: {path}")
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

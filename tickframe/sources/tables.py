@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-_NOTHING_THERE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+from tickframe.session import path_exists
 
 
 def empty_table(spark: SparkSession, schema) -> DataFrame:
@@ -19,13 +18,10 @@ def read_table(spark: SparkSession, path: str, schema=None, missing_ok: bool = F
     names and a symbol such as ``005930`` becomes the number 5930. With ``missing_ok``, an absent path is an
     empty table, as on the first run of a job.
     """
+    if missing_ok and schema is not None and not path_exists(spark, path):
+        return empty_table(spark, schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if missing_ok and schema is not None and error.getCondition() in _NOTHING_THERE:
-            return empty_table(spark, schema)
-        raise
+    return reader.parquet(path)
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:

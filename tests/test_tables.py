@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import json
 import os
 
 import pytest
@@ -191,9 +192,21 @@ def test_latest_stream_keeps_the_newest_not_the_first(spark, tmp_path):
 
 def test_quality_gate_and_command_line(spark, tmp_path, capsys):
     topic, raw, bad, done, daily = (str(tmp_path / n) for n in ("topic", "raw", "bad", "analyzed", "daily"))
-    poll(spark, range(5)).write.parquet(topic)
+    documents = {
+        "quotes": [{"symbol": s, "c": 10.0 + m, "pc": 8, "h": 12, "l": 9, "t": 60 * m, "polled_at": f"2024-01-01T02:0{m}:00"}
+                   for s in ("AAPL", "MSFT", "OTHER") for m in range(5)],
+        "profiles": [{"symbol": "AAPL", "name": "Apple", "marketCapitalization": 5.5}],
+        "metrics": [{"symbol": "AAPL", "beta": None, "52WeekHigh": 20}],
+    }
+    for name, rows in documents.items():
+        (tmp_path / f"{name}.json").write_text("\n".join(json.dumps(row) for row in rows))
+    sources = [text for name in documents for text in (f"--{name}", str(tmp_path / f"{name}.json"))]
+    assert main(["collect", *sources, "--format", "parquet", "--path", topic]) == 0
     assert main(["ingest", "--format", "parquet", "--path", topic, "--raw", raw, "--quarantine", bad]) == 0
     assert main(["analyze", "--raw", raw, "--analyzed", done]) == 0
+    assert values(read_table(spark, raw, RAW_SCHEMA).filter("current_price = 12.0"), "symbol", "company_name", "market_cap",
+                  "beta", "week_52_high", "daily_return") == [("AAPL", "Apple", 5.5, 0.0, 20.0, 0.5)] + [
+        ("MSFT", None, None, None, None, 0.5)]
     assert main(["daily", "--raw", raw, "--daily", daily]) == 0
     assert main(["cleanup", "--analyzed", done]) == 0
     assert main(["inspect", done]) == 0

@@ -5,19 +5,31 @@ from __future__ import annotations
 import argparse
 import sys
 
+from tickframe.operators.enrich import METRIC_KEYS, PROFILE_NUMBER_KEYS, PROFILE_TEXT_KEYS, QUOTE_KEYS
 from tickframe.operators.quality import newest_rows, profile, time_columns
+from tickframe.operators.universe import DEFAULT_SYMBOLS, choose_universe
 from tickframe.plans.analyze import run_analyze, run_daily
+from tickframe.plans.collect import run_collect
 from tickframe.plans.ingest import run_ingest
 from tickframe.plans.upkeep import run_cleanup, run_quality
 from tickframe.schemas import ANALYZED_SCHEMA, RAW_SCHEMA
 from tickframe.session import build_session
-from tickframe.sources.messages import kafka_options, read_messages
+from tickframe.sources.messages import kafka_options, read_documents, read_messages
 from tickframe.sources.tables import preview, read_table
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tickframe")
     jobs = parser.add_subparsers(dest="job", required=True)
+    collect = jobs.add_parser("collect", help="polled documents to messages")
+    for name in ("quotes", "profiles", "metrics"):
+        collect.add_argument(f"--{name}", required=True, help="JSON documents with a symbol")
+    collect.add_argument("--symbols", default="manual", help="manual, trending or large_cap")
+    collect.add_argument("--symbol-list", default=DEFAULT_SYMBOLS)
+    collect.add_argument("--servers", help="brokers of a topic")
+    collect.add_argument("--topic")
+    collect.add_argument("--path", help="files to write instead of a topic")
+    collect.add_argument("--format", default="kafka")
     ingest = jobs.add_parser("ingest", help="messages to RAW")
     ingest.add_argument("--raw", required=True)
     ingest.add_argument("--quarantine", required=True)
@@ -47,7 +59,18 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
     spark = build_session(f"tickframe-{args.job}")
-    if args.job == "ingest":
+    if args.job == "collect":
+        topic = {"kafka.bootstrap.servers": args.servers, "topic": args.topic} if args.format == "kafka" else {}
+        run_collect(
+            read_documents(spark, args.quotes, [*QUOTE_KEYS.values(), "t", "polled_at"]),
+            read_documents(spark, args.profiles, [*PROFILE_TEXT_KEYS.values(), *PROFILE_NUMBER_KEYS.values()]),
+            read_documents(spark, args.metrics, METRIC_KEYS.values()),
+            args.format,
+            args.path,
+            choose_universe(spark, args.symbols, args.symbol_list),
+            topic,
+        )
+    elif args.job == "ingest":
         options = kafka_options(args.servers, args.topic) if args.format == "kafka" else {}
         print(run_ingest(read_messages(spark, args.format, args.path, **options), args.raw, args.quarantine))
     elif args.job == "analyze":

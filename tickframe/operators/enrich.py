@@ -58,7 +58,7 @@ def quote_rows(quotes: DataFrame, keys: Mapping[str, str] = QUOTE_KEYS, polled_a
     rows = quotes.select(
         "symbol",
         *[value.alias(name) for name, value in columns.items()],
-        iso_text(F.col(polled_at)).alias("timestamp"),
+        iso_text(F.col(polled_at).cast("timestamp")).alias("timestamp"),
         epoch_text(F.coalesce(_named(quotes, "t").cast("bigint"), F.lit(0))).alias("market_timestamp"),
         F.coalesce(_named(quotes, keys["current_price"]).try_cast("double") == 0, F.lit(False)).alias("_empty"),
     )

@@ -58,17 +58,18 @@ def scan_missing_path(spark, sf_dir):
 def write_append(spark, sf_dir):
     path = new_path(spark, "append")
     rows = _dated(spark, sf_dir)
-    write_partitioned(rows.filter("event_id % 2 = 0"), path, ["trade_date"], max_records=10_000)
-    write_partitioned(rows.filter("event_id % 2 = 1"), path, ["trade_date"], max_records=10_000)
+    for part in ("event_type = 'click'", "event_type <> 'click'"):
+        write_partitioned(rows.filter(part), path, ["trade_date"], max_records=10_000)
     return read_table(spark, path, _LAKE_SCHEMA)
 
 
-@query("SELECT event_id, ts, value, event_type, CAST(ts AS DATE) AS trade_date FROM events WHERE event_id % 3 = 0")
+@query("SELECT event_id, ts, value, event_type, CAST(ts AS DATE) AS trade_date FROM events")
 def write_overwrite(spark, sf_dir):
+    """The second write replaces the first, also in dates it does not have."""
     path = new_path(spark, "overwrite")
     rows = _dated(spark, sf_dir)
-    write_partitioned(rows, path, ["trade_date"])
-    write_partitioned(rows.filter("event_id % 3 = 0"), path, ["trade_date"], "overwrite")
+    write_partitioned(rows.withColumn("trade_date", F.date_add("trade_date", 10)), path, ["trade_date"])
+    write_partitioned(rows, path, ["trade_date"], "overwrite")
     return read_table(spark, path, _LAKE_SCHEMA)
 
 

@@ -17,6 +17,7 @@ from tickframe.functions.times import (
 from tickframe.operators.enrich import enrich, metric_rows, profile_rows, quote_rows
 from tickframe.operators.indicators import derive_indicators
 from tickframe.operators.universe import parse_symbols, restrict, top_symbols
+from tickframe.plans.collect import collect_ticks
 from tickframe.plans.ingest import decode, good_rows, quarantine_rows, stamp
 from tickframe.queries.base import TICKS_SQL, base_ticks, naive, query, table, ticks, whole
 from tickframe.session import new_path
@@ -285,29 +286,31 @@ def _order_ticks(spark, sf_dir):
 
 
 def _order_profiles(spark, sf_dir):
+    """Profiles of all customers but those of one segment, whose lookups fail."""
     customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    documents = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+    documents = customers.filter("c_mktsegment <> 'BUILDING'").join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         F.col("c_custkey").alias("symbol"),
         F.col("c_name").alias("name"),
         F.col("n_name").alias("country"),
         F.col("c_acctbal").alias("marketCapitalization"),
     )
-    return profile_rows(documents.filter("symbol % 10 <> 3")).select("symbol", "company_name", "country", "market_cap")
+    return profile_rows(documents).select("symbol", "company_name", "country", "market_cap")
 
 
 def _order_metrics(spark, sf_dir):
-    documents = table(spark, sf_dir, "customer").select(
+    """Metrics of customers with a positive balance."""
+    documents = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
         F.col("c_custkey").alias("symbol"), (F.col("c_acctbal") / 100.0).alias("beta")
     )
-    return metric_rows(documents.filter("symbol % 10 <> 4")).select("symbol", "beta")
+    return metric_rows(documents).select("symbol", "beta")
 
 
 _ENRICHED_SQL = """
 SELECT o_orderkey AS tick, o_custkey AS symbol, o_totalprice AS current_price,
-       CASE WHEN {when} AND c_custkey % 10 <> 3 THEN c_name END AS company_name,
-       CASE WHEN {when} AND c_custkey % 10 <> 3 THEN n_name END AS country,
-       CASE WHEN {when} AND c_custkey % 10 <> 3 THEN c_acctbal END AS market_cap,
-       CASE WHEN c_custkey % 10 <> 4 THEN c_acctbal / 100.0::DOUBLE END AS beta
+       CASE WHEN {when} AND c_mktsegment <> 'BUILDING' THEN c_name END AS company_name,
+       CASE WHEN {when} AND c_mktsegment <> 'BUILDING' THEN n_name END AS country,
+       CASE WHEN {when} AND c_mktsegment <> 'BUILDING' THEN c_acctbal END AS market_cap,
+       CASE WHEN c_acctbal > 0 THEN c_acctbal / 100.0::DOUBLE END AS beta
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey"""
 
 
@@ -326,6 +329,43 @@ def enrich_even_hours(spark, sf_dir):
     return rows.drop("timestamp")
 
 
+@query("""
+WITH quotes AS (
+  SELECT o_orderkey, o_custkey, o_totalprice AS price, o_totalprice * 0.8::DOUBLE AS close,
+         CASE o_orderstatus WHEN 'F' THEN 0.0::DOUBLE ELSE o_totalprice END AS high,
+         o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS polled_at, c_name, c_acctbal
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment <> 'BUILDING'
+)
+SELECT o_custkey::VARCHAR AS symbol, price AS current_price, close AS previous_close, high AS high_price,
+       polled_at AS processed_timestamp,
+       CASE WHEN hour(polled_at) % 2 = 0 THEN c_name END AS company_name,
+       CASE WHEN hour(polled_at) % 2 = 0 THEN 'USD' END AS currency,
+       CASE WHEN c_acctbal > 0 THEN c_acctbal END AS beta, CASE WHEN c_acctbal > 0 THEN 0.0::DOUBLE END AS pe_ratio,
+       CASE WHEN close > 0 THEN (price - close) / close END AS daily_return,
+       CASE WHEN close > 0 THEN high - 0.0::DOUBLE END AS price_range,
+       CASE WHEN close > 0 THEN CASE WHEN high > 0 THEN price / high ELSE 0.5::DOUBLE END END AS price_position
+FROM quotes""")
+def collect_and_decode(spark, sf_dir):
+    """Quotes, profiles and metrics merged into messages, and the messages decoded again."""
+    customers = table(spark, sf_dir, "customer").withColumn("symbol", F.col("c_custkey").cast("string"))
+    price = F.col("o_totalprice")
+    quotes = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("symbol"),
+        price.alias("c"),
+        (price * 0.8).alias("pc"),
+        F.when(F.col("o_orderstatus") != "F", price).alias("h"),
+        (F.col("o_orderdate") + F.make_dt_interval(hours=F.col("o_orderkey").cast("int") % 24)).alias("polled_at"),
+    )
+    profiles = customers.select("symbol", F.col("c_name").alias("name"))
+    metrics = customers.filter("c_acctbal > 0").select("symbol", F.col("c_acctbal").alias("beta"))
+    universe = customers.filter("c_mktsegment <> 'BUILDING'")
+    sent = encode_messages(collect_ticks(quotes, profiles, metrics, universe))
+    return good_rows(stamp(decode(sent), batch_instant())).select(
+        "symbol", "current_price", "previous_close", "high_price", naive("processed_timestamp"), "company_name",
+        "currency", "beta", "pe_ratio", "daily_return", "price_range", "price_position",
+    )
+
+
 @query("""
 SELECT p_partkey, p_brand AS symbol, p_retailprice FROM part
 WHERE p_brand IN (SELECT DISTINCT p_brand FROM part WHERE p_size = 7)""")

@@ -1,4 +1,4 @@
-from tickframe.sources.messages import kafka_options, read_messages, stream_messages
+from tickframe.sources.messages import kafka_options, read_documents, read_messages, stream_messages
 from tickframe.sources.sinks import encode_messages, staged_overwrite, write_messages, write_partitioned
 from tickframe.sources.tables import empty_table, preview, read_table
 
@@ -7,6 +7,7 @@ __all__ = [
     "encode_messages",
     "kafka_options",
     "preview",
+    "read_documents",
     "read_messages",
     "read_table",
     "staged_overwrite",

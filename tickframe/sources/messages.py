@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def kafka_options(servers: str, topic: str, starting: str = "earliest", fail_on_data_loss: bool = False) -> dict:
@@ -32,3 +35,9 @@ def stream_messages(
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path) if path else reader.load()
+
+
+def read_documents(spark: SparkSession, path: str, keys: Iterable[str]) -> DataFrame:
+    """JSON documents with a ``symbol`` and some of ``keys``, each as text; numbers are parsed where they are used."""
+    fields = [T.StructField(key, T.StringType(), True) for key in dict.fromkeys(["symbol", *keys])]
+    return spark.read.schema(T.StructType(fields)).json(path)

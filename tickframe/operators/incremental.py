@@ -65,8 +65,8 @@ def days_before(dates: Iterable[dt.date], days: int) -> set[dt.date]:
 
 
 def _of_symbols(history: DataFrame, symbols: DataFrame, symbol: str, limit: int = 1000) -> DataFrame:
-    """Rows of some symbols. A short list becomes a literal filter, which skips most row groups of files that are sorted
-    by symbol; a long one is joined."""
+    """Rows of some symbols. A short list becomes a literal filter, which skips most pages of files that are sorted by
+    symbol; a long one is joined."""
     names = [row[0] for row in symbols.select(symbol).distinct().limit(limit + 1).collect()]
     if len(names) <= limit:
         return history.filter(F.col(symbol).isin(names))

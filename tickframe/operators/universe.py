@@ -34,10 +34,10 @@ def top_symbols(universe: DataFrame, n: int = 10) -> DataFrame:
 
 
 def choose_universe(spark: SparkSession, method: str = "manual", symbols: str = DEFAULT_SYMBOLS) -> DataFrame:
-    """``trending``, the top ten of the large caps (``large_cap``), or any other name for the given list."""
+    """``trending``, the top ten of the large caps (``large_cap`` or ``sp500``), or any other name for the given list."""
     if method == "trending":
         return ranked(spark, TRENDING_SYMBOLS)
-    if method == "large_cap":
+    if method in ("large_cap", "sp500"):
         return top_symbols(ranked(spark, LARGE_CAP_SYMBOLS))
     return parse_symbols(spark.createDataFrame([(symbols,)], "symbols string"))
 

@@ -23,8 +23,9 @@ def write_partitioned(
     """Write ``df`` partitioned by ``by`` and return the number of rows written.
 
     Rebalancing brings the rows of a directory together so that it gets few files, and adaptive execution splits a
-    directory that is much larger than the others over several tasks. Sorting inside each file makes row-group
-    statistics useful for later reads. The row count is observed during the write, so it costs no extra job.
+    directory that is much larger than the others over several tasks. Rows are sorted inside each file, so that page
+    statistics let later reads skip what they filter out. The row count is observed during the write, so it costs no
+    extra job.
     """
     rows = Observation()
     laid_out = (

@@ -9,11 +9,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tickframe.__main__ import main
+from tickframe.functions.times import collection_open
 from tickframe.operators import quality as Q
 from tickframe.operators import serving as S
 from tickframe.plans.analyze import run_analyze, run_daily
 from tickframe.plans.ingest import run_ingest
-from tickframe.plans.upkeep import run_cleanup, run_freshness, run_quality
+from tickframe.plans.upkeep import run_cleanup, run_freshness, run_monitor, run_quality
 from tickframe.schemas import ANALYZED_SCHEMA, DAILY_SCHEMA, RAW_SCHEMA, TICK_SCHEMA
 from tickframe.session import new_path, path_exists, remove_own
 from tickframe.sources import kafka_options, preview, read_table, staged_overwrite, stream_messages, write_partitioned
@@ -93,6 +94,18 @@ def test_jobs_end_to_end(spark, tmp_path):
         run_analyze(spark, raw, done, mode="other")
 
 
+def test_table_in_the_older_layout_is_continued(spark, tmp_path):
+    raw, bad, done = (str(tmp_path / n) for n in ("raw", "bad", "analyzed"))
+    run_ingest(poll(spark, range(5)), raw, bad)
+    run_analyze(spark, raw, done)
+    old = str(tmp_path / "old")
+    rows = read_table(spark, done, ANALYZED_SCHEMA).drop("collection_time", "collection_hour", "collection_minute")
+    write_partitioned(rows, old, ["trade_date"])
+    assert run_analyze(spark, raw, old) == 10
+    assert run_analyze(spark, raw, old) == 0
+    assert read_table(spark, old, ANALYZED_SCHEMA).filter("collection_minute IS NULL").count() == 10
+
+
 def test_cleanup(spark, tmp_path):
     raw, bad, done = (str(tmp_path / n) for n in ("raw", "bad", "analyzed"))
     run_ingest(poll(spark, range(5)), raw, bad)
@@ -210,6 +223,14 @@ def test_quality_gate_and_command_line(spark, tmp_path, capsys):
     assert main(["daily", "--raw", raw, "--daily", daily]) == 0
     assert main(["cleanup", "--analyzed", done]) == 0
     assert main(["inspect", done]) == 0
+    assert main(["monitor", "--analyzed", done]) == 1
+    now = F.lit("2024-01-01 02:30:00").cast("timestamp")
+    checks = run_monitor(spark, done, read_table(spark, topic), now)
+    assert values(checks, "dataset", "has_data", "fresh") == [("analyzed", True, True), ("topic", True, True)]
+    nothing = run_monitor(spark, str(tmp_path / "none"), read_table(spark, topic).limit(0), now)
+    assert values(nothing, "dataset", "has_data", "fresh") == [("analyzed", False, False), ("topic", False, False)]
+    assert collection_open(spark, F.lit("2024-01-01 03:00:00").cast("timestamp"))
+    assert not collection_open(spark, F.lit("2024-01-06 03:00:00").cast("timestamp"))
     # Ticks without profile and metrics leave most columns null, which the whole-table rule does not allow.
     assert main(["quality", "--raw", raw, "--analyzed", done]) == 1
     verdicts = run_quality(spark, {"raw": {"path": raw, "schema": "symbol string, current_price double"}})

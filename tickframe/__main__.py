@@ -5,13 +5,14 @@ from __future__ import annotations
 import argparse
 import sys
 
+from tickframe.functions.times import collection_open
 from tickframe.operators.enrich import METRIC_KEYS, PROFILE_NUMBER_KEYS, PROFILE_TEXT_KEYS, QUOTE_KEYS
 from tickframe.operators.quality import newest_rows, profile, time_columns
 from tickframe.operators.universe import DEFAULT_SYMBOLS, choose_universe
 from tickframe.plans.analyze import run_analyze, run_daily
 from tickframe.plans.collect import run_collect
 from tickframe.plans.ingest import run_ingest
-from tickframe.plans.upkeep import run_cleanup, run_quality
+from tickframe.plans.upkeep import run_cleanup, run_monitor, run_quality
 from tickframe.schemas import ANALYZED_SCHEMA, RAW_SCHEMA
 from tickframe.session import build_session
 from tickframe.sources.messages import kafka_options, read_documents, read_messages
@@ -51,14 +52,23 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     quality = jobs.add_parser("quality", help="exit code 0 when both tables pass")
     quality.add_argument("--raw", required=True)
     quality.add_argument("--analyzed", required=True)
+    monitor = jobs.add_parser("monitor", help="exit code 0 when data keeps arriving")
+    monitor.add_argument("--analyzed", required=True)
+    monitor.add_argument("--servers", help="brokers of a topic")
+    monitor.add_argument("--topic")
+    monitor.add_argument("--max-lag", type=int, default=3 * 3600, help="seconds since the newest analysed tick")
     inspect = jobs.add_parser("inspect", help="columns, newest rows and a sample of any table")
     inspect.add_argument("path")
+    for job in (ingest, analyze):
+        job.add_argument("--in-session-only", action="store_true", help="do nothing outside the collection hours")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
     spark = build_session(f"tickframe-{args.job}")
+    if getattr(args, "in_session_only", False) and not collection_open(spark):
+        return 0
     if args.job == "collect":
         topic = {"kafka.bootstrap.servers": args.servers, "topic": args.topic} if args.format == "kafka" else {}
         run_collect(
@@ -89,6 +99,11 @@ def main(argv: list[str] | None = None) -> int:
         )
         verdicts.show(truncate=False)
         return 0 if verdicts.filter("NOT passed").isEmpty() else 1
+    elif args.job == "monitor":
+        messages = read_messages(spark, **kafka_options(args.servers, args.topic)) if args.servers else None
+        checks = run_monitor(spark, args.analyzed, messages, max_lag_seconds=args.max_lag)
+        checks.show(truncate=False)
+        return 0 if checks.filter("NOT fresh").isEmpty() else 1
     elif args.job == "inspect":
         table = read_table(spark, args.path)
         profile(table).show(1000, truncate=False)

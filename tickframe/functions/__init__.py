@@ -15,6 +15,7 @@ from tickframe.functions.numbers import (
 )
 from tickframe.functions.times import (
     NEW_YORK,
+    collection_open,
     epoch_text,
     event_time,
     ingest_stamps,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NEW_YORK = "America/New_York"
@@ -63,6 +63,12 @@ def in_collection_hours(moment: Column) -> Column:
     return (F.weekday(moment) < 5) & ((hour >= 23) | (hour <= 6))
 
 
+def collection_open(spark: SparkSession, now: Column | None = None) -> bool:
+    """Whether a scheduled run at this moment should do its work."""
+    moment = F.current_timestamp() if now is None else now
+    return bool(spark.range(1).select(in_collection_hours(moment)).first()[0])
+
+
 def in_market_session(
     moment: Column, zone: str = NEW_YORK, opens: tuple[int, int] = (9, 30), closes: tuple[int, int] = (16, 0)
 ) -> Column:

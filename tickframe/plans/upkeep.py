@@ -63,3 +63,26 @@ def run_freshness(frames: dict[str, tuple[DataFrame, str]], now: Column | None =
         one = freshness(df, name, at, now, **limits)
         checks = one if checks is None else checks.unionByName(one)
     return checks
+
+
+def run_monitor(
+    spark: SparkSession,
+    analyzed_path: str,
+    messages: DataFrame | None = None,
+    now: Column | None = None,
+    **limits,
+) -> DataFrame:
+    """Freshness of ANALYZED, read in its newest date only, and whether the topic holds any message."""
+    analyzed = read_table(spark, analyzed_path, ANALYZED_SCHEMA, missing_ok=True)
+    checks = freshness(analyzed, "analyzed", "collection_time", now, partition="trade_date", **limits)
+    if messages is None:
+        return checks
+    arrived = not messages.isEmpty()
+    topic = checks.limit(1).select(
+        F.lit("topic").alias("dataset"),
+        F.lit(arrived).alias("has_data"),
+        F.lit(None).cast("timestamp").alias("latest"),
+        F.lit(None).cast("bigint").alias("lag_seconds"),
+        F.lit(arrived).alias("fresh"),
+    )
+    return checks.unionByName(topic)

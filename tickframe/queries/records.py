@@ -389,9 +389,10 @@ def universe_top10(spark, sf_dir):
         .orderBy(F.desc("total"), "symbol")
         .limit(10)
     )
-    # Only the ten brands left are numbered, so one task is enough.
-    place = F.row_number().over(Window.orderBy(F.desc("total"), "symbol"))
-    return top_symbols(largest.select(place.cast("bigint").alias("rank_no"), "symbol"))
+    # Ten brands are left to be numbered.
+    listed = largest.agg(F.sort_array(F.collect_list(F.struct((-F.col("total")).alias("order"), "symbol"))).alias("list"))
+    ranks = listed.select(F.posexplode("list").alias("position", "entry"))
+    return top_symbols(ranks.select((F.col("position") + 1).cast("bigint").alias("rank_no"), "entry.symbol"))
 
 
 @query("""

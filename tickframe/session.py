@@ -33,15 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
 
     A machine-local folder is used only when the session itself runs on one machine.
     """
+    context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+    if not base and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="tickframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tickframe-"))
+    elif context.getCheckpointDir() is None:
+        context.setCheckpointDir(base)
+    return base or context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:

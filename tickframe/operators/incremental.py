@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickframe.operators.dedup import last_rows, latest_per_minute
 from tickframe.operators.rolling import trailing_range, trailing_rows
 from tickframe.schemas import METRIC_COPIES, MINUTE_KEY
-from tickframe.session import cut_lineage
+from tickframe.session import cut_lineage, small_side
 
 # Rows in a trailing frame, and the span the frame is named after.
 FRAME_ROWS = 168
@@ -103,8 +103,10 @@ def look_back(
     newest = dict(n=rows - 1, at=at, keys=[symbol, "_segment"], tie=tie[0] if tie else None)
 
     def found_in(spans: DataFrame, source: DataFrame) -> DataFrame:
-        days = spans.filter("_low <= _high").select(
-            symbol, "_segment", "_first", F.explode(F.sequence("_low", "_high")).alias(date)
+        days = small_side(
+            spans.filter("_low <= _high").select(
+                symbol, "_segment", "_first", F.explode(F.sequence("_low", "_high")).alias(date)
+            )
         )
         return on_dates(source, touched_dates(days, date), date).join(days, [symbol, date])
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.session import cut_lineage
+from tickframe.session import cut_lineage, small_side
 
 # Rows of one symbol that a single task may hold before the symbol is cut into chunks.
 MAX_SYMBOL_ROWS = 5_000_000
@@ -89,9 +89,8 @@ def trailing_rows_chunked(
     )
     ranges = numbered.groupBy(*keys, "_range").agg(F.min("_number").alias("_low"), F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = ranges.select(
-        *keys, "_range", (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_low")).alias("_shift")
-    )
+    shift = F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_low")
+    shifts = small_side(ranges.select(*keys, "_range", shift.alias("_shift")))
     placed = (
         join_null_safe(numbered, shifts, [*keys, "_range"])
         .select(*df.columns, (F.col("_number") + F.col("_shift")).alias("_position"))
@@ -122,7 +121,7 @@ def trailing_rows(
     shape = dict(value=value, rows=rows, average=average, count=count, keys=keys, order=order, exact=exact)
     if hot.isEmpty():
         return trailing_rows_plain(df, **shape)
-    hot = cut_lineage(hot)
+    hot = small_side(hot)
     large = trailing_rows_chunked(join_null_safe(df, hot, keys, "left_semi"), chunk_rows=chunk_rows, **shape)
     return trailing_rows_plain(join_null_safe(df, hot, keys, "left_anti"), **shape).unionByName(large)
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _DEFAULTS = {
     # Event time is naive UTC text, so dates and hours must not follow the machine's zone.
@@ -71,3 +72,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once, so later steps see the same rows after an executor is lost."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Rows of a join side that may be sent to every executor: some tens of megabytes of keys and numbers.
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A derived table for the small side of a join: written once, counted, and broadcast only up to ``max_rows`` rows.
+
+    Spark cannot foresee the size of a derived table and would start to shuffle the large side before it is known.
+    Larger tables are joined by shuffle.
+    """
+    written = cut_lineage(df)
+    return F.broadcast(written) if written.limit(max_rows + 1).count() <= max_rows else written

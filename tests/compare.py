@@ -63,7 +63,7 @@ def difference(spark, connection, sf_dir: str, name: str, query) -> str | None:
 
 if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    from __spark_entry__ import QUERIES
+    from __spark_entry__ import CORPUS, QUERIES
     from tickframe.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
@@ -74,8 +74,8 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     bad = 0
-    for name, query in QUERIES.items():
-        if only and name not in only:
+    for name, query in {**QUERIES, **CORPUS}.items():
+        if query.sql is None or only and name not in only:
             continue
         start = time.time()
         try:

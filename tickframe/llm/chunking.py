@@ -21,16 +21,16 @@ from tickframe.llm.common import own_name, text_of
 
 # A boundary is possible at one byte in 32; with the least length a chunk has some 48 bytes.
 MASK_BITS, LEAST, MOST = 5, 16, 128
-SPAN_BYTES = 128
-_GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
-_REACH = 32
+SPAN_BYTES = 80
+_GEAR = np.random.default_rng(20).integers(0, 1 << 16, 256, dtype=np.uint16)
+_REACH = 16
 
 
 def boundaries(data: bytes, least: int = LEAST, most: int = MOST, mask_bits: int = MASK_BITS) -> list[int]:
     """Ends of the chunks of ``data``.
 
-    The gear hash of a byte is the sum of the table values of it and the 31 bytes before, each doubled for every byte
-    that follows it. Sums over 1, 2, 4, ... 32 bytes are built from each other for all positions at once.
+    The gear hash of a byte is the sum of the table values of it and the 15 bytes before, each doubled for every byte
+    that follows it. Sums over 1, 2, 4, 8 and 16 bytes are built from each other for all positions at once.
     """
     ends, begin, n = [], 0, len(data)
     if not n:
@@ -43,9 +43,9 @@ def boundaries(data: bytes, least: int = LEAST, most: int = MOST, mask_bits: int
         width = 1
         while width < _REACH:
             longer = h.copy()
-            longer[width:] += h[:-width] << np.uint32(width)
+            longer[width:] += h[:-width] << np.uint16(width)
             h, width = longer, 2 * width
-        places = np.flatnonzero((h >> np.uint32(32 - mask_bits)) == 0) + first
+        places = np.flatnonzero((h >> np.uint16(16 - mask_bits)) == 0) + first
         cuts.extend((places[places >= start] + 1).tolist())
     for cut in cuts:
         while cut - begin > most:

@@ -19,8 +19,12 @@ from tickframe.session import cut_lineage, small_side
 
 
 def line_key(line: Column) -> Column:
-    """A line without surrounding white space, A-Z in lower case."""
-    return ascii_lower(F.btrim(line, F.lit(WHITE)))
+    """A line without surrounding white space. A-Z are put into lower case before, in the whole text at once."""
+    return F.btrim(line, F.lit(WHITE))
+
+
+def _lowered_lines(text: str) -> Column:
+    return F.split(ascii_lower(text_of(text)), "\n", -1)
 
 
 def _digest(value: Column) -> Column:
@@ -82,7 +86,7 @@ class LineRuns:
 def frequent_lines(docs: DataFrame, text: str, doc_id: str, min_docs: int, min_chars: int, batches: int) -> DataFrame:
     """Digests of the line keys that at least ``min_docs`` documents hold."""
     spark = docs.sparkSession
-    keys = F.filter(F.transform(F.split(text_of(text), "\n", -1), line_key), lambda k: F.length(k) >= min_chars)
+    keys = F.filter(F.transform(_lowered_lines(text), line_key), lambda k: F.length(k) >= min_chars)
     own = docs.select(
         F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.length(text_of(text))), F.lit(batches)).cast("int").alias("batch"),
         F.explode(F.array_distinct(keys)).alias("line"),
@@ -108,7 +112,7 @@ def drop_frequent_lines(
     """
     frequent = frequent_lines(docs, text, doc_id, min_docs, min_chars, batches)
     # Which lines go depends on the text alone, so places are gathered and joined by the text's digest.
-    places = docs.select(_digest(text_of(text)).alias("of"), F.posexplode(F.split(text_of(text), "\n", -1)).alias("place", "line")).select(
+    places = docs.select(_digest(text_of(text)).alias("of"), F.posexplode(_lowered_lines(text)).alias("place", "line")).select(
         "of", "place", _digest(line_key(F.col("line"))).alias("key")
     )
     hits = places.join(small_side(frequent), "key", "left_semi").groupBy("of").agg(F.sort_array(F.collect_set("place")).alias("places"))

@@ -13,7 +13,7 @@ group of near copies costs as many pairs as it has members. What no pivot settle
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import ascii_lower, let, text_of, words_of
@@ -24,7 +24,7 @@ WIDTH = 5
 PERCENT = 80
 # A shingle of more classes than this goes to the end of the order.
 COMMON = 64
-LONGEST = 8
+LONGEST = 12
 PAIRS_PER_ROW = 32
 NARROW_ROWS = 4_000_000  # two numbers a row: 64 MB
 
@@ -47,12 +47,29 @@ def _least(n: Column) -> Column:
     return n - F.ceil(n * PERCENT / 100.0).cast("int") + 1
 
 
-def _sets(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+def _stored(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """Per row: id, digest of its words, number of shingles, and the first of them, enough for a prefix and some more."""
     words = words_of(ascii_lower(text_of(text)))
     joined = F.array_join(F.col("w"), " ")
+
+    def head(tokens: Column) -> Column:
+        n = F.size(tokens)
+        return F.struct(n.alias("n"), F.slice(tokens, 1, F.greatest(F.lit(1), _least(n) + F.floor(n / 24).cast("int") + LONGEST)).alias("tokens"))
+
     return docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), words.alias("w")).select(
-        "doc_id", F.xxhash64(joined).alias("d1"), F.hash(joined).alias("d2"), shingle_hashes(F.col("w")).alias("tokens")
+        "doc_id", F.xxhash64(joined).alias("d1"), F.hash(joined).alias("d2"), let(shingle_hashes(F.col("w")), head).alias("s")
+    ).select("doc_id", "d1", "d2", "s.n", "s.tokens")
+
+
+def _classes(stored: DataFrame) -> DataFrame:
+    """One row for each digest. Only rows that share theirs with others are moved."""
+    rows = stored.where("n > 0")
+    several = small_side(rows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("d1", "d2"))
+    alone = rows.join(several, ["d1", "d2"], "left_anti").select("d1", "d2", F.col("doc_id").alias("smallest"), "n", "tokens")
+    together = rows.join(several, ["d1", "d2"], "left_semi").groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("smallest"), F.first("n").alias("n"), F.first("tokens").alias("tokens")
     )
+    return alone.unionByName(together).withColumn("cid", F.coalesce("smallest", "d1"))
 
 
 def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -62,12 +79,8 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     smallest id that links reach. Documents without words have no shingles and stay alone, as do rows without an id that
     link to none (their component is null). Rows of one id are one node. An empty table gives an empty result.
     """
-    stored = _sets(docs, text, doc_id).withColumn("n", F.size("tokens"))
-    stored = cut_lineage(stored.withColumn("tokens", F.slice("tokens", 1, F.greatest(F.lit(1), _least(F.col("n")) + F.floor(F.col("n") / 20).cast("int") + LONGEST))))
-    classes = cut_lineage(
-        stored.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("smallest"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-        .withColumn("cid", F.coalesce("smallest", "d1"))
-    )
+    stored = cut_lineage(_stored(docs, text, doc_id))
+    classes = _classes(stored)
     linked = _linked(classes, docs, text, doc_id)
     named = classes.select("d1", "d2", "cid", "smallest").join(linked, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     names = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
@@ -82,7 +95,7 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """``cid`` and ``label`` of all classes that have a link."""
     prefixes = _prefixes(classes, docs, text, doc_id)
-    lists = cut_lineage(prefixes.select("cid", "central", F.explode("prefix.token").alias("token")))
+    lists = prefixes.select("cid", "n", "l", "central", F.explode("prefix.token").alias("token"))
     rows = lists.count()
     links = None
     labels = None
@@ -99,15 +112,17 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
             break
         last = pairs <= PAIRS_PER_ROW * rows and labels is not None
         if last:
-            other = lists.select("token", F.col("cid").alias("y"), F.col("label").alias("y_label"))
-            met = lists.select("token", F.col("cid").alias("x"), F.col("label").alias("x_label")).join(other, "token").where("x < y AND x_label <> y_label")
+            # Two classes that are still apart and never met a pivot hold all their shared prefix shingles here.
+            x, y = (lists.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "l", "label")]) for s in "xy")
+            met = x.join(y, "token").where((F.col("x_cid") < F.col("y_cid")) & (F.col("x_label") != F.col("y_label")) & _fits("x_n", "y_n"))
+            shared = met.groupBy(F.col("x_cid").alias("x"), F.col("y_cid").alias("y")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x_l", "y_l")).alias("need"))
+            close = cut_lineage(shared.where("shared >= need").select("x", "y"))
         else:
-            # The pivots of the rarest component first once the largest groups are linked.
-            pivots = cut_lineage(lists.groupBy("token").agg(F.max(F.struct("central", "cid", "label")).alias("pivot")))
-            met = lists.join(pivots, "token").where("label <> pivot.label").select(
-                F.least("cid", "pivot.cid").alias("x"), F.greatest("cid", "pivot.cid").alias("y")
-            )
-        found = _verified(cut_lineage(met.select("x", "y").distinct()), prefixes, docs, text, doc_id)
+            pivots = cut_lineage(lists.groupBy("token").agg(F.max(F.struct("central", "cid", "label", "n")).alias("pivot")))
+            met = lists.join(pivots, "token").where((F.col("label") != F.col("pivot.label")) & _fits("n", "pivot.n"))
+            pairs = met.select(F.least("cid", "pivot.cid").alias("x"), F.greatest("cid", "pivot.cid").alias("y")).distinct()
+            close = _enough_shared(pairs, prefixes)
+        found = _verified(close, docs, text, doc_id)
         links = cut_lineage(found if links is None else links.union(found))
         labels = cut_lineage(components(links).toDF("cid", "label"))
         if last:
@@ -139,43 +154,37 @@ def _prefixes(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Da
         extra = full.select(F.explode("all").alias("x")).where("NOT x.late").select("x.token").distinct()
         extra = extra.join(shared.select("token"), "token", "left_anti").withColumn("df", F.lit(1).cast("bigint"))
     live = cut_lineage(shared if extra is None else shared.unionByName(extra))
-    item = F.struct("rank", "token", "df")
-    own = postings.join(small_side(live, NARROW_ROWS), "token").groupBy("cid", "n", "held").agg(F.sort_array(F.collect_list(item)).alias("live"))
+    own = postings.join(small_side(live, NARROW_ROWS), "token")
     if full is not None:
         own = own.join(dense, "cid", "left_anti")
-    is_common = lambda t: t["df"] > COMMON
-    # Ranks in the order that puts common shingles last.
-    late = F.transform(F.filter("live", is_common), lambda t: t["rank"])
-    early = let(
-        late, lambda c: F.transform(F.filter("live", lambda t: ~is_common(t)), lambda t: F.struct(t["token"], (t["rank"] - F.size(F.filter(c, lambda r: r < t["rank"]))).alias("rank"), t["df"]))
-    )
-    behind = let(
-        F.size(late),
-        lambda m: F.transform(F.filter("live", is_common), lambda t, i: F.struct(t["token"], (F.col("n") - m + i).alias("rank"), t["df"])),
-    )
-    ranked = own.select("cid", "n", "held", F.size(late).alias("n_common"), F.concat(early, behind).alias("ranked"), _mean_df("live", F.col("held")))
-    cost = F.aggregate(F.filter("ranked", lambda t: t["rank"] < least), F.lit(0).cast("bigint"), lambda s, t: s + t["df"])
-    asked = F.least(F.lit(LONGEST), 1 + F.floor(F.log2(1 + cost / least)).cast("int"))
-    # A prefix can be as long as the order is known: over the early shingles held, or over all.
-    reach = F.when(F.col("held") >= F.col("n"), F.col("n")).otherwise(F.col("held") - F.col("n_common"))
-    length = F.greatest(F.lit(1), F.least(asked, reach - least + 1))
-    parts = ranked.withColumn("least", least).withColumn("l", length)
+    found = own.select("cid", "n", "held", "rank", "token", "df")
     if full is not None:
-        whole = full.select("cid", "n", F.posexplode("all").alias("rank", "x")).select("cid", "n", "rank", F.col("x.token").alias("token"))
-        whole = whole.join(small_side(live, NARROW_ROWS), "token").groupBy("cid", "n").agg(F.sort_array(F.collect_list(item)).alias("live"))
-        whole = whole.select("cid", "n", F.transform("live", lambda t: F.struct(t["token"], t["rank"], t["df"])).alias("ranked"), _mean_df("live", least))
-        whole = whole.withColumn("least", least).withColumn("l", F.least(F.lit(LONGEST), F.col("n") - F.col("least") + 1))
-        parts = parts.select("cid", "n", "least", "l", "central", "ranked").unionByName(whole.select("cid", "n", "least", "l", "central", "ranked"))
-    inside = F.filter("ranked", lambda t: t["rank"] < F.col("least") + F.col("l") - 1)
+        whole = full.select("cid", "n", F.size("all").alias("kept"), F.posexplode("all").alias("place", "x"))
+        whole = whole.select("cid", "n", "kept", "place", F.col("x.token").alias("token")).join(small_side(live, NARROW_ROWS), "token")
+    of_class, so_far = Window.partitionBy("cid"), Window.partitionBy("cid").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    late = (F.col("df") > COMMON).cast("int")
+    # Places in the order that puts common shingles last.
+    placed = found.withColumn("late", late).withColumn("before", F.coalesce(F.sum("late").over(so_far), F.lit(0))).withColumn("n_late", F.sum("late").over(of_class))
+    placed = placed.withColumn("place", F.when(F.col("late") == 1, F.col("n") - F.col("n_late") + F.col("before")).otherwise(F.col("rank") - F.col("before")).cast("int"))
+    # A prefix can be as long as the order is known: over the other shingles held, or over all.
+    reach = F.when(F.col("held") >= F.col("n"), F.col("n")).otherwise(F.col("held") - F.col("n_late"))
+    columns = ["cid", "n", "place", "token", "df", "held", "reach"]
+    placed = placed.withColumn("reach", reach.cast("int")).select(*columns)
+    if full is not None:
+        # Of dense classes the whole order is known.
+        placed = placed.unionByName(whole.select("cid", "n", "place", "token", "df", F.col("kept").alias("held"), F.col("n").alias("reach")))
+    cost = F.sum(F.when(F.col("place") < least, F.col("df"))).over(of_class)
+    asked = F.least(F.lit(LONGEST), 1 + F.floor(F.log2(1 + F.coalesce(cost, F.lit(0)))).cast("int"))
+    sized = placed.select(
+        "*",
+        least.alias("least"),
+        F.greatest(F.lit(1), F.least(asked, F.col("reach") - least + 1)).alias("l"),
+        F.floor(F.sum("df").over(of_class) * 1000 / F.col("held")).cast("bigint").alias("central"),
+    )
+    inside = sized.where(F.col("place") < F.col("least") + F.col("l") - 1)
     return cut_lineage(
-        parts.select("cid", "n", "least", "l", "central", F.transform(inside, lambda t: F.struct(t["token"].alias("token"), t["rank"].cast("int").alias("rank"))).alias("prefix"))
-        .where(F.size("prefix") > 0)
-    )
-
-
-def _mean_df(live: str, held: Column) -> Column:
-    total = F.aggregate(live, F.lit(0).cast("bigint"), lambda s, t: s + t["df"])
-    return F.floor(total * 1000 / held).cast("bigint").alias("central")
+        inside.groupBy("cid", "n", "least", "l", "central").agg(F.collect_list(F.struct("token", F.col("place").alias("rank"))).alias("prefix"))
+    )
 
 
 def _full_sets(wanted: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -186,29 +195,31 @@ def _full_sets(wanted: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Da
     without = docs.where(id_column.isNull()).select(F.xxhash64(F.array_join(words, " ")).alias("cid"), text_of(text).alias("body"))
     picked = with_id.unionByName(without).join(wanted, "cid", "left_semi")
     sets = picked.select("cid", shingle_hashes(words_of(ascii_lower(F.col("body")))).alias("tokens"))
-    return sets.withColumn("n", F.size("tokens")).where("n > 0")
+    return sets.withColumn("n", F.size("tokens"))
+
 
+def _fits(x: str, y: str) -> Column:
+    """Sizes that leave room for the similarity."""
+    return F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT
 
-def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Links (a, b) among candidate ``pairs`` (x, y): sizes, then shared prefix shingles, then the whole sets."""
+
+def _enough_shared(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The candidate ``pairs`` (x, y) whose prefixes share as many shingles as their lengths ask."""
 
     def side(name: str) -> DataFrame:
-        return prefixes.select(*[F.col(c).alias(f"{name}_{c}") for c in ("cid", "n", "least", "l", "prefix")])
+        return prefixes.select(*[F.col(c).alias(f"{name}_{c}") for c in ("cid", "least", "l", "prefix")])
 
-    x, y = side("x"), side("y")
     need = F.least("x_l", "y_l")
 
     def within(s: str) -> Column:
         return F.transform(F.filter(f"{s}_prefix", lambda t: t["rank"] < F.col(f"{s}_least") + need - 1), lambda t: t["token"])
 
-    close = (
-        pairs.join(x, F.col("x") == F.col("x_cid"))
-        .join(y, F.col("y") == F.col("y_cid"))
-        .where(F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * PERCENT)
-        .where(F.size(F.array_intersect(within("x"), within("y"))) >= need)
-        .select("x", "y")
-    )
-    close = cut_lineage(close.distinct())
+    both = pairs.join(side("x"), F.col("x") == F.col("x_cid")).join(side("y"), F.col("y") == F.col("y_cid"))
+    return cut_lineage(both.where(F.size(F.array_intersect(within("x"), within("y"))) >= need).select("x", "y").distinct())
+
+
+def _verified(close: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """Links (a, b) among the pairs (x, y), by their whole sets."""
     wanted = close.select(F.col("x").alias("cid")).union(close.select("y")).distinct()
     sets = cut_lineage(_full_sets(small_side(wanted), docs, text, doc_id))
     left, right = sets.toDF("a", "a_tokens", "a_n"), sets.toDF("b", "b_tokens", "b_n")

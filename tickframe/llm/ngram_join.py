@@ -13,6 +13,10 @@ group of near copies costs as many pairs as it has members. What no pivot settle
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,43 +99,44 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """``cid`` and ``label`` of all classes that have a link."""
     prefixes = _prefixes(classes, docs, text, doc_id)
-    lists = prefixes.select("cid", "n", "l", "central", F.explode("prefix.token").alias("token"))
+    lists = prefixes.select("cid", "n", "l", "central", F.explode("prefix.token").alias("token")).withColumn("label", F.col("cid"))
     rows = lists.count()
-    links = None
-    labels = None
+    links, labels = None, None
     while True:
-        if labels is None:
-            here = lists.withColumn("label", F.col("cid"))
-        else:
-            here = lists.join(small_side(labels, NARROW_ROWS), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-        mixed = here.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        # Lists of one component are settled.
-        lists = cut_lineage(here.join(mixed.select("token", "df"), "token"))
-        pairs = lists.groupBy("token").agg(F.first("df").alias("df")).agg(F.sum(F.col("df") * (F.col("df") - 1) / 2)).first()[0]
+        # Lists of one component are settled and left out.
+        pivots = cut_lineage(
+            lists.groupBy("token").agg(
+                F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("central", "cid", "label", "n")).alias("pivot")
+            ).where("low < high").select("token", "df", "pivot")
+        )
+        pairs = pivots.agg(F.sum(F.col("df") * (F.col("df") - 1) / 2)).first()[0]
         if not pairs:
             break
         last = pairs <= PAIRS_PER_ROW * rows and labels is not None
         if last:
             # Two classes that are still apart and never met a pivot hold all their shared prefix shingles here.
-            x, y = (lists.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "l", "label")]) for s in "xy")
+            open_lists = lists.join(pivots.select("token"), "token", "left_semi")
+            x, y = (open_lists.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "l", "label")]) for s in "xy")
             met = x.join(y, "token").where((F.col("x_cid") < F.col("y_cid")) & (F.col("x_label") != F.col("y_label")) & _fits("x_n", "y_n"))
             shared = met.groupBy(F.col("x_cid").alias("x"), F.col("y_cid").alias("y")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x_l", "y_l")).alias("need"))
             close = cut_lineage(shared.where("shared >= need").select("x", "y"))
         else:
-            pivots = cut_lineage(lists.groupBy("token").agg(F.max(F.struct("central", "cid", "label", "n")).alias("pivot")))
             met = lists.join(pivots, "token").where((F.col("label") != F.col("pivot.label")) & _fits("n", "pivot.n"))
-            pairs = met.select(F.least("cid", "pivot.cid").alias("x"), F.greatest("cid", "pivot.cid").alias("y")).distinct()
-            close = _enough_shared(pairs, prefixes)
+            near = met.select(F.least("cid", "pivot.cid").alias("x"), F.greatest("cid", "pivot.cid").alias("y")).distinct()
+            close = _enough_shared(near, prefixes)
         found = _verified(close, docs, text, doc_id)
         links = cut_lineage(found if links is None else links.union(found))
-        labels = cut_lineage(components(links).toDF("cid", "label"))
+        labels = cut_lineage(components(links).toDF("cid", "new_label"))
         if last:
             break
-        settled = pivots.select("token", F.col("pivot.cid").alias("cid"))
-        lists = lists.drop("label", "df").join(settled, ["token", "cid"], "left_anti")
+        # A pivot has met all others of its list, which goes on without it as long as two are left.
+        left = lists.join(pivots.where("df > 2").select("token", F.col("pivot.cid").alias("pivot_cid")), "token").where("cid <> pivot_cid").drop("pivot_cid")
+        lists = cut_lineage(
+            left.join(small_side(labels, NARROW_ROWS), "cid", "left").withColumn("label", F.coalesce("new_label", "cid")).select("cid", "n", "l", "central", "token", "label")
+        )
     if labels is None:
         return classes.select("cid", F.col("cid").alias("label")).limit(0)
-    return labels
+    return labels.withColumnRenamed("new_label", "label")
 
 
 def _prefixes(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -194,8 +199,8 @@ def _full_sets(wanted: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Da
     with_id = docs.where(id_column.isNotNull()).select(id_column.alias("cid"), text_of(text).alias("body"))
     without = docs.where(id_column.isNull()).select(F.xxhash64(F.array_join(words, " ")).alias("cid"), text_of(text).alias("body"))
     picked = with_id.unionByName(without).join(wanted, "cid", "left_semi")
-    sets = picked.select("cid", shingle_hashes(words_of(ascii_lower(F.col("body")))).alias("tokens"))
-    return sets.withColumn("n", F.size("tokens"))
+    # Written here, else filters on the shingles would be moved below the join and computed for all documents.
+    return cut_lineage(picked.select("cid", shingle_hashes(words_of(ascii_lower(F.col("body")))).alias("tokens"))).withColumn("n", F.size("tokens"))
 
 
 def _fits(x: str, y: str) -> Column:
@@ -218,10 +223,55 @@ def _enough_shared(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
     return cut_lineage(both.where(F.size(F.array_intersect(within("x"), within("y"))) >= need).select("x", "y").distinct())
 
 
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """A bitmap of each set: a bit for the low bits of every shingle, eight bits or more a shingle in a power of two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = []
+            for tokens in batch.column("tokens"):
+                values = tokens.values.to_numpy()
+                width = 1 << max(6, int(8 * len(values) - 1).bit_length())
+                marks = np.zeros(width, np.uint8)
+                marks[values & (width - 1)] = 1
+                bits.append(np.packbits(marks, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("cid"), batch.column("n"), pa.array(bits, pa.binary())], ["cid", "n", "bits"])
+
+    return sets.select("cid", "n", "tokens").mapInArrow(run, "cid bigint, n int, bits binary")
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """Bits in which two bitmaps differ, after the longer one is folded: never more than the sets' different shingles."""
+    x, y, wide, narrow = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(a), 8 * len(b)
+    if wide < narrow:
+        x, y, wide, narrow = y, x, narrow, wide
+    while wide > narrow:
+        wide //= 2
+        x = (x >> wide) | (x & ((1 << wide) - 1))
+    return (x ^ y).bit_count()
+
+
+def _close_bitmaps(close: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (x, y) whose bitmaps leave room for the similarity; a bitmap has an eighth of the bytes of its set."""
+    bitmaps = _bitmaps(sets)
+    left, right = bitmaps.toDF("a", "a_n", "a_bits"), bitmaps.toDF("b", "b_n", "b_bits")
+    both = close.join(left, F.col("x") == F.col("a")).join(right, F.col("y") == F.col("b")).select("x", "y", (F.col("a_n") + F.col("b_n")).alias("n"), "a_bits", "b_bits")
+    share = (100 - PERCENT) / (100 + PERCENT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # At similarity t at most (1 - t) / (1 + t) of the sizes' sum is not shared.
+            keep = [differing_bits(a.as_py(), b.as_py()) <= share * n + 1e-6 for a, b, n in zip(batch.column("a_bits"), batch.column("b_bits"), batch.column("n").to_pylist())]
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    return cut_lineage(both.mapInArrow(run, "x bigint, y bigint"))
+
+
 def _verified(close: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Links (a, b) among the pairs (x, y), by their whole sets."""
+    """Links (a, b) among the pairs (x, y): by bitmaps, then by their whole sets."""
     wanted = close.select(F.col("x").alias("cid")).union(close.select("y")).distinct()
-    sets = cut_lineage(_full_sets(small_side(wanted), docs, text, doc_id))
+    sets = _full_sets(small_side(wanted), docs, text, doc_id)
+    close = _close_bitmaps(close, sets)
     left, right = sets.toDF("a", "a_tokens", "a_n"), sets.toDF("b", "b_tokens", "b_n")
     both = close.join(left, F.col("x") == F.col("a")).join(right, F.col("y") == F.col("b"))
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))

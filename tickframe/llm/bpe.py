@@ -11,25 +11,24 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import text_of
 from tickframe.session import new_path
 
-HEAD_WORDS = 600_000
-# A space before which no pre-token can end for certain: white space or the end follows.
-UNSAFE = re.compile(r" (?:\s|\Z)")
+HEAD_WORDS = 1_000_000
 FLUSH_WORDS = 300_000
 
 
@@ -134,13 +133,14 @@ def encode_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return merge_word(word, ranks) if len(word) <= 64 else merge_long_word(word, ranks)
 
 
-def split_parts(text: str) -> list[str] | None:
-    """Parts of a text between spaces, where every such space begins a pre-token; None where one does not.
+def is_part(part: str) -> bool:
+    """Whether a pre-token begins at the space before ``part``, a piece of a text between spaces.
 
     A space before a character that is not white space always begins a pre-token, so the pre-tokens of a text are those
-    of its parts, each with its space. Parts repeat, so each is matched against the pattern only once per task.
+    of its parts, each with its space. Parts repeat, so each is matched against the pattern only once per task. A text
+    with any other part is matched as a whole.
     """
-    return None if UNSAFE.search(text) else text.split(" ")
+    return bool(part) and not part[0].isspace()
 
 
 def _texts(batch: pa.RecordBatch, column: str) -> Iterator[str]:
@@ -156,8 +156,9 @@ def _word_counter(pattern: str) -> Callable:
 
         def flush() -> pa.RecordBatch:
             for part, n in parts.items():
-                for word in find(part):
-                    words[word] += n
+                if is_part(part):
+                    for word in find(" " + part):
+                        words[word] += n
             out = pa.RecordBatch.from_pydict({"word": list(words), "n": pa.array(words.values(), pa.int64())})
             parts.clear()
             words.clear()
@@ -167,20 +168,20 @@ def _word_counter(pattern: str) -> Callable:
         waiting = 0
         for batch in batches:
             for text in _texts(batch, "text"):
-                own = split_parts(text)
-                if own is None:
-                    words.update(set(find(text)))
-                else:
-                    seen.update(own[1:])
-                    parts[own[0]] += 1
+                first, *rest = text.split(" ")
+                words.update(find(first))
+                own = set(rest)
+                seen |= own
+                if not all(map(is_part, own)):
+                    words.update(find(text))
                 waiting += 1
                 if waiting >= 64:
-                    parts.update([" " + p for p in seen])
+                    parts.update(seen)
                     seen.clear()
                     waiting = 0
                     if len(parts) + len(words) > FLUSH_WORDS:
                         yield flush()
-        parts.update([" " + p for p in seen])
+        parts.update(seen)
         yield flush()
 
     return run
@@ -203,7 +204,7 @@ def word_table(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
 
     path = new_path(spark, "words")
     distinct = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    distinct.mapInArrow(encode, "word string, n bigint, ids binary").write.parquet(path)
+    distinct.mapInArrow(encode, "word string, n bigint, ids binary").write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -231,58 +232,68 @@ def _walk(head, pattern: str, out: Callable) -> Callable:
         find = regex.compile(pattern).findall
         known = head.value
         cache: dict[str, bytes | None] = {}
-        mixed: dict[str, list] = {}
+        mixed: dict[str, list | None] = {}
 
-        def learn(part: str, space: str) -> None:
-            pieces = [known.get(w, w) for w in find(space + part)]
-            if all(isinstance(p, bytes) for p in pieces):
-                cache[part] = b"".join(pieces)
+        def learn(part: str) -> bytes | None:
+            if not is_part(part):
+                ids, mixed[part] = None, None
             else:
-                cache[part], mixed[part] = None, pieces
+                pieces = [known.get(w, w) for w in find(" " + part)]
+                if all(isinstance(p, bytes) for p in pieces):
+                    ids = b"".join(pieces)
+                else:
+                    ids, mixed[part] = None, pieces
+            cache[part] = ids
+            return ids
 
         for batch in batches:
             found = []
             for text in _texts(batch, "text"):
-                own = split_parts(text)
-                if own is None:
+                first, *rest = text.split(" ")
+                if len(cache) > FLUSH_WORDS:
+                    cache.clear()
+                    mixed.clear()
+                parts = list(map(cache.get, rest, repeat(0)))
+                if 0 in parts:
+                    for part in {p for p, ids in zip(rest, parts) if ids == 0}:
+                        learn(part)
+                    parts = list(map(cache.__getitem__, rest))
+                pieces = [known.get(w, w) for w in find(first)]
+                if None not in parts:
+                    pieces += parts
+                elif any(mixed[p] is None for p, ids in zip(rest, parts) if ids is None):
                     pieces = [known.get(w, w) for w in find(text)]
                 else:
-                    if len(cache) > FLUSH_WORDS:
-                        cache.clear()
-                        mixed.clear()
-                    for part in set(own[1:]).difference(cache):
-                        learn(part, " ")
-                    pieces = [known.get(w, w) for w in find(own[0])]
-                    rest = [cache[p] for p in own[1:]]
-                    if None in rest:
-                        for part, ids in zip(own[1:], rest):
-                            if ids is None:
-                                pieces.extend(mixed[part])
-                            else:
-                                pieces.append(ids)
-                    else:
-                        pieces.extend(rest)
-                ids, places, words, length = [], [], [], 0
-                for piece in pieces:
-                    if isinstance(piece, bytes):
-                        ids.append(piece)
-                        length += len(piece)
-                    else:
-                        places.append(length)
-                        words.append(piece)
-                found.append((b"".join(ids), places, words))
+                    for part, ids in zip(rest, parts):
+                        if ids is None:
+                            pieces += mixed[part]
+                        else:
+                            pieces.append(ids)
+                places, words = [], []
+                if not all(isinstance(p, bytes) for p in pieces):
+                    ids, length = [], 0
+                    for piece in pieces:
+                        if isinstance(piece, bytes):
+                            ids.append(piece)
+                            length += len(piece)
+                        else:
+                            places.append(length)
+                            words.append(piece)
+                    pieces = ids
+                found.append((b"".join(pieces), places, words))
             yield out(batch, found)
 
     return run
 
 
 def _known_rows(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
+    squeeze = zstandard.ZstdCompressor(level=1).compress
     return pa.RecordBatch.from_arrays(
         [
             batch.column("k"),
             batch.column("h"),
             batch.column("doc_id"),
-            pa.array([ids for ids, _, _ in found], pa.binary()),
+            pa.array([squeeze(ids) for ids, _, _ in found], pa.binary()),
             pa.array([np.array(places, "<u4").tobytes() for _, places, _ in found], pa.binary()),
         ],
         ["k", "h", "doc_id", "known", "gaps"],
@@ -304,7 +315,9 @@ def _open_rows(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
 
 def _filled(batch: pa.RecordBatch, kind: str) -> Iterator[list[int]]:
     """Ids of each document, with the joined words put into their gaps."""
+    expand = zstandard.ZstdDecompressor().decompress
     for known, gaps, fill in zip(batch.column("known").to_pylist(), batch.column("gaps").to_pylist(), batch.column("fill").to_pylist()):
+        known = expand(known)
         if fill:
             pieces, at = [], 0
             for gap, ids in zip(np.frombuffer(gaps, "<u4").tolist(), fill):

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +25,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import text_of
+from tickframe.llm.common import free_finished, text_of
 from tickframe.session import new_path
 
-HEAD_WORDS = 1_000_000
+HEAD_WORDS = 700_000
+# White space after a space: such texts are matched as a whole.
+SPACED = re.compile(r" \s")
 FLUSH_WORDS = 300_000
+CACHED_PARTS = 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -133,14 +136,18 @@ def encode_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return merge_word(word, ranks) if len(word) <= 64 else merge_long_word(word, ranks)
 
 
-def is_part(part: str) -> bool:
-    """Whether a pre-token begins at the space before ``part``, a piece of a text between spaces.
+def split_part(part: str, find: Callable) -> list[str] | None:
+    """Pre-tokens of a part of a text between spaces, with the space before it; None where a pre-token may span it.
 
     A space before a character that is not white space always begins a pre-token, so the pre-tokens of a text are those
-    of its parts, each with its space. Parts repeat, so each is matched against the pattern only once per task. A text
-    with any other part is matched as a whole.
+    of its parts, and parts repeat. Letters of the Latin blocks, with marks behind them or not, need no pattern.
     """
-    return bool(part) and not part[0].isspace()
+    if not part or part[0].isspace():
+        return None
+    letters = part.rstrip(".,;:!?")
+    if letters.isalpha() and max(letters) < "\u0250":
+        return [" " + part] if letters == part else [" " + letters, part[len(letters) :]]
+    return find(" " + part)
 
 
 def _texts(batch: pa.RecordBatch, column: str) -> Iterator[str]:
@@ -156,9 +163,8 @@ def _word_counter(pattern: str) -> Callable:
 
         def flush() -> pa.RecordBatch:
             for part, n in parts.items():
-                if is_part(part):
-                    for word in find(" " + part):
-                        words[word] += n
+                for word in split_part(part, find) or ():
+                    words[word] += n
             out = pa.RecordBatch.from_pydict({"word": list(words), "n": pa.array(words.values(), pa.int64())})
             parts.clear()
             words.clear()
@@ -172,7 +178,7 @@ def _word_counter(pattern: str) -> Callable:
                 words.update(find(first))
                 own = set(rest)
                 seen |= own
-                if not all(map(is_part, own)):
+                if "" in own or SPACED.search(text):
                     words.update(find(text))
                 waiting += 1
                 if waiting >= 64:
@@ -205,6 +211,8 @@ def word_table(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
     path = new_path(spark, "words")
     distinct = counted.groupBy("word").agg(F.sum("n").alias("n"))
     distinct.mapInArrow(encode, "word string, n bigint, ids binary").write.option("compression", "zstd").parquet(path)
+    del counted, distinct
+    free_finished(spark)
     return spark.read.parquet(path)
 
 
@@ -225,63 +233,74 @@ def head_cut(words: DataFrame, limit: int) -> int:
     return cut if cut is not None else 1 << 20
 
 
-def _walk(head, pattern: str, out: Callable) -> Callable:
-    """Run over documents; ``out(batch, found)`` gets, per document, the known ids and the places and words of the rest."""
-
+class Lookup:
+    """Pieces of texts: bytes of ids where words are in the head, and the words themselves where they are not."""
+
+    def __init__(self, head: dict[str, bytes], pattern: str):
+        self.head, self.find = head, regex.compile(pattern).findall
+        self.known: dict[str, bytes] = {}
+        self.mixed: dict[str, list | None] = {}
+
+    def _words(self, words: list[str]) -> list:
+        return [self.head.get(w, w) for w in words]
+
+    def _learn(self, part: str) -> bytes | list | None:
+        words = split_part(part, self.find)
+        pieces = words and self._words(words)
+        if pieces and all(isinstance(p, bytes) for p in pieces):
+            pieces = self.known[part] = b"".join(pieces)
+        else:
+            self.mixed[part] = pieces
+        return pieces
+
+    def pieces(self, text: str) -> list:
+        """Bytes, and lists of bytes and words, in order."""
+        if len(self.known) + len(self.mixed) > CACHED_PARTS:
+            self.known.clear()
+            self.mixed.clear()
+        first, *rest = text.split(" ")
+        parts = list(map(self.known.get, rest))
+        if None in parts:
+            mixed = self.mixed
+            for i, ids in enumerate(parts):
+                if ids is None:
+                    part = rest[i]
+                    ids = mixed[part] if part in mixed else self._learn(part)
+                    if ids is None:
+                        return [self._words(self.find(text))]
+                    parts[i] = ids
+        return [self._words(self.find(first)), *parts]
+
+
+def _known(head, pattern: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(pattern).findall
-        known = head.value
-        cache: dict[str, bytes | None] = {}
-        mixed: dict[str, list | None] = {}
-
-        def learn(part: str) -> bytes | None:
-            if not is_part(part):
-                ids, mixed[part] = None, None
-            else:
-                pieces = [known.get(w, w) for w in find(" " + part)]
-                if all(isinstance(p, bytes) for p in pieces):
-                    ids = b"".join(pieces)
-                else:
-                    ids, mixed[part] = None, pieces
-            cache[part] = ids
-            return ids
-
+        lookup = Lookup(head.value, pattern)
         for batch in batches:
             found = []
             for text in _texts(batch, "text"):
-                first, *rest = text.split(" ")
-                if len(cache) > FLUSH_WORDS:
-                    cache.clear()
-                    mixed.clear()
-                parts = list(map(cache.get, rest, repeat(0)))
-                if 0 in parts:
-                    for part in {p for p, ids in zip(rest, parts) if ids == 0}:
-                        learn(part)
-                    parts = list(map(cache.__getitem__, rest))
-                pieces = [known.get(w, w) for w in find(first)]
-                if None not in parts:
-                    pieces += parts
-                elif any(mixed[p] is None for p, ids in zip(rest, parts) if ids is None):
-                    pieces = [known.get(w, w) for w in find(text)]
-                else:
-                    for part, ids in zip(rest, parts):
-                        if ids is None:
-                            pieces += mixed[part]
-                        else:
-                            pieces.append(ids)
-                places, words = [], []
-                if not all(isinstance(p, bytes) for p in pieces):
-                    ids, length = [], 0
-                    for piece in pieces:
-                        if isinstance(piece, bytes):
-                            ids.append(piece)
-                            length += len(piece)
-                        else:
-                            places.append(length)
-                            words.append(piece)
-                    pieces = ids
-                found.append((b"".join(pieces), places, words))
-            yield out(batch, found)
+                ids, places, length = [], [], 0
+                for piece in lookup.pieces(text):
+                    if type(piece) is bytes:
+                        ids.append(piece)
+                        length += len(piece)
+                    else:
+                        for one in piece:
+                            if type(one) is bytes:
+                                ids.append(one)
+                                length += len(one)
+                            else:
+                                places.append(length)
+                found.append((b"".join(ids), places))
+            yield _known_rows(batch, found)
+
+    return run
+
+
+def _open(head, pattern: str) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(head.value, pattern)
+        for batch in batches:
+            yield _open_rows(batch, [[w for p in lookup.pieces(t) if type(p) is list for w in p if type(w) is str] for t in _texts(batch, "text")])
 
     return run
 
@@ -293,21 +312,21 @@ def _known_rows(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
             batch.column("k"),
             batch.column("h"),
             batch.column("doc_id"),
-            pa.array([squeeze(ids) for ids, _, _ in found], pa.binary()),
-            pa.array([np.array(places, "<u4").tobytes() for _, places, _ in found], pa.binary()),
+            pa.array([squeeze(ids) for ids, _ in found], pa.binary()),
+            pa.array([np.array(places, "<u4").tobytes() for _, places in found], pa.binary()),
         ],
         ["k", "h", "doc_id", "known", "gaps"],
     )
 
 
 def _open_rows(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
-    repeat = [i for i, (_, _, words) in enumerate(found) for _ in words]
+    repeat = [i for i, words in enumerate(found) for _ in words]
     return pa.RecordBatch.from_arrays(
         [
             batch.column("k").take(pa.array(repeat, pa.int64())),
             batch.column("h").take(pa.array(repeat, pa.int64())),
-            pa.array([i for _, _, words in found for i in range(len(words))], pa.int32()),
-            pa.array([w for _, _, words in found for w in words], pa.string()),
+            pa.array([i for words in found for i in range(len(words))], pa.int32()),
+            pa.array([w for words in found for w in words], pa.string()),
         ],
         ["k", "h", "place", "word"],
     )
@@ -340,8 +359,8 @@ def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str,
     id_column = F.col(f"`{doc_id}`")
     keyed = docs.select(F.coalesce(id_column.cast("bigint"), F.lit(-1)).alias("k"), F.hash(body).alias("h"), id_column.alias("doc_id"), body.alias("text"))
     id_name = dict(keyed.dtypes)["doc_id"]
-    known = keyed.mapInArrow(_walk(head, pattern, _known_rows), f"k bigint, h int, doc_id {id_name}, known binary, gaps binary")
-    rest = keyed.mapInArrow(_walk(head, pattern, _open_rows), "k bigint, h int, place int, word string")
+    known = keyed.mapInArrow(_known(head, pattern), f"k bigint, h int, doc_id {id_name}, known binary, gaps binary")
+    rest = keyed.mapInArrow(_open(head, pattern), "k bigint, h int, place int, word string")
     tail = words.where(~reaches).select("word", "ids")
     filled = (
         rest.join(tail, "word")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -49,3 +50,13 @@ def own_name(df: DataFrame, base: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def free_finished(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove shuffle files and checkpoints that nothing refers to any more.
+
+    It does so only when the driver collects garbage, by default every half hour; until then the files of finished jobs
+    stay on the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

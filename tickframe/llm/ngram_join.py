@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import ascii_lower, let, text_of, words_of
+from tickframe.llm.common import ascii_lower, free_finished, let, text_of, words_of
 from tickframe.llm.graph import components
 from tickframe.session import cut_lineage, small_side
 
@@ -30,7 +30,7 @@ PERCENT = 80
 COMMON = 64
 LONGEST = 12
 PAIRS_PER_ROW = 32
-NARROW_ROWS = 4_000_000  # two numbers a row: 64 MB
+NARROW_ROWS = 1_000_000  # two numbers a row
 
 
 def shingle_hashes(words: Column, width: int = WIDTH) -> Column:
@@ -86,6 +86,7 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     stored = cut_lineage(_stored(docs, text, doc_id))
     classes = _classes(stored)
     linked = _linked(classes, docs, text, doc_id)
+    free_finished(docs.sparkSession)
     named = classes.select("d1", "d2", "cid", "smallest").join(linked, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     names = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
     by_class = named.join(names, "label").select("d1", "d2", "component_id")
@@ -127,6 +128,7 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
         found = _verified(close, docs, text, doc_id)
         links = cut_lineage(found if links is None else links.union(found))
         labels = cut_lineage(components(links).toDF("cid", "new_label"))
+        free_finished(docs.sparkSession)
         if last:
             break
         # A pivot has met all others of its list, which goes on without it as long as two are left.
@@ -143,11 +145,12 @@ def _prefixes(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Da
     """``cid``, ``n``, ``least``, ``l``, ``central`` and ``prefix``, an array of (token, rank), of the classes that share one."""
     postings = classes.select("cid", "n", F.size("tokens").alias("held"), F.posexplode("tokens").alias("rank", "token"))
     shared = cut_lineage(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-    common = small_side(shared.where(F.col("df") > COMMON).select("token"), NARROW_ROWS)
+    common = small_side(shared.where(F.col("df") > COMMON).select("token"))
     n_common = postings.join(common, "token").groupBy("cid", "n", "held").agg(F.count(F.lit(1)).alias("n_common"))
     # Classes whose stored shingles are too common to fill a prefix need all of theirs.
     dense = small_side(n_common.where((F.col("held") < F.col("n")) & (F.col("held") - F.col("n_common") < _least(F.col("n")))).select("cid"))
     least = _least(F.col("n"))
+    free_finished(docs.sparkSession)
     extra, full = None, None
     if dense.limit(1).count():
         flagged = _full_sets(dense, docs, text, doc_id).select("cid", "n", F.explode("tokens").alias("token")).join(
@@ -159,13 +162,14 @@ def _prefixes(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Da
         extra = full.select(F.explode("all").alias("x")).where("NOT x.late").select("x.token").distinct()
         extra = extra.join(shared.select("token"), "token", "left_anti").withColumn("df", F.lit(1).cast("bigint"))
     live = cut_lineage(shared if extra is None else shared.unionByName(extra))
-    own = postings.join(small_side(live, NARROW_ROWS), "token")
+    sizes = classes.select("cid", "n", F.size("tokens").alias("held"))
+    own = postings.select("cid", "rank", "token").join(small_side(live), "token").join(sizes, "cid")
     if full is not None:
         own = own.join(dense, "cid", "left_anti")
     found = own.select("cid", "n", "held", "rank", "token", "df")
     if full is not None:
         whole = full.select("cid", "n", F.size("all").alias("kept"), F.posexplode("all").alias("place", "x"))
-        whole = whole.select("cid", "n", "kept", "place", F.col("x.token").alias("token")).join(small_side(live, NARROW_ROWS), "token")
+        whole = whole.select("cid", "n", "kept", "place", F.col("x.token").alias("token")).join(live, "token")
     of_class, so_far = Window.partitionBy("cid"), Window.partitionBy("cid").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
     late = (F.col("df") > COMMON).cast("int")
     # Places in the order that puts common shingles last.

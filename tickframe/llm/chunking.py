@@ -134,7 +134,7 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sp
     kept = [c for c in docs.columns if c != "dropped_bytes"]
     keyed = docs.select(*[F.col(f"`{c}`") for c in kept], F.hash(text_of(text)).alias(f"{h}_own"))
     joined = keyed.join(by_row, keyed[f"`{doc_id}`"].eqNullSafe(by_row[k]) & (keyed[f"{h}_own"] == by_row[h]), "left").select(*[F.col(f"`{c}`") for c in kept], cuts)
-    schema = StructType([f for f in docs.schema.fields if f.name != "dropped_bytes"]).add("dropped_bytes", "bigint")
+    schema = StructType([f for f in docs.schema.fields if f.name != "dropped_bytes"]).add("dropped_bytes", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

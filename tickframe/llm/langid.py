@@ -185,7 +185,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                 [n for _, n in kept] + list(made),
             )
 
-    schema = StructType(docs.schema.fields).add("lang_pred", "string").add("lang_score", "double").add("lang_rejected", "boolean")
+    schema = StructType(list(docs.schema.fields)).add("lang_pred", "string").add("lang_score", "double").add("lang_rejected", "boolean")
     has_letter = text_of(text).rlike(r"\p{L}")
     return docs.withColumn(letters, F.when(has_letter, letters_of(text_of(text)))).mapInArrow(run, schema)
 

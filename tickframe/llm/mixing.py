@@ -121,13 +121,14 @@ def mix_sources(
     h, s = own_name(docs, "mix_hash"), own_name(docs, "mix_words")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("mix_size", "mix_source_size", "mix_target", "mix_copies")]
     sized = docs.select(*kept, row_hash(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias(h), size.alias(s))
-    plan = small_side(plan)
-    return sized.join(plan, sized[f"`{source}`"].eqNullSafe(plan["mixed_source"])).select(
+    own = [own_name(docs, f"mixed_{c}") for c in plan.columns]
+    of, source_size, target, copies, threshold = (F.col(c) for c in own)
+    return sized.join(small_side(plan.toDF(*own)), F.col(f"`{source}`").eqNullSafe(of)).select(
         *kept,
         F.col(s).alias("mix_size"),
-        plan["source_size"].alias("mix_source_size"),
-        plan["target"].alias("mix_target"),
-        (plan["whole"] + F.when(F.col(h) < plan["threshold"], 1).otherwise(0)).cast("bigint").alias("mix_copies"),
+        source_size.alias("mix_source_size"),
+        target.alias("mix_target"),
+        (copies + F.when(F.col(h) < threshold, 1).otherwise(0)).cast("bigint").alias("mix_copies"),
     )
 
 

@@ -81,7 +81,7 @@ def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
             found = pa.array([prints.of(t or "").hex() for t in batch.column(text).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "fingerprint"])
 
-    schema = StructType(docs.schema.fields).add("fingerprint", "string")
+    schema = StructType(list(docs.schema.fields)).add("fingerprint", "string")
     return docs.mapInArrow(run, schema)
 
 

@@ -203,3 +203,36 @@ def test_odd_and_empty_tables(odd, name):
     run = reports()[name]
     assert len(run(odd).collect()) == 5
     assert run(odd.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("name", ["op4_mixing", "op6_line_dedup"])
+def test_query_matches_sql(spark, name):
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from compare import connect, difference
+
+    from tickframe.llm.queries import QUERIES
+
+    assert difference(spark, connect(SF_DIR), SF_DIR, name, QUERIES[name]) is None
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    stages, outputs = dict(corpus_pipeline.STAGES), []
+    for name, stage in stages.items():
+        docs = stage(spark, docs, SF_DIR).checkpoint()
+        outputs.append(docs.collect())
+        if name != "encoding":
+            assert docs.columns == corpus_pipeline.COLUMNS
+    raw = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    languages, lines, apart, mixed, encoded = outputs
+    assert 0.9 * len(raw) <= len(languages) <= len(raw)
+    expected = brute.line_dedup([r.text for r in languages])
+    by_id = {r.doc_id: r for r in lines}
+    assert all(brute.sha(by_id[r.doc_id].text or "") == e[2] for r, e in zip(languages, expected))
+    components = brute.components([(r.doc_id, r.text) for r in lines])
+    assert {r.doc_id for r in apart} == {c for _, _, c in components} and len(apart) == len({r.doc_id for r in apart})
+    assert {r.doc_id for r in mixed} <= {r.doc_id for r in apart}
+    known = brute.tiktoken_encoding()
+    assert sorted((r.doc_id, r.n_tokens) for r in encoded) == sorted((r.doc_id, len(known.encode_ordinary(r.text or ""))) for r in mixed)

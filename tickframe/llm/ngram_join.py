@@ -27,7 +27,7 @@ from tickframe.session import cut_lineage, small_side
 WIDTH = 5
 PERCENT = 80
 # A shingle of more classes than this goes to the end of the order.
-COMMON = 64
+COMMON = 32
 LONGEST = 12
 PAIRS_PER_ROW = 32
 NARROW_ROWS = 1_000_000  # two numbers a row

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import WHITE, let, own_name, text_of, word_alternatives, words_of
+from tickframe.session import cut_lineage
 
 SYMBOLS = "#*$%&|<>"
 COMMON_WORDS = {
@@ -90,81 +91,98 @@ def common_words() -> list[str]:
     return sorted({w for words in COMMON_WORDS.values() for w in words})
 
 
-def language_references(docs: DataFrame, text: str = "text", lang: str = "lang", min_share: float = 0.01) -> list[tuple[str, list[float], list[float]]]:
+MEASURES, CHARS, COMMON = "quality", "quality_chars", "quality_common"
+
+
+def measure_quality(docs: DataFrame, text: str = "text") -> DataFrame:
+    """All columns of ``docs``, a struct ``quality`` of base measures, and the histograms ``quality_chars`` and
+    ``quality_common``. Columns of ``docs`` with these names are replaced."""
+    words_name = own_name(docs, "words")
+    words, body = F.col(words_name), text_of(text)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (MEASURES, CHARS, COMMON)]
+    lines = F.filter(F.split(body, "\n", -1), lambda line: F.length(F.btrim(line, F.lit(WHITE))) > 0)
+    n_words = F.size(words)
+    return docs.select(*kept, words_of(body).alias(words_name)).select(
+        *kept,
+        F.struct(
+            n_words.cast("bigint").alias("n_words"),
+            F.length(F.translate(body, WHITE, "")).cast("bigint").alias("word_chars"),
+            (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
+            _repeat_words(words).alias("n_repeat_words"),
+        ).alias(MEASURES),
+        _class_counts(body).alias(CHARS),
+        _common_counts(body, n_words, common_words()).alias(COMMON),
+    )
+
+
+def language_references(measured: DataFrame, lang: str = "lang", min_share: float = 0.01) -> list[tuple[str, list[float], list[float]]]:
     """Character-class and common-word probabilities of the languages that label at least ``min_share`` of all rows.
 
-    Sums run over all documents with a language; at most ``1 / min_share`` languages come back.
+    Sums run over all measured documents with a language; at most ``1 / min_share`` languages come back.
     """
-    words = common_words()
-    n_classes, n_words = len(CLASSES) + 1, len(words) + 1
-    body = text_of(text)
-    own = docs.where(F.col(f"`{lang}`").isNotNull()).select(
-        F.col(f"`{lang}`").alias("lang"), _class_counts(body).alias("chars"), _common_counts(body, F.regexp_count(body, F.lit(r"[^\s]+")), words).alias("words")
-    )
-    sums = own.groupBy("lang").agg(
+    n_classes, n_words = len(CLASSES) + 1, len(common_words()) + 1
+    sums = measured.groupBy(F.col(f"`{lang}`").alias("language")).agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.sum(F.get("chars", F.lit(i))).cast("double").alias(f"c{i}") for i in range(n_classes)],
-        *[F.sum(F.get("words", F.lit(i))).cast("double").alias(f"w{i}") for i in range(n_words)],
+        *[F.sum(F.get(CHARS, F.lit(i))).cast("double").alias(f"c{i}") for i in range(n_classes)],
+        *[F.sum(F.get(COMMON, F.lit(i))).cast("double").alias(f"w{i}") for i in range(n_words)],
     )
-    total = docs.count()
     found = []
-    for row in sums.where(F.col("rows") >= min_share * total).orderBy("lang").collect():
+    total = measured.count()
+    for row in sums.where((F.col("rows") >= min_share * total) & F.col("language").isNotNull()).orderBy("language").collect():
         chars = [row[f"c{i}"] or 0.0 for i in range(n_classes)]
         common = [row[f"w{i}"] or 0.0 for i in range(n_words)]
         if sum(chars) and sum(common):
-            found.append((row["lang"], [x / sum(chars) for x in chars], [x / sum(common) for x in common]))
+            found.append((row["language"], [x / sum(chars) for x in chars], [x / sum(common) for x in common]))
     return found
 
 
-def judge_quality(
-    docs: DataFrame,
-    text: str = "text",
-    lang: str = "lang",
+def judge_measured(
+    measured: DataFrame,
+    references: list[tuple[str, list[float], list[float]]],
     min_words: int = 50,
     max_repeat_percent: int = 50,
     max_char_distance: float = 0.35,
     max_word_distance: float = 0.65,
     min_histogram_chars: int = 200,
     min_histogram_words: int = 150,
-    references: list[tuple[str, list[float], list[float]]] | None = None,
 ) -> DataFrame:
-    """All columns of ``docs`` and a struct ``quality``: base measures, distances to the nearest language and verdicts.
+    """Add the distances to the nearest language and the verdicts to ``quality``; the histograms are dropped."""
 
-    A null text has no words and fails the base rules as any text below ``min_words``. Texts shorter than a histogram's
-    minimum get no verdict from it, and without references (no labelled rows) only the base rules count. Repeated rows
-    are judged alike. A column ``quality`` of ``docs`` is replaced.
-    """
-    references = language_references(docs, text, lang) if references is None else references
-    words_name = own_name(docs, "words")
-    words, body = F.col(words_name), text_of(text)
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != "quality"]
-    lines = F.filter(F.split(body, "\n", -1), lambda line: F.length(F.btrim(line, F.lit(WHITE))) > 0)
-    n_words = F.size(words)
-    listed = common_words()
-
-    def nearest(counts: Column, which: int) -> Column:
+    def nearest(counts: str, which: int) -> Column:
         if not references:
             return F.lit(None).cast("double")
         distances = F.array(*[F.array(*[F.lit(float(p)) for p in r[which]]) for r in references])
-        return let(counts, lambda c: F.array_min(F.transform(distances, lambda q: jensen_shannon(c, q))))
+        return let(F.col(counts), lambda c: F.array_min(F.transform(distances, lambda q: jensen_shannon(c, q))))
 
-    measures = docs.select(*kept, words_of(body).alias(words_name)).select(
-        *kept,
+    q = F.col(MEASURES)
+    n_chars = F.aggregate(CHARS, F.lit(0), lambda s, x: s + x)
+    compared = measured.withColumn(
+        MEASURES,
         F.struct(
-            n_words.cast("bigint").alias("n_words"),
-            F.length(F.translate(body, WHITE, "")).cast("bigint").alias("word_chars"),
-            (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
-            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
-            _repeat_words(words).alias("n_repeat_words"),
-            F.when(F.length(body) >= min_histogram_chars, nearest(_class_counts(body), 1)).alias("char_distance"),
-            F.when(n_words >= min_histogram_words, nearest(_common_counts(body, n_words, listed), 2)).alias("word_distance"),
-        ).alias("quality"),
-    )
-    q = F.col("quality")
+            f"{MEASURES}.*",
+            F.when(n_chars >= min_histogram_chars, nearest(CHARS, 1)).alias("char_distance"),
+            F.when(q["n_words"] >= min_histogram_words, nearest(COMMON, 2)).alias("word_distance"),
+        ),
+    ).drop(CHARS, COMMON)
     failed = (q["n_words"] < min_words) | (q["n_repeat_words"] * 100 > q["n_words"] * max_repeat_percent)
     far = F.coalesce(q["char_distance"] > max_char_distance, F.lit(False)) | F.coalesce(q["word_distance"] > max_word_distance, F.lit(False))
-    return measures.withColumn("quality", F.struct("quality.*", failed.alias("base_failed"), (~failed & ~far).alias("kept")))
+    return compared.withColumn(MEASURES, F.struct(f"{MEASURES}.*", failed.alias("base_failed"), (~failed & ~far).alias("kept")))
+
+
+def judge_quality(docs: DataFrame, text: str = "text", lang: str = "lang", **limits) -> DataFrame:
+    """All columns of ``docs`` and a struct ``quality``: base measures, distances to the nearest language and verdicts.
+
+    A null text has no words and fails the base rules as any text below ``min_words``. Texts shorter than a histogram's
+    minimum get no verdict from it, and without references (no labelled rows) only the base rules count. Repeated rows
+    are judged alike. A column ``quality`` of ``docs`` is replaced. ``limits`` are those of ``judge_measured``. The texts
+    are read twice, as they are not kept between the sums and the verdicts.
+    """
+    measured = measure_quality(docs, text)
+    return judge_measured(measured, language_references(measured, lang), **limits)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
-    return judge_quality(docs.select("doc_id", "text", "lang")).select("doc_id", "quality.*")
+    """One narrow row per document. Measures and histograms are written once, so the texts are read once."""
+    measured = cut_lineage(measure_quality(docs.select("doc_id", "text", "lang")).drop("text"))
+    return judge_measured(measured, language_references(measured)).select("doc_id", f"{MEASURES}.*")

@@ -35,22 +35,25 @@ def quality_report(
     """One row: totals, duplicates, prices at or below zero, missing values per column, and the verdict.
 
     Copies of a row are counted together first, inside each input task, so a group of copies that makes up much of the
-    table shuffles as one row. With ``keys``, rows that share a key count as duplicates even when ingest stamps
+    table shuffles as one row. A price column that is not there is an error. With ``keys``, rows that share a key count as duplicates even when ingest stamps
     differ. ``max_nulls`` compares all missing values with the number of rows; ``max_column_nulls`` adds a limit for
     every single column.
     """
     missing = {c: is_missing(df, c) for c in df.columns}
-    invalid = F.col(price) <= 0 if price in df.columns else F.lit(False)
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    if price is not None and price not in df.columns:
+        raise ValueError(f"no price column {price}; pass price=None to leave prices unchecked")
+    invalid = F.lit(False) if price is None else F.col(price) <= 0
+    # With keys one grouping is enough, and only the keys and the measures move.
+    counted = df.withColumn("_copies", F.lit(1)) if keys else df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     measures = {
         "_rows": F.sum("_copies"),
         "_invalid": F.sum(F.when(invalid, F.col("_copies")).otherwise(0)),
         **{f"_null_{c}": F.sum(F.when(flag, F.col("_copies")).otherwise(0)) for c, flag in missing.items()},
     }
     if keys is None:
-        first = groups.agg(F.count(F.lit(1)).alias("_groups"), *[m.alias(n) for n, m in measures.items()])
+        first = counted.agg(F.count(F.lit(1)).alias("_groups"), *[m.alias(n) for n, m in measures.items()])
     else:
-        per_key = groups.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
+        per_key = counted.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
         first = per_key.agg(F.count(F.lit(1)).alias("_groups"), *[F.sum(n).alias(n) for n in measures])
 
     def whole(name: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from tickframe.functions.times import collection_open
+from tickframe.functions.times import SEOUL, collection_open
 from tickframe.operators.enrich import METRIC_KEYS, PROFILE_NUMBER_KEYS, PROFILE_TEXT_KEYS, QUOTE_KEYS
 from tickframe.operators.quality import newest_rows, profile, time_columns
 from tickframe.operators.universe import DEFAULT_SYMBOLS, choose_universe
@@ -67,7 +67,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
     spark = build_session(f"tickframe-{args.job}")
-    if getattr(args, "in_session_only", False) and not collection_open(spark):
+    if getattr(args, "in_session_only", False) and not collection_open(spark, zone=SEOUL):
         return 0
     if args.job == "collect":
         topic = {"kafka.bootstrap.servers": args.servers, "topic": args.topic} if args.format == "kafka" else {}

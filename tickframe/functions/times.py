@@ -57,16 +57,26 @@ def minute_key_text(symbol: Column, date: Column, hour: Column, minute: Column)
     )
 
 
-def in_collection_hours(moment: Column) -> Column:
-    """Weekday (Monday is 0) before Saturday, and the hour 23 or 0 to 6."""
-    hour = F.hour(moment)
-    return (F.weekday(moment) < 5) & ((hour >= 23) | (hour <= 6))
+SEOUL = "Asia/Seoul"
 
 
-def collection_open(spark: SparkSession, now: Column | None = None) -> bool:
-    """Whether a scheduled run at this moment should do its work."""
+def in_collection_hours(moment: Column, zone: str | None = None) -> Column:
+    """Weekday (Monday is 0) before Saturday, and the hour 23 or 0 to 6.
+
+    Without a zone the moment's own hours count. With one, a UTC instant is put into that zone first, and the hours
+    after midnight belong to the day before, so that the night from Friday to Saturday is open and the one from Sunday
+    to Monday is not.
+    """
+    local = moment if zone is None else F.from_utc_timestamp(moment, zone)
+    day = local if zone is None else local - F.expr("INTERVAL 7 HOURS")
+    hour = F.hour(local)
+    return (F.weekday(day) < 5) & ((hour >= 23) | (hour <= 6))
+
+
+def collection_open(spark: SparkSession, now: Column | None = None, zone: str | None = None) -> bool:
+    """Whether a scheduled run at this UTC instant should do its work; the hours are those of ``zone``, if given."""
     moment = F.current_timestamp() if now is None else now
-    return bool(spark.range(1).select(in_collection_hours(moment)).first()[0])
+    return bool(spark.range(1).select(in_collection_hours(moment, zone)).first()[0])
 
 
 def in_market_session(

@@ -3,7 +3,8 @@
 Documents with the same words are one class. The shingles of a class are ordered: first the others by their hash, last
 the ones that many classes share. Of two classes with a Jaccard similarity of 0.8 or more, each misses less than a fifth
 of its shingles in the other, so the first fifth and one more of each, the prefixes, share a shingle; prefixes longer by
-``l - 1`` share at least ``l``. The more candidates a class's prefix brings, by the frequencies of its shingles, the
+``l - 1`` share at least ``l``. For a given pair the sizes of both tell how much they must overlap, and so how far into
+each prefix the ``l`` shared shingles lie; shared ones beyond that do not count. The more candidates a class's prefix brings, by the frequencies of its shingles, the
 longer its prefix is made, and the more shared shingles a pair needs before it is verified.
 
 Candidates are not all pairs of a list. In each list one pivot, the class with the most widely shared shingles, meets
@@ -100,14 +101,14 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """``cid`` and ``label`` of all classes that have a link."""
     prefixes = _prefixes(classes, docs, text, doc_id)
-    lists = prefixes.select("cid", "n", "l", "central", F.explode("prefix.token").alias("token")).withColumn("label", F.col("cid"))
+    lists = prefixes.select("cid", "n", "l", "central", F.inline("prefix")).withColumn("label", F.col("cid"))
     rows = lists.count()
     links, labels = None, None
     while True:
         # Lists of one component are settled and left out.
         pivots = cut_lineage(
             lists.groupBy("token").agg(
-                F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("central", "cid", "label", "n")).alias("pivot")
+                F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("central", "cid", "label", "n", "l", "rank")).alias("pivot")
             ).where("low < high").select("token", "df", "pivot")
         )
         pairs = pivots.agg(F.sum(F.col("df") * (F.col("df") - 1) / 2)).first()[0]
@@ -117,12 +118,12 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
         if last:
             # Two classes that are still apart and never met a pivot hold all their shared prefix shingles here.
             open_lists = lists.join(pivots.select("token"), "token", "left_semi")
-            x, y = (open_lists.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "l", "label")]) for s in "xy")
-            met = x.join(y, "token").where((F.col("x_cid") < F.col("y_cid")) & (F.col("x_label") != F.col("y_label")) & _fits("x_n", "y_n"))
+            x, y = (open_lists.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "l", "rank", "label")]) for s in "xy")
+            met = x.join(y, "token").where((F.col("x_cid") < F.col("y_cid")) & (F.col("x_label") != F.col("y_label")) & _fits("x_n", "y_n") & _counts("x_", "y_"))
             shared = met.groupBy(F.col("x_cid").alias("x"), F.col("y_cid").alias("y")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x_l", "y_l")).alias("need"))
             close = cut_lineage(shared.where("shared >= need").select("x", "y"))
         else:
-            met = lists.join(pivots, "token").where((F.col("label") != F.col("pivot.label")) & _fits("n", "pivot.n"))
+            met = lists.join(pivots, "token").where((F.col("label") != F.col("pivot.label")) & _fits("n", "pivot.n") & _counts("", "pivot."))
             near = met.select(F.least("cid", "pivot.cid").alias("x"), F.greatest("cid", "pivot.cid").alias("y")).distinct()
             close = _enough_shared(near, prefixes)
         found = _verified(close, docs, text, doc_id)
@@ -134,7 +135,7 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
         # A pivot has met all others of its list, which goes on without it as long as two are left.
         left = lists.join(pivots.where("df > 2").select("token", F.col("pivot.cid").alias("pivot_cid")), "token").where("cid <> pivot_cid").drop("pivot_cid")
         lists = cut_lineage(
-            left.join(small_side(labels, NARROW_ROWS), "cid", "left").withColumn("label", F.coalesce("new_label", "cid")).select("cid", "n", "l", "central", "token", "label")
+            left.join(small_side(labels, NARROW_ROWS), "cid", "left").withColumn("label", F.coalesce("new_label", "cid")).select("cid", "n", "l", "central", "token", "rank", "label")
         )
     if labels is None:
         return classes.select("cid", F.col("cid").alias("label")).limit(0)
@@ -212,19 +213,32 @@ def _fits(x: str, y: str) -> Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT
 
 
+def _reach(x: str, y: str) -> Column:
+    """Places of ``x`` before which it shares ``need``, the smaller ``l``, shingles with a similar ``y``.
+
+    Similar sets share at least t / (1 + t) of the sum of their sizes. Behind the ``need``-th shared shingle lie all but
+    ``need`` of them, so it is not among the last of ``x``.
+    """
+    overlap = F.ceil((F.col(f"{x}n") + F.col(f"{y}n")) * F.lit(PERCENT) / F.lit(100 + PERCENT) - 1e-9)
+    return F.col(f"{x}n") - overlap + F.least(f"{x}l", f"{y}l")
+
+
+def _counts(x: str, y: str) -> Column:
+    """Whether a shingle at ``rank`` of both counts for the pair."""
+    return (F.col(f"{x}rank") < _reach(x, y)) & (F.col(f"{y}rank") < _reach(y, x))
+
+
 def _enough_shared(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
     """The candidate ``pairs`` (x, y) whose prefixes share as many shingles as their lengths ask."""
 
     def side(name: str) -> DataFrame:
-        return prefixes.select(*[F.col(c).alias(f"{name}_{c}") for c in ("cid", "least", "l", "prefix")])
-
-    need = F.least("x_l", "y_l")
+        return prefixes.select(*[F.col(c).alias(f"{name}_{c}") for c in ("cid", "n", "l", "prefix")])
 
-    def within(s: str) -> Column:
-        return F.transform(F.filter(f"{s}_prefix", lambda t: t["rank"] < F.col(f"{s}_least") + need - 1), lambda t: t["token"])
+    def within(s: str, other: str) -> Column:
+        return F.transform(F.filter(f"{s}_prefix", lambda t: t["rank"] < _reach(f"{s}_", f"{other}_")), lambda t: t["token"])
 
     both = pairs.join(side("x"), F.col("x") == F.col("x_cid")).join(side("y"), F.col("y") == F.col("y_cid"))
-    return cut_lineage(both.where(F.size(F.array_intersect(within("x"), within("y"))) >= need).select("x", "y").distinct())
+    return cut_lineage(both.where(F.size(F.array_intersect(within("x", "y"), within("y", "x"))) >= F.least("x_l", "y_l")).select("x", "y").distinct())
 
 
 def _bitmaps(sets: DataFrame) -> DataFrame:

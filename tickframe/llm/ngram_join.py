@@ -7,7 +7,7 @@ of its shingles in the other, so the first fifth and one more of each, the prefi
 each prefix the ``l`` shared shingles lie; shared ones beyond that do not count. The more candidates a class's prefix brings, by the frequencies of its shingles, the
 longer its prefix is made, and the more shared shingles a pair needs before it is verified.
 
-Candidates are not all pairs of a list. In each list one pivot, the class with the most widely shared shingles, meets
+Candidates are not all pairs of a list. In each list a few pivots, the classes with the most widely shared shingles, meet
 the rest; verified links merge classes, and only classes of different components meet in the next round, so a large
 group of near copies costs as many pairs as it has members. What no pivot settles is compared pair by pair.
 """
@@ -31,6 +31,7 @@ PERCENT = 80
 COMMON = 32
 LONGEST = 12
 PAIRS_PER_ROW = 32
+PIVOTS = 4
 NARROW_ROWS = 1_000_000  # two numbers a row
 
 
@@ -103,13 +104,15 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
     prefixes = _prefixes(classes, docs, text, doc_id)
     lists = prefixes.select("cid", "n", "l", "central", F.inline("prefix")).withColumn("label", F.col("cid"))
     rows = lists.count()
+    member = F.struct("central", "cid", "label", "n", "l", "rank")
+    first_of = [F.max(F.when(F.pmod(F.hash("cid"), F.lit(PIVOTS)) == i, member)) for i in range(PIVOTS)]
     links, labels = None, None
     while True:
         # Lists of one component are settled and left out.
         pivots = cut_lineage(
             lists.groupBy("token").agg(
-                F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("central", "cid", "label", "n", "l", "rank")).alias("pivot")
-            ).where("low < high").select("token", "df", "pivot")
+                F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.array_compact(F.array(*first_of)).alias("pivots")
+            ).where("low < high").select("token", "df", "pivots")
         )
         pairs = pivots.agg(F.sum(F.col("df") * (F.col("df") - 1) / 2)).first()[0]
         if not pairs:
@@ -123,7 +126,7 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
             shared = met.groupBy(F.col("x_cid").alias("x"), F.col("y_cid").alias("y")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x_l", "y_l")).alias("need"))
             close = cut_lineage(shared.where("shared >= need").select("x", "y"))
         else:
-            met = lists.join(pivots, "token").where((F.col("label") != F.col("pivot.label")) & _fits("n", "pivot.n") & _counts("", "pivot."))
+            met = lists.join(pivots, "token").withColumn("pivot", F.explode("pivots")).where((F.col("label") != F.col("pivot.label")) & _fits("n", "pivot.n") & _counts("", "pivot."))
             near = met.select(F.least("cid", "pivot.cid").alias("x"), F.greatest("cid", "pivot.cid").alias("y")).distinct()
             close = _enough_shared(near, prefixes)
         found = _verified(close, docs, text, doc_id)
@@ -132,8 +135,9 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
         free_finished(docs.sparkSession)
         if last:
             break
-        # A pivot has met all others of its list, which goes on without it as long as two are left.
-        left = lists.join(pivots.where("df > 2").select("token", F.col("pivot.cid").alias("pivot_cid")), "token").where("cid <> pivot_cid").drop("pivot_cid")
+        # Pivots have met all others of their list, which goes on without them as long as two are left.
+        longer = pivots.where("df > size(pivots) + 1").select("token", F.col("pivots.cid").alias("met"))
+        left = lists.join(longer, "token").where(~F.array_contains("met", F.col("cid"))).drop("met")
         lists = cut_lineage(
             left.join(small_side(labels, NARROW_ROWS), "cid", "left").withColumn("label", F.coalesce("new_label", "cid")).select("cid", "n", "l", "central", "token", "rank", "label")
         )

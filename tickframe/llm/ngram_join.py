@@ -9,7 +9,9 @@ longer its prefix is made, and the more shared shingles a pair needs before it i
 
 Candidates are not all pairs of a list. In each list a few pivots, the classes with the most widely shared shingles, meet
 the rest; verified links merge classes, and only classes of different components meet in the next round, so a large
-group of near copies costs as many pairs as it has members. What no pivot settles is compared pair by pair.
+group of near copies costs as many pairs as it has members. Rounds end when few pairs are open or the last one settled
+less than half of them; what is open then is compared pair by pair. Every class carries a small parity sketch of its
+set, and a meeting becomes a row only if the sketches leave room for the similarity.
 """
 
 from __future__ import annotations
@@ -30,8 +32,10 @@ PERCENT = 80
 # A shingle of more classes than this goes to the end of the order.
 COMMON = 32
 LONGEST = 12
+# Open pairs for each row of the lists that may be left to the comparison of sketches.
 PAIRS_PER_ROW = 32
 PIVOTS = 4
+SKETCH_WORDS = 8  # of 64 bits
 NARROW_ROWS = 1_000_000  # two numbers a row
 
 
@@ -54,26 +58,45 @@ def _least(n: Column) -> Column:
 
 
 def _stored(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Per row: id, digest of its words, number of shingles, and the first of them, enough for a prefix and some more."""
+    """Per row: id, digest of its words, number of shingles, sketch, and the first shingles, enough for a prefix and some more."""
     words = words_of(ascii_lower(text_of(text)))
-    joined = F.array_join(F.col("w"), " ")
+    joined, longest = F.array_join(F.col("w"), " "), LONGEST
 
-    def head(tokens: Column) -> Column:
-        n = F.size(tokens)
-        return F.struct(n.alias("n"), F.slice(tokens, 1, F.greatest(F.lit(1), _least(n) + F.floor(n / 24).cast("int") + LONGEST)).alias("tokens"))
-
-    return docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), words.alias("w")).select(
-        "doc_id", F.xxhash64(joined).alias("d1"), F.hash(joined).alias("d2"), let(shingle_hashes(F.col("w")), head).alias("s")
-    ).select("doc_id", "d1", "d2", "s.n", "s.tokens")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column("tokens")
+            values, starts = tokens.values.to_numpy(), tokens.offsets.to_numpy()
+            sizes = np.diff(starts)
+            held = np.minimum(sizes, np.maximum(1, sizes - -(-sizes * PERCENT // 100) + 1 + sizes // 24 + longest))
+            ends = np.concatenate([[0], np.cumsum(held)])
+            first = values[np.repeat(starts[:-1] - ends[:-1], held) + np.arange(ends[-1])]
+            heads = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(first, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in ("doc_id", "d1", "d2")] + [pa.array(sizes, pa.int32()), heads, _sketches(values[starts[0] : starts[-1]], sizes)],
+                ["doc_id", "d1", "d2", "n", "tokens", "bits"],
+            )
+
+    sets = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), words.alias("w")).select(
+        "doc_id", F.xxhash64(joined).alias("d1"), F.hash(joined).alias("d2"), shingle_hashes(F.col("w")).alias("tokens")
+    )
+    return sets.mapInArrow(run, "doc_id bigint, d1 bigint, d2 int, n int, tokens array<bigint>, bits array<bigint>")
+
+
+def _sketches(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """For each set its parities: how often, even or odd, the low bits of its shingles name each of the sketch's bits."""
+    width = 64 * SKETCH_WORDS
+    marks = np.bincount(np.repeat(np.arange(len(sizes)), sizes) * width + (values & (width - 1)), minlength=len(sizes) * width)
+    words = np.packbits((marks & 1).astype(np.uint8), bitorder="little").view("<i8")
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, SKETCH_WORDS), pa.int32()), pa.array(words, pa.int64()))
 
 
 def _classes(stored: DataFrame) -> DataFrame:
     """One row for each digest. Only rows that share theirs with others are moved."""
     rows = stored.where("n > 0")
     several = small_side(rows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("d1", "d2"))
-    alone = rows.join(several, ["d1", "d2"], "left_anti").select("d1", "d2", F.col("doc_id").alias("smallest"), "n", "tokens")
+    alone = rows.join(several, ["d1", "d2"], "left_anti").select("d1", "d2", F.col("doc_id").alias("smallest"), "n", "tokens", "bits")
     together = rows.join(several, ["d1", "d2"], "left_semi").groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("smallest"), F.first("n").alias("n"), F.first("tokens").alias("tokens")
+        F.min("doc_id").alias("smallest"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits")
     )
     return alone.unionByName(together).withColumn("cid", F.coalesce("smallest", "d1"))
 
@@ -102,11 +125,11 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """``cid`` and ``label`` of all classes that have a link."""
     prefixes = _prefixes(classes, docs, text, doc_id)
-    lists = prefixes.select("cid", "n", "l", "central", F.inline("prefix")).withColumn("label", F.col("cid"))
+    lists = prefixes.select("cid", "n", "l", "central", "bits", F.inline("prefix")).withColumn("label", F.col("cid"))
     rows = lists.count()
-    member = F.struct("central", "cid", "label", "n", "l", "rank")
+    member = F.struct("central", "cid", "label", "n", "l", "rank", "bits")
     first_of = [F.max(F.when(F.pmod(F.hash("cid"), F.lit(PIVOTS)) == i, member)) for i in range(PIVOTS)]
-    links, labels = None, None
+    links, labels, before = None, None, None
     while True:
         # Lists of one component are settled and left out.
         pivots = cut_lineage(
@@ -114,19 +137,24 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
                 F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.array_compact(F.array(*first_of)).alias("pivots")
             ).where("low < high").select("token", "df", "pivots")
         )
-        pairs = pivots.agg(F.sum(F.col("df") * (F.col("df") - 1) / 2)).first()[0]
-        if not pairs:
+        if not pivots.limit(1).count():
             break
-        last = pairs <= PAIRS_PER_ROW * rows and labels is not None
+        last = False
+        if labels is not None:
+            of_label = lists.join(pivots.select("token"), "token", "left_semi").groupBy("token", "label").agg(F.count(F.lit(1)).cast("double").alias("c"))
+            per_list = of_label.groupBy("token").agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"))
+            pairs = per_list.agg(F.sum("pairs")).first()[0]
+            last = pairs <= PAIRS_PER_ROW * rows or (before is not None and pairs > before / 2)
+            before = pairs
         if last:
             # Two classes that are still apart and never met a pivot hold all their shared prefix shingles here.
             open_lists = lists.join(pivots.select("token"), "token", "left_semi")
-            x, y = (open_lists.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "l", "rank", "label")]) for s in "xy")
-            met = x.join(y, "token").where((F.col("x_cid") < F.col("y_cid")) & (F.col("x_label") != F.col("y_label")) & _fits("x_n", "y_n") & _counts("x_", "y_"))
+            x, y = (open_lists.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "l", "rank", "label", "bits")]) for s in "xy")
+            met = x.join(y, "token").where((F.col("x_cid") < F.col("y_cid")) & (F.col("x_label") != F.col("y_label")) & _fits("x_", "y_") & _counts("x_", "y_"))
             shared = met.groupBy(F.col("x_cid").alias("x"), F.col("y_cid").alias("y")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x_l", "y_l")).alias("need"))
             close = cut_lineage(shared.where("shared >= need").select("x", "y"))
         else:
-            met = lists.join(pivots, "token").withColumn("pivot", F.explode("pivots")).where((F.col("label") != F.col("pivot.label")) & _fits("n", "pivot.n") & _counts("", "pivot."))
+            met = lists.join(pivots, "token").withColumn("pivot", F.explode("pivots")).where((F.col("label") != F.col("pivot.label")) & _fits("", "pivot.") & _counts("", "pivot."))
             near = met.select(F.least("cid", "pivot.cid").alias("x"), F.greatest("cid", "pivot.cid").alias("y")).distinct()
             close = _enough_shared(near, prefixes)
         found = _verified(close, docs, text, doc_id)
@@ -139,7 +167,7 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
         longer = pivots.where("df > size(pivots) + 1").select("token", F.col("pivots.cid").alias("met"))
         left = lists.join(longer, "token").where(~F.array_contains("met", F.col("cid"))).drop("met")
         lists = cut_lineage(
-            left.join(small_side(labels, NARROW_ROWS), "cid", "left").withColumn("label", F.coalesce("new_label", "cid")).select("cid", "n", "l", "central", "token", "rank", "label")
+            left.join(small_side(labels, NARROW_ROWS), "cid", "left").withColumn("label", F.coalesce("new_label", "cid")).select("cid", "n", "l", "central", "bits", "token", "rank", "label")
         )
     if labels is None:
         return classes.select("cid", F.col("cid").alias("label")).limit(0)
@@ -147,7 +175,7 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
 
 
 def _prefixes(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """``cid``, ``n``, ``least``, ``l``, ``central`` and ``prefix``, an array of (token, rank), of the classes that share one."""
+    """``cid``, ``n``, ``least``, ``l``, ``central``, ``bits`` and ``prefix``, an array of (token, rank), of the classes that share one."""
     postings = classes.select("cid", "n", F.size("tokens").alias("held"), F.posexplode("tokens").alias("rank", "token"))
     shared = cut_lineage(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     common = small_side(shared.where(F.col("df") > COMMON).select("token"))
@@ -196,9 +224,8 @@ def _prefixes(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Da
         F.floor(F.sum("df").over(of_class) * 1000 / F.col("held")).cast("bigint").alias("central"),
     )
     inside = sized.where(F.col("place") < F.col("least") + F.col("l") - 1)
-    return cut_lineage(
-        inside.groupBy("cid", "n", "least", "l", "central").agg(F.collect_list(F.struct("token", F.col("place").alias("rank"))).alias("prefix"))
-    )
+    prefixes = inside.groupBy("cid", "n", "least", "l", "central").agg(F.collect_list(F.struct("token", F.col("place").alias("rank"))).alias("prefix"))
+    return cut_lineage(prefixes.join(classes.select("cid", "bits"), "cid"))
 
 
 def _full_sets(wanted: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -213,8 +240,10 @@ def _full_sets(wanted: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Da
 
 
 def _fits(x: str, y: str) -> Column:
-    """Sizes that leave room for the similarity."""
-    return F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT
+    """Sizes and sketches that leave room for the similarity: every shingle of one set alone changes one parity at most."""
+    sizes = F.least(f"{x}n", f"{y}n") * 100 >= F.greatest(f"{x}n", f"{y}n") * PERCENT
+    differing = sum((F.bit_count(F.get(f"{x}bits", i).bitwiseXOR(F.get(f"{y}bits", i))) for i in range(SKETCH_WORDS)), F.lit(0))
+    return sizes & (differing * (100 + PERCENT) <= (F.col(f"{x}n") + F.col(f"{y}n")) * (100 - PERCENT))
 
 
 def _reach(x: str, y: str) -> Column:

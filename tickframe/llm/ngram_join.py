@@ -35,7 +35,7 @@ LONGEST = 12
 # Open pairs for each row of the lists that may be left to the comparison of sketches.
 PAIRS_PER_ROW = 32
 PIVOTS = 4
-SKETCH_WORDS = 8  # of 64 bits
+SKETCH_WORDS = 4  # of 64 bits
 NARROW_ROWS = 1_000_000  # two numbers a row
 
 
@@ -125,6 +125,7 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """``cid`` and ``label`` of all classes that have a link."""
     prefixes = _prefixes(classes, docs, text, doc_id)
+    free_finished(docs.sparkSession)
     lists = prefixes.select("cid", "n", "l", "central", "bits", F.inline("prefix")).withColumn("label", F.col("cid"))
     rows = lists.count()
     member = F.struct("central", "cid", "label", "n", "l", "rank", "bits")
@@ -139,6 +140,7 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
         )
         if not pivots.limit(1).count():
             break
+        free_finished(docs.sparkSession)
         last = False
         if labels is not None:
             of_label = lists.join(pivots.select("token"), "token", "left_semi").groupBy("token", "label").agg(F.count(F.lit(1)).cast("double").alias("c"))
@@ -156,7 +158,8 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
         else:
             met = lists.join(pivots, "token").withColumn("pivot", F.explode("pivots")).where((F.col("label") != F.col("pivot.label")) & _fits("", "pivot.") & _counts("", "pivot."))
             near = met.select(F.least("cid", "pivot.cid").alias("x"), F.greatest("cid", "pivot.cid").alias("y")).distinct()
-            close = _enough_shared(near, prefixes)
+            close = _enough_shared(cut_lineage(near), prefixes)
+        free_finished(docs.sparkSession)
         found = _verified(close, docs, text, doc_id)
         links = cut_lineage(found if links is None else links.union(found))
         labels = cut_lineage(components(links).toDF("cid", "new_label"))

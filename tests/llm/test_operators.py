@@ -156,6 +156,38 @@ def test_chunks(spark):
     assert ends[-1] == len(body) and all(0 < b - a <= chunking.MOST for a, b in zip([0, *ends], ends))
 
 
+def test_chunks_stay_with_their_owner(spark):
+    x, y, z = prose(401, 80), prose(402, 80), prose(403, 80)
+    data = [(1, f"{prose(411, 80)} {x} {y} {prose(412, 80)}"), (5, f"{prose(413, 80)} {x} {y} {z} {prose(414, 80)}"), (9, f"{prose(415, 80)} {y} {z} {prose(416, 80)}")]
+    data.append((12, data[1][1]))
+    frame = spark.createDataFrame(data, "doc_id bigint, text string")
+    cleaned = {r.doc_id: r for r in chunking.drop_repeats(frame).collect()}
+    for passage in (x, y, z):
+        middle = passage[130:-130]
+        assert [i for i, r in sorted(cleaned.items()) if middle in r.text] == [5 if passage == z else 1]
+    whole = {i: data for i, data in data}
+
+    def held(text):
+        body, out, at = text.encode(), set(), 0
+        for end in chunking.boundaries(body):
+            out.add(body[at:end])
+            at = end
+        return out
+
+    kept = set().union(*(held(t) for t in whole.values()))
+    assert all(any(c in r.text.encode() for r in cleaned.values()) for c in kept)
+    assert any(r.is_first for r in chunking.repeated_spans(frame).where("doc_id = 5").collect())
+    report = chunking.span_report(frame).collect()
+    assert {(r.doc_id, r.dropped_bytes, r.kept_sha256) for r in report} == {(i, r.dropped_bytes, brute.sha(r.text)) for i, r in cleaned.items()}
+
+
+def test_chunk_counts_are_of_documents(spark):
+    passage = prose(420, 120)
+    texts = {1: f"{passage} {passage} {passage}", 2: f"{prose(421, 60)} {passage}"}
+    frame = spark.createDataFrame([*texts.items(), (2, texts[2])], "doc_id bigint, text string")
+    assert {r.n_docs for r in chunking.repeated_spans(frame).collect()} == {2}
+
+
 def test_language_on_held_out_rows(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = langid.language_report(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL")

@@ -2,8 +2,8 @@
 
 A gear rolling hash over the bytes of a text decides where a chunk ends, so the same passage is cut at the same places
 whatever stands before it. Chunks are compared by digest. A chunk held by two documents or more is a repeat; adjacent
-repeats of a document form a span, and spans of some length are passages that other documents hold too. The document
-with the smallest id keeps a passage, the others may drop it.
+repeats of a document form a passage that other documents hold too. The document with the smallest id keeps a chunk, the
+others may drop it, so a passage is split into spans where the keeper of its chunks changes.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickframe.llm.common import own_name, text_of
+from tickframe.session import cut_lineage
 
 # A boundary is possible at one byte in 32; with the least length a chunk has some 48 bytes.
 MASK_BITS, LEAST, MOST = 5, 16, 128
@@ -100,27 +101,31 @@ def chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", span_bytes: int = SPAN_BYTES) -> DataFrame:
     """Passages that documents of other ids hold too: doc_id, h, span_start, span_end (bytes), n_docs, owner, is_first.
 
-    A span is a run of adjacent repeated chunks of at least ``span_bytes``; ``n_docs`` is the largest number of rows that
-    hold one of its chunks, ``owner`` the smallest id that holds its first chunk, and ``is_first`` says that no smaller
-    id holds any of its chunks. Rows of one id count as one document, and rows without an id as another one.
+    A passage is a run of adjacent repeated chunks of at least ``span_bytes``. It is split into spans where ownership
+    changes, so that a span holds only chunks of which its document has the smallest id (``is_first``), or only chunks
+    that a smaller id holds. ``n_docs`` is the largest number of documents (distinct ids and texts) that hold one of its
+    chunks, and ``owner`` the smallest id that holds its first chunk. Rows of one id count as one owner, and rows without
+    an id as another one.
     """
     cut = chunks(docs, text, doc_id)
     id_key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    once = cut.groupBy("d1", "d2").agg(F.min(id_key).alias("owner"), F.max(id_key).alias("last"), F.count(F.lit(1)).alias("n_docs"))
-    repeats = cut.join(once.where("owner < last").drop("last"), ["d1", "d2"]).drop("d1", "d2")
+    # A text that repeats a chunk within itself counts once; no task gathers the holders of a chunk.
+    held = cut.select("d1", "d2", "doc_id", "h").distinct()
+    once = held.groupBy("d1", "d2").agg(F.min(id_key).alias("owner"), F.max(id_key).alias("last"), F.count(F.lit(1)).alias("n_docs"))
+    repeats = cut.join(once.where("owner < last").drop("last"), ["d1", "d2"]).drop("d1", "d2").withColumn("own", F.col("owner") == id_key)
     row = Window.partitionBy("doc_id", "h").orderBy("place")
     # Repeated rows give every chunk twice; they count once.
-    runs = repeats.withColumn("run", F.col("place") - F.dense_rank().over(row))
-    spans = runs.groupBy("doc_id", "h", "run").agg(
+    runs = repeats.withColumns({"run": F.col("place") - F.dense_rank().over(row), "turn": (F.col("own") != F.lag("own").over(row)).cast("int")})
+    parts = runs.withColumn("part", F.coalesce(F.sum("turn").over(row), F.lit(0))).groupBy("doc_id", "h", "run", "part").agg(
         F.min("start").alias("span_start"),
         F.max(F.col("start") + F.col("size")).alias("span_end"),
         F.max("n_docs").alias("n_docs"),
         F.min(F.struct("place", "owner")).alias("first"),
-        F.min((F.col("owner") == id_key).cast("int")).alias("own"),
-    )
-    return spans.where(F.col("span_end") - F.col("span_start") >= span_bytes).select(
-        "doc_id", "h", "span_start", "span_end", "n_docs", F.when(F.col("first.owner") != -(1 << 63), F.col("first.owner")).alias("owner"), (F.col("own") == 1).alias("is_first")
+        F.first("own").alias("is_first"),
     )
+    passage = Window.partitionBy("doc_id", "h", "run")
+    long = parts.withColumn("bytes", F.max("span_end").over(passage) - F.min("span_start").over(passage)).where(F.col("bytes") >= span_bytes)
+    return long.select("doc_id", "h", "span_start", "span_end", "n_docs", F.when(F.col("first.owner") != -(1 << 63), F.col("first.owner")).alias("owner"), "is_first")
 
 
 def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", span_bytes: int = SPAN_BYTES) -> DataFrame:
@@ -128,7 +133,11 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sp
 
     A null text stays null. Cuts are moved outward to whole characters, into the text that stays.
     """
-    spans = repeated_spans(docs, text, doc_id, span_bytes).where(~F.col("is_first"))
+    return _without_spans(docs, repeated_spans(docs, text, doc_id, span_bytes), text, doc_id)
+
+
+def _without_spans(docs: DataFrame, spans: DataFrame, text: str, doc_id: str) -> DataFrame:
+    spans = spans.where(~F.col("is_first"))
     k, h, cuts = (own_name(docs, n) for n in ("span_id", "span_hash", "span_cuts"))
     by_row = spans.groupBy(F.col("doc_id").alias(k), F.col("h").alias(h)).agg(F.sort_array(F.collect_list(F.struct("span_start", "span_end"))).alias(cuts))
     kept = [c for c in docs.columns if c != "dropped_bytes"]
@@ -159,5 +168,10 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sp
 
 
 def span_report(docs: DataFrame) -> DataFrame:
-    """One row for every repeated passage of a document."""
-    return repeated_spans(docs.select("doc_id", "text")).drop("h")
+    """One row for every span of a repeated passage of a document, with the bytes that its document loses in all and a
+    digest of the text that it keeps."""
+    docs = docs.select("doc_id", "text")
+    spans = cut_lineage(repeated_spans(docs))
+    cleaned = _without_spans(docs.withColumn("of_hash", F.hash(text_of("text"))), spans, "text", "doc_id")
+    left = cleaned.select(F.col("doc_id").alias("of_id"), "of_hash", "dropped_bytes", F.sha2("text", 256).alias("kept_sha256")).distinct()
+    return spans.join(left, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_hash"))).drop("h", "of_id", "of_hash")

@@ -52,6 +52,22 @@ def license_hits(text, rules):
     return sorted(found), sorted(standing)
 
 
+def license_standing_ungated(text, rules):
+    """Numbers of the rules whose detections stand, with every rule tried on every text."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    plain = f" {' '.join(words)} "
+    found = []
+    for number, rule in enumerate(rules):
+        for m in re.finditer(f"(?<= )(?:{rule.pattern})(?= )", plain):
+            start = plain[: m.start()].count(" ")
+            found.append((start, start + m.group().count(" ") + 1, rule.priority, number))
+
+    def hidden(d):
+        return any(o[0] <= d[0] and o[1] >= d[1] and o[2] <= d[2] and (o[:2] != d[:2] or o[2:] < d[2:]) for o in found if o != d)
+
+    return [d[3] for d in found if not hidden(d)]
+
+
 def tiktoken_encoding():
     with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}

@@ -61,6 +61,47 @@ def test_licenses(docs, texts):
         assert (r.labels, r.n_hits) == (",".join(sorted(labels)), len(standing))
 
 
+def alternatives(tree):
+    """Some texts that a parsed pattern matches: every branch, with and without every optional part."""
+    out = [""]
+    for kind, value in tree:
+        name = str(kind)
+        if name == "LITERAL":
+            more = [chr(value)]
+        elif name == "IN":
+            more = ["1"] if str(value[0][0]) == "CATEGORY" else [chr(v) for _, v in value]
+        elif name == "ANY":
+            more = ["x"]
+        elif name == "BRANCH":
+            more = [x for branch in value[1] for x in alternatives(branch)]
+        elif name == "SUBPATTERN":
+            more = alternatives(value[3])
+        else:
+            assert name in ("MAX_REPEAT", "MIN_REPEAT")
+            more = [*([""] if value[0] == 0 else []), *alternatives(value[2])]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_keywords_cover_every_alternative():
+    from re import _parser
+
+    for rule in license_scan.default_rules():
+        for text in alternatives(_parser.parse(rule.pattern)):
+            assert not text.endswith(" "), rule
+            assert set(text.split()) & set(rule.keywords), (rule, text)
+
+
+def test_licenses_without_gate(spark):
+    texts = ["GPL3", "uses GPL2 code", "the beerware license", "FreeBSD license", "licensed under the FreeBSD license", "an MIT style license here", "MIT-style licence", "for noncommercial use only", "the licence terms", "nothing"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rules = license_scan.default_rules()
+    for r in license_scan.license_report(frame).collect():
+        standing = brute.license_standing_ungated(texts[r.doc_id], rules)
+        assert (r.labels, r.n_hits) == (",".join(sorted({rules[n].label for n in standing})), len(standing))
+        assert (r.n_hits > 0) == (texts[r.doc_id] != "nothing")
+
+
 def test_bpe(docs, texts, spark):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     known = brute.tiktoken_encoding()

@@ -1,8 +1,8 @@
 """License scan: ordered signature rules, gated by keywords, with overlapping detections resolved.
 
-A text is reduced to its lower-case words. Every rule is a regular expression over these words, names one keyword
-without which it cannot match, and has a priority (0 is the strongest). Texts without any keyword are not scanned;
-in the others only the rules whose keyword occurs are tried. A detection is suppressed when the interval of another
+A text is reduced to its lower-case words. Every rule is a regular expression over these words, names keywords
+of which a matching text has one or more, and has a priority (0 is the strongest). Texts without any keyword are not scanned;
+in the others only the rules of which a keyword occurs are tried. A detection is suppressed when the interval of another
 one of the same or a stronger priority contains it. All of this happens within a row, so nothing is shuffled.
 """
 
@@ -26,6 +26,11 @@ class Rule(NamedTuple):
     keyword: str
     pattern: str
     base: bool = False
+    others: tuple[str, ...] = ()  # keywords of those alternatives of the pattern that lack the first one
+
+    @property
+    def keywords(self) -> tuple[str, ...]:
+        return (self.keyword, *self.others)
 
 
 # Phrases and labels of the base detections.
@@ -36,6 +41,16 @@ BASE_PHRASES = [
     ("mit license", "mit", "mit"),
 ]
 
+# Words by which a pattern matches without its rule's keyword: pattern (or name) -> further keywords.
+FURTHER = {
+    r"(?:gnu )?affero general public license|gnu agpl": ("agpl",),
+    r"the beer ?ware license": ("beerware",),
+    r"(?:2|two) clause bsd license|bsd 2 clause license|simplified bsd license|freebsd license": ("freebsd",),
+    r"gnu gpl|gpl(?: v)?[123]?|under the gpl": ("gpl1", "gpl2", "gpl3"),
+    r"commercial license|for non ?commercial use only": ("noncommercial",),
+    r"(?:see|read) the (?:file )?license|license agreement|licen[cs]e terms": ("licence",),
+}
+
 # label, keyword, name as a pattern over words, identifier as a pattern over words
 NAMES = [
     ("afl-3.0", "academic", r"academic free license(?: version| v)? 3(?: 0)?", r"afl 3 0"),
@@ -151,7 +166,7 @@ NOTICES = [
     ("mpl", 2, 0.7, "mozilla", r"mozilla public license"),
     ("epl", 2, 0.7, "eclipse", r"eclipse public license"),
     ("bsd", 2, 0.6, "bsd", r"bsd (?:style )?licen[cs]ed?|bsd license"),
-    ("mit", 2, 0.6, "mit", r"mit (?:style |licensed|licen[cs]ed)|under(?: the)? mit"),
+    ("mit", 2, 0.6, "mit", r"mit (?:style licen[cs]ed?|licen[cs]ed)|under(?: the)? mit"),
     ("ofl", 2, 0.6, "font", r"open font license"),
     ("artistic", 2, 0.6, "artistic", r"artistic license"),
     ("boost", 2, 0.6, "boost", r"boost software license"),
@@ -180,11 +195,11 @@ NOTICES = [
 def default_rules() -> list[Rule]:
     """The base phrases, the sentences, and three forms of every named license; earlier rules win ties."""
     rules = [Rule(label, 1, 0.8, keyword, phrase, True) for phrase, label, keyword in BASE_PHRASES]
-    rules += [Rule(*row) for row in NOTICES]
+    rules += [Rule(*row, others=FURTHER.get(row[-1], ())) for row in NOTICES]
     for label, keyword, name, identifier in NAMES:
         rules += [
-            Rule(label, 1, 0.9, keyword, name),
-            Rule(label, 0, 1.0, keyword, f"(?:licensed|released|distributed|available|published|provided) under (?:the )?(?:terms of (?:the )?)?(?:{name})"),
+            Rule(label, 1, 0.9, keyword, name, others=FURTHER.get(name, ())),
+            Rule(label, 0, 1.0, keyword, f"(?:licensed|released|distributed|available|published|provided) under (?:the )?(?:terms of (?:the )?)?(?:{name})", others=FURTHER.get(name, ())),
             Rule(label, 0, 0.95, "spdx", f"spdx license identifier (?:{identifier})"),
         ]
     return rules
@@ -260,15 +275,15 @@ def scan_licenses(docs: DataFrame, text: str = "text", rules: list[Rule] | None
         *[
             F.struct(
                 F.lit(i).alias("number"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(float(r.score)).alias("score"),
-                F.lit(f" {r.keyword} ").alias("keyword"), F.lit(r.pattern).alias("pattern"), F.lit(r.base).alias("base"),
+                F.array(*[F.lit(f" {k} ") for k in r.keywords]).alias("keywords"), F.lit(r.pattern).alias("pattern"), F.lit(r.base).alias("base"),
             )
             for i, r in enumerate(rules)
         ]
     )
-    gate = f" (?:{word_alternatives(r.keyword for r in rules)}) "
+    gate = f" (?:{word_alternatives(k for r in rules for k in r.keywords)}) "
     plain_name = own_name(docs, "plain")
     plain = F.col(plain_name)
-    found = F.flatten(F.transform(F.filter(table, lambda r: F.contains(plain, r["keyword"])), lambda r: _places(plain, r)))
+    found = F.flatten(F.transform(F.filter(table, lambda r: F.exists(r["keywords"], lambda k: F.contains(plain, k))), lambda r: _places(plain, r)))
     element = "array<struct<start:bigint,`end`:bigint,priority:int,rule:int,label:string,score:double,base:boolean,suppressed:boolean>>"
     kept = [c for c in docs.columns if c not in ("license_words", "license_hits")]
     return docs.select(*[F.col(f"`{c}`") for c in kept], plain_words(text_of(text)).alias(plain_name)).select(

@@ -129,6 +129,24 @@ def test_quality(docs, texts):
         assert not (r.base_failed and r.kept)
 
 
+def written(seed, n, letters, common=()):
+    r = random.Random(seed)
+    return " ".join(r.choice(common) if common and r.random() < 0.4 else "".join(r.choice(letters) for _ in range(r.randint(3, 8))) for _ in range(n))
+
+
+def test_quality_keeps_rare_scripts_and_fails_word_salad(spark):
+    latin, english = "abcdefghijklmnopqrstuvwxyz", quality.COMMON_WORDS["en"]
+    data = [(i, written(i, 300, latin, english), "en") for i in range(300)]
+    data += [(1000, written(1000, 300, "的一是不了人我在有他这为之大来以个中上们"), "zh"), (1001, written(1001, 300, "ابتثجحخدذرزسشصضطظعغ"), None)]
+    data += [(1002, written(1002, 300, "абвгдежзиклмнопрст"), None), (1003, written(1003, 300, "абвгдежзиклмнопрст"), "ru")]
+    data += [(2000, written(2000, 300, latin), "en"), (2001, written(2001, 3000, latin), None), (2002, "0123456789 " * 60, "en")]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r for r in quality.quality_report(frame).collect()}
+    assert not found[2000].kept and not found[2001].kept and not found[2000].base_failed and not found[2001].base_failed
+    assert all(r.kept for i, r in found.items() if i < 2000)
+    assert not found[2002].kept
+
+
 def test_mixing_reaches_targets(docs):
     found = mixing.mix_sources(docs).collect()
     by = {}

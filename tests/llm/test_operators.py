@@ -255,6 +255,16 @@ def test_language_on_held_out_rows(spark):
     assert found.where("rejected").count() <= 0.03 * n
 
 
+def test_every_language_is_learnt(spark):
+    data = [(70 * k + n, " ".join(written(1000 * n + k + i, 12, chr(0x4E00 + 8 * n) + chr(0x4E01 + 8 * n)) for i in range(3)), f"l{n:02}") for n in range(70) for k in range(6)]
+    data += [(9000 + i, "zq zqq qz", "l70") for i in range(8)]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string, lang string")
+    for total in (langid.SAMPLE_TOTAL, 71):
+        model = langid.fit(frame, total=total)
+        assert model.languages == [f"l{n:02}" for n in range(71)]
+    assert langid.fit(frame.limit(0)) is None
+
+
 def test_ngram_join(docs, texts, monkeypatch):
     expected = brute.components(list(texts.items()))
     for common, longest in ((64, 12), (3, 4), (1, 1)):

@@ -13,14 +13,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickframe.llm.common import own_name, text_of
 
 BUCKETS, DIMENSIONS, LONGEST = 1 << 13, 16, 4
-SAMPLE_PER_LANGUAGE = 600
+# Rows of one language, and of all languages together, that the model learns from; a language has one row at least.
+SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL = 600, 38_400
 UNKNOWN = "und"
 
 
@@ -80,6 +81,8 @@ def train(samples: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 12, r
 
     learning = [s for i, s in enumerate(samples) if i % 5 != 4] or samples
     checking = [s for i, s in enumerate(samples) if i % 5 == 4] or samples
+    learnt = {s[0] for s in learning}
+    learning += [s for s in checking if s[0] not in learnt]
     for epoch in range(epochs):
         order = random.permutation(len(learning))
         for start in range(0, len(order), batch):
@@ -112,21 +115,26 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", held_out: int = 2, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
-    """Train on rows with a language whose fold is not ``held_out``: some ``per_language`` rows of each, drawn by a hash.
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", held_out: int = 2, per_language: int = SAMPLE_PER_LANGUAGE, total: int = SAMPLE_TOTAL) -> Model | None:
+    """Train on rows with a language whose fold is not ``held_out``: some ``per_language`` rows of each, drawn by a hash,
+    fewer where the languages together would exceed ``total``, but always one of each.
 
     The sample is the bound of the training; all else (the languages, their sizes, the predictions) covers every row.
     Each sampled text gives two samples: itself and a few words from its middle, so that short texts are learnt too.
     """
     usable = docs.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull() & (fold(F.col(f"`{doc_id}`")) != held_out))
-    sizes = usable.groupBy(F.col(f"`{lang}`").alias("language")).agg(F.count(F.lit(1)).alias("rows"))
-    largest = sizes.orderBy(F.desc("rows"), "language").limit(64).collect()  # the model has at most so many languages
-    if not largest:
-        return None
     drawn = F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.lit("sample")), F.lit(1_000_003)) / 1_000_003.0
-    share = F.create_map(*[x for row in largest for x in (F.lit(row["language"]), F.lit(per_language / row["rows"]))])
+    sizes = usable.groupBy(F.col(f"`{lang}`").alias("language")).agg(F.count(F.lit(1)).alias("rows"), F.min(drawn).alias("least")).collect()
+    if not sizes:
+        return None
+    per_language = max(1, min(per_language, total // len(sizes)))
+    limits = docs.sparkSession.createDataFrame([(r["language"], per_language / r["rows"], r["least"]) for r in sizes], "language string, share double, least double")
     name = F.col(f"`{lang}`")
-    sample = usable.where(drawn < F.element_at(share, name)).select(name.alias("language"), drawn.alias("drawn"), letters_of(F.col(f"`{text}`")).alias("letters"))
+    candidates = usable.select(name.alias("language"), drawn.alias("drawn"), F.col(f"`{text}`").alias("text")).join(F.broadcast(limits), "language")
+    sample = candidates.where((F.col("drawn") < F.col("share")) | (F.col("drawn") == F.col("least"))).select("language", "drawn", letters_of(F.col("text")).alias("letters"))
+    # Twice the expected number of each language bounds what reaches the driver, so none takes the place of another.
+    place = F.row_number().over(Window.partitionBy("language").orderBy("drawn", "letters"))
+    sample = sample.withColumn("place", place).where(F.col("place") <= 2 * per_language).drop("place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,8 +152,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
             yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
     table = sample.mapInArrow(run, "language string, drawn double, buckets array<int>, counts array<int>")
-    # Twice the expected number bounds what reaches the driver; the order makes the result repeatable.
-    got = table.orderBy("drawn", "language", "counts").limit(4 * per_language * len(largest)).toArrow()
+    got = table.orderBy("drawn", "language", "counts").toArrow()  # the order makes the result repeatable
     samples = [(r, np.array(b), np.array(c)) for r, b, c in zip(*[got.column(n).to_pylist() for n in ("language", "buckets", "counts")])]
     return train(samples)
 

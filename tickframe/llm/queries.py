@@ -8,7 +8,7 @@ from typing import NamedTuple
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import bpe, chunking, langid, license_scan, line_dedup, mixing, ngram_join, quality, sharding, simhash
+from tickframe.llm import alignment, bpe, chunking, collocations, langid, license_scan, line_dedup, mixing, ngram_join, quality, rule_ensemble, sharding, simhash
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -64,6 +64,19 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_classes(documents(spark, sf_dir))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.classifier_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = alignment.read_vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+    return alignment.alignment_report(documents(spark, sf_dir), both)
+
+
 MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -111,6 +124,33 @@ SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS
 FROM g JOIN d USING (r)
 """
 
+_MARKS = r"[.,;:!?\x0A-\x0D]"
+COLLOCATIONS_SQL = rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_MARKS}')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM d),
+t AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+s AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+g AS (SELECT lang, words, i, unnest(range(1, least(5, len(words) - i + 1) + 1)) AS m FROM s),
+f AS (SELECT lang, words[i : i + m - 1] AS phrase, CAST(count(*) AS BIGINT) AS a FROM g GROUP BY 1, 2 HAVING count(*) >= 100),
+c AS (SELECT * FROM f WHERE len(phrase) > 1),
+x AS (SELECT lang, a, phrase, unnest([phrase[:-2], phrase[2:]]) AS part FROM c WHERE len(phrase) > 2),
+h AS (SELECT lang, part, max(a) AS around FROM x GROUP BY 1, 2),
+k AS (SELECT c.lang, c.phrase, c.a, unnest(range(1, len(c.phrase))) AS k FROM c LEFT JOIN h ON h.lang = c.lang AND h.part = c.phrase WHERE around IS NULL OR around < c.a),
+q AS (
+  SELECT k.lang, k.phrase, k.a, k.k, l.a AS l, r.a AS r, t.n, (k.a::HUGEINT * t.n * 1000) // (l.a::HUGEINT * r.a) AS score
+  FROM k JOIN t USING (lang) JOIN f l ON l.lang = k.lang AND l.phrase = k.phrase[1 : k.k] JOIN f r ON r.lang = k.lang AND r.phrase = k.phrase[k.k + 1 :]
+),
+b AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT *, array_to_string(phrase, ' ') AS spelled FROM b)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, spelled) AS rank, spelled AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM o
+QUALIFY rank <= 2000
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": Query(op1_license_scan),
     "op2_bpe": Query(op2_bpe),
@@ -122,4 +162,7 @@ QUERIES: dict[str, Query] = {
     "op8_chunk_dedup": Query(op8_chunk_dedup),
     "op9_language": Query(op9_language),
     "op10_ngram_join": Query(op10_ngram_join),
+    "op11_quality_rules": Query(op11_quality_rules),
+    "op12_collocations": Query(op12_collocations, COLLOCATIONS_SQL),
+    "op13_alignment": Query(op13_alignment),
 }

@@ -9,14 +9,15 @@ from tickframe.functions.times import SEOUL, collection_open
 from tickframe.operators.enrich import METRIC_KEYS, PROFILE_NUMBER_KEYS, PROFILE_TEXT_KEYS, QUOTE_KEYS
 from tickframe.operators.quality import newest_rows, profile, time_columns
 from tickframe.operators.universe import DEFAULT_SYMBOLS, choose_universe
-from tickframe.plans.analyze import run_analyze, run_daily
+from tickframe.plans.analyze import run_analyze, run_analyze_lake, run_daily
 from tickframe.plans.collect import run_collect
 from tickframe.plans.ingest import run_ingest
 from tickframe.plans.upkeep import run_cleanup, run_monitor, run_quality
 from tickframe.schemas import ANALYZED_SCHEMA, RAW_SCHEMA
 from tickframe.session import build_session
-from tickframe.sources.messages import kafka_options, read_documents, read_messages
+from tickframe.sources.messages import kafka_options, read_documents, read_messages, stream_messages
 from tickframe.sources.tables import preview, read_table
+from tickframe.streaming.ingest import run_ingest_lake, start_lake_ingest
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -32,15 +33,19 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     collect.add_argument("--path", help="files to write instead of a topic")
     collect.add_argument("--format", default="kafka")
     ingest = jobs.add_parser("ingest", help="messages to RAW")
-    ingest.add_argument("--raw", required=True)
-    ingest.add_argument("--quarantine", required=True)
+    ingest.add_argument("--lake", help="folder of RAW, quarantine and offsets: only messages that came since the last run")
+    ingest.add_argument("--raw", help="without a lake: all retained messages are appended here")
+    ingest.add_argument("--quarantine", help="without a lake: rejected messages")
+    ingest.add_argument("--every", help="keep running, a batch per interval such as '15 minutes'; needs a lake")
     ingest.add_argument("--servers", help="brokers of a topic")
     ingest.add_argument("--topic")
     ingest.add_argument("--path", help="files with a value column, instead of a topic")
     ingest.add_argument("--format", default="kafka")
     analyze = jobs.add_parser("analyze", help="RAW to ANALYZED")
-    analyze.add_argument("--raw", required=True)
+    analyze.add_argument("--lake", help="folder that ingest fills: only batches that came since the last run")
+    analyze.add_argument("--raw", help="without a lake: the RAW table")
     analyze.add_argument("--analyzed", required=True)
+    analyze.add_argument("--exact", help="type in which averages are summed, such as decimal(18,2)")
     analyze.add_argument("--mode", choices=["append", "repair"], default="append")
     analyze.add_argument("--frame", choices=["rows", "range"], default="rows")
     analyze.add_argument("--since", help="first batch date to read")
@@ -61,7 +66,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     inspect.add_argument("path")
     for job in (ingest, analyze):
         job.add_argument("--in-session-only", action="store_true", help="do nothing outside the collection hours")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.job == "ingest" and not args.lake and (args.every or not (args.raw and args.quarantine)):
+        parser.error("ingest needs --lake, or --raw and --quarantine without --every")
+    if args.job == "analyze" and bool(args.lake) == bool(args.raw):
+        parser.error("analyze needs either --lake or --raw")
+    if args.job == "analyze" and args.lake and (args.mode != "append" or args.since):
+        parser.error("--mode and --since belong to --raw")
+    return args
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -82,9 +94,19 @@ def main(argv: list[str] | None = None) -> int:
         )
     elif args.job == "ingest":
         options = kafka_options(args.servers, args.topic) if args.format == "kafka" else {}
-        print(run_ingest(read_messages(spark, args.format, args.path, **options), args.raw, args.quarantine))
+        schema = None if args.format == "kafka" else "value string"
+        if not args.lake:
+            print(run_ingest(read_messages(spark, args.format, args.path, **options), args.raw, args.quarantine))
+        elif args.every:
+            source = stream_messages(spark, args.format, args.path, schema, **options)
+            start_lake_ingest(source, args.lake, args.every).awaitTermination()
+        else:
+            print(run_ingest_lake(stream_messages(spark, args.format, args.path, schema, **options), args.lake))
     elif args.job == "analyze":
-        print(run_analyze(spark, args.raw, args.analyzed, args.mode, args.since, frame=args.frame))
+        if args.lake:
+            print(run_analyze_lake(spark, args.lake, args.analyzed, frame=args.frame, exact=args.exact))
+        else:
+            print(run_analyze(spark, args.raw, args.analyzed, args.mode, args.since, frame=args.frame, exact=args.exact))
     elif args.job == "daily":
         print(run_daily(spark, args.raw, args.daily))
     elif args.job == "cleanup":

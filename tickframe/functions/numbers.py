@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickframe.functions.totals import each, mean_of, parts_of
+
 
 def safe_number(value: Column, default: float = 0.0) -> Column:
     """Number in ``value`` (text or numeric), or ``default`` when there is none.
@@ -96,9 +98,9 @@ def exact_avg(value: Column, exact: str | None = None) -> Column:
     """Average of the non-null values.
 
     A double average differs in its last bits from run to run, because partial sums are merged in arrival order.
-    Summing as ``exact`` (a decimal type that holds the values) makes it reproducible.
+    Summing as ``exact`` (a decimal type that holds the values) makes it reproducible; values that are no finite number,
+    or too large for the type, show in the result (``totals.mean_of``).
     """
     if not exact:
         return F.avg(value)
-    number = value.try_cast(exact)
-    return F.try_divide(F.sum(number).cast("double"), F.count(number).cast("double"))
+    return mean_of(each(parts_of(value, exact), F.sum))

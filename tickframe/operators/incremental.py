@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.operators.dedup import last_rows, latest_per_minute
-from tickframe.operators.rolling import trailing_range, trailing_rows
+from tickframe.operators.rolling import EXACT, trailing_range_blocks, trailing_rows
+from tickframe.operators.tails import newest_times, tail_rows, tails_of, unserved
 from tickframe.schemas import METRIC_COPIES, MINUTE_KEY
 from tickframe.session import cut_lineage, small_side
 
@@ -82,6 +83,7 @@ def look_back(
     at: str = "collection_time",
     order: Sequence[str] = ("collection_time",),
     date: str = "trade_date",
+    begins: DataFrame | None = None,
 ) -> DataFrame:
     """History rows that the trailing frames of ``new`` reach.
 
@@ -89,7 +91,8 @@ def look_back(
     and the ``rows - 1`` history rows before that, but none from before the symbol's previous segment: that one brings
     its own. A segment therefore belongs to a span of dates, and spans of a symbol do not overlap, whatever mix of late
     and recent dates came in. Few days are searched first; only segments that have not found enough rows there go on
-    to older ones, and in the end to the whole history of their symbol.
+    to older ones, and in the end to the whole history of their symbol. ``begins`` (symbol, first_at) ends the search of
+    a symbol at its first date.
     """
     if history.isEmpty():
         return history.limit(0)
@@ -99,6 +102,9 @@ def look_back(
         .agg(F.min(at).alias("_first"))
         .withColumn("_after", F.date_add(previous, 1))
     )
+    if begins is not None:
+        first_day = begins.select(symbol, F.to_date("first_at").alias("_begin"))
+        segments = segments.join(first_day, symbol, "left").withColumn("_after", F.greatest("_after", "_begin")).drop("_begin")
     tie = [F.col(c).desc_nulls_last() for c in order if c != at]
     newest = dict(n=rows - 1, at=at, keys=[symbol, "_segment"], tie=tie[0] if tie else None)
 
@@ -148,10 +154,30 @@ def with_trailing(
 ) -> DataFrame:
     """Trailing average and count over 168 rows, or with ``frame="range"`` over the seven days the name speaks of."""
     if frame == "range":
-        return trailing_range(df, price, days * 86400, _AVERAGE, _COUNT, at=order[0], **({"exact": exact} if exact else {}))
+        return trailing_range_blocks(df, price, days * 86400, _AVERAGE, _COUNT, at=order[0], exact=exact or EXACT)
     return trailing_rows(df, price, rows, _AVERAGE, _COUNT, order=order, exact=exact, **sizes)
 
 
+def one_per_time(history: DataFrame, price: str, order: Sequence[str], date: str = "trade_date") -> DataFrame:
+    """(symbol, date, order columns, price) of rows with a price; of copies the one with the largest price.
+
+    Copies in a table that has not been cleaned up would otherwise take places in the frames of new rows. Filters on the
+    date still reach the scan, since it is one of the grouping keys.
+    """
+    keys = list(dict.fromkeys(["symbol", date, *order]))
+    return history.filter(F.col(price).isNotNull()).groupBy(*keys).agg(F.max(price).alias(price))
+
+
+def history_tails(
+    history: DataFrame,
+    rows: int = FRAME_ROWS,
+    price: str = "average_price",
+    order: Sequence[str] = ("collection_time",),
+) -> DataFrame:
+    """Tails (``operators/tails.py``) of a history that has none stored beside it."""
+    return tails_of(one_per_time(history, price, order), rows - 1, price, order)
+
+
 def continue_trailing(
     history: DataFrame,
     new: DataFrame,
@@ -161,34 +187,73 @@ def continue_trailing(
     price: str = "average_price",
     order: Sequence[str] = ("collection_time",),
     exact: str | None = None,
+    tails: DataFrame | None = None,
+    late: DataFrame | None = None,
     **sizes,
 ) -> DataFrame:
-    """``new`` with the trailing figures a run over history and new rows together would give it."""
+    """``new`` with the trailing figures a run over history and new rows together would give it.
+
+    With ``tails`` of the history, rows behind a symbol's newest row need nothing but its tail. ``late`` names the other
+    ones among ``new``; the history is searched only for those whose frame reaches behind the tail. Without tails it is
+    searched for all.
+    """
     at = order[0]
     context_columns = list(dict.fromkeys(["symbol", "trade_date", *order, price]))
-    past = history.select(*context_columns).filter(F.col(price).isNotNull())
+    past = one_per_time(history, price, order).select(*context_columns)
     if frame == "range":
         reached = on_dates(past, days_before(touched_dates(new), days))
         context = reached.join(new.select("symbol").distinct(), "symbol", "left_semi")
-    else:
+    elif tails is None:
         context = look_back(past, new, rows, at=at, order=order)
+    else:
+        context = _from_tails(past, new, tails, late, rows, at, order)
     combined = new.withColumn("_new", F.lit(True)).unionByName(
         context.withColumn("_new", F.lit(False)), allowMissingColumns=True
     )
     return with_trailing(combined, frame, rows, days, price, order, exact, **sizes).filter("_new").drop("_new")
 
 
+def _from_tails(past, new, tails, late, rows, at, order) -> DataFrame:
+    touched = tails.join(new.select("symbol").distinct(), "symbol", "left_semi")
+    if late is None:
+        return tail_rows(touched)
+    missing = small_side(unserved(tails, late, rows, at))
+    if missing.isEmpty():
+        return tail_rows(touched)
+    found = look_back(past, new.join(missing, "symbol", "left_semi"), rows, at=at, order=order, begins=missing)
+    held = tail_rows(touched.join(missing, "symbol", "left_anti"))
+    return found.unionByName(held, allowMissingColumns=True)
+
+
 def analyze_new(
     parts: DataFrame,
     history: DataFrame,
     keys: Sequence[str] = MINUTE_KEY,
     dedup: dict | None = None,
+    tails: DataFrame | None = None,
     **trailing,
 ) -> DataFrame:
     """Minutes of ``parts`` that the history lacks, deduplicated, with continued trailing figures.
 
-    The new minutes feed several steps, so they are written once instead of being recomputed for each.
+    The new minutes feed several steps, so they are written once instead of being recomputed for each. With ``tails``,
+    minutes after a symbol's newest one cannot be in the history, so only late ones are compared with it, and the history
+    is not read at all where there are none.
     """
-    known = on_dates(history, touched_dates(parts))
-    new = cut_lineage(drop_processed(minute_rows(parts, **(dedup or {})), known, keys))
-    return continue_trailing(history, new, **trailing)
+    if tails is None or not set(keys) <= set(history.columns):
+        known = on_dates(history, touched_dates(parts))
+        new = cut_lineage(drop_processed(minute_rows(parts, **(dedup or {})), known, keys))
+        return continue_trailing(history, new, tails=tails, late=new if tails is not None else None, **trailing)
+    at = trailing.get("order", ("collection_time",))[0]
+    rows = minute_rows(parts, **(dedup or {})).join(newest_times(tails, at), "symbol", "left")
+    # A key covers a minute, so the rest of the newest minute counts as late.
+    is_late = F.coalesce(F.date_trunc("minute", at) <= F.date_trunc("minute", "_newest"), F.lit(False))
+    rows = cut_lineage(rows.withColumn("_late", is_late).drop("_newest"))
+    late = rows.filter("_late")
+    if late.isEmpty():
+        return continue_trailing(history, rows.drop("_late"), tails=tails, **trailing)
+    late = drop_processed(late, on_dates(history, touched_dates(late)), keys)
+    rows = cut_lineage(rows.filter("NOT _late").unionByName(late))
+    late = rows.filter("_late")
+    return continue_trailing(
+        history, rows.drop("_late"), tails=tails, late=None if late.isEmpty() else late, **trailing
+    )

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe.functions.times import ingest_stamps
 from tickframe.schemas import RAW_PARTITIONS, RAW_SCHEMA, TICK_SCHEMA
+from tickframe.sources.lake import OUTCOMES, batch_ledger
 from tickframe.sources.sinks import write_partitioned
 
 _CORRUPT = "_corrupt"
@@ -51,6 +52,39 @@ def quarantine_rows(stamped: DataFrame) -> DataFrame:
     )
 
 
+def write_batch(messages: DataFrame, lake: str, number: int, batch_instant: Column | None = None) -> dict:
+    """One batch of messages as one write into its folder of the lake; returns both row counts.
+
+    Messages are read and parsed once. Usable ticks and rejected messages are told apart by a partition, so neither has
+    to be kept for a second write. A batch that has its entry already is left alone: its messages are the same.
+    """
+    spark = messages.sparkSession
+    ledger = batch_ledger(spark, lake)
+    if number in ledger.numbers(number - 1):
+        return ledger.read(number)
+    good = F.col("_reason").isNull()
+    stamped = stamp(decode(messages), batch_instant)
+    outcome = F.when(good, OUTCOMES[0]).otherwise(OUTCOMES[1]).alias("outcome")
+    rows = stamped.select(
+        *RAW_SCHEMA.fieldNames(), F.when(~good, F.col("_text")).alias("value"), F.col("_reason").alias("reason"), outcome
+    )
+    counted = Observation()
+    by = ["outcome", *RAW_PARTITIONS]
+    laid_out = (
+        rows.hint("rebalance", *by)
+        .sortWithinPartitions(*by, "symbol", "processed_timestamp")
+        .observe(
+            counted,
+            F.count_if(F.col("reason").isNull()).alias("raw_rows"),
+            F.count_if(F.col("reason").isNotNull()).alias("quarantined_rows"),
+        )
+    )
+    laid_out.write.mode("overwrite").partitionBy(*by).parquet(f"{lake.rstrip('/')}/batch={number}")
+    entry = {name: int(n) for name, n in counted.get.items()}
+    ledger.commit(number, entry)
+    return entry
+
+
 def run_ingest(
     messages: DataFrame,
     raw_path: str,

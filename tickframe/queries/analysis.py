@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tickframe.functions.times import minute_key_text, time_parts
 from tickframe.operators.dedup import best_per_key, latest_per_minute, serving_rows
-from tickframe.operators.incremental import analyze_new, continue_trailing, drop_processed, minute_rows
-from tickframe.operators.rolling import trailing_range, trailing_rows, trailing_rows_chunked
+from tickframe.operators.incremental import analyze_new, continue_trailing, drop_processed, history_tails, minute_rows
+from tickframe.operators.rolling import EXACT, trailing_range, trailing_rows, trailing_rows_chunked
 from tickframe.operators.rollups import daily_average, daily_moving_average, run_summary, symbols
 from tickframe.plans.analyze import repaired
 from tickframe.queries.base import (
@@ -26,6 +26,7 @@ from tickframe.queries.base import (
     whole,
 )
 from tickframe.schemas import DAY_KEY
+from tickframe.session import cut_lineage
 
 _DAILY_SQL = f"""
 daily AS (
@@ -90,6 +91,58 @@ def tick_ma_7d_range(spark, sf_dir):
     return rows.select("event_id", "symbol", *_TRAILING)
 
 
+_ODD = "event_id % 41"
+_ODD_TEXTS = {1: "NaN", 2: "Infinity", 3: "-Infinity", 4: "1e21", 5: "0.123456789", 6: "1e40"}
+_ODD_DECIMALS = {4: "1000000000000000000000", 5: "0.123456789"}
+
+
+def _cases(texts, kind, otherwise):
+    whens = " ".join(f"WHEN {k} THEN CAST('{t}' AS {kind})" for k, t in texts.items())
+    return f"CASE {_ODD} {whens} {otherwise} END"
+
+
+_EXTREMES_PARTS = """CAST(sum(number) OVER {w} AS DOUBLE) / count(*) FILTER (present) OVER {w} AS mean,
+         count(*) FILTER (present) OVER {w} AS n, count(*) FILTER (odd = 1) OVER {w} AS nan,
+         count(*) FILTER (odd = 2) OVER {w} AS up, count(*) FILTER (odd = 3) OVER {w} AS down, count(*) FILTER (odd = 6) OVER {w} AS lost"""
+_EXTREMES_TEXT = """CASE WHEN nan > 0 OR (up > 0 AND down > 0) THEN 'NaN' WHEN up > 0 THEN 'Infinity' WHEN down > 0 THEN '-Infinity'
+            WHEN lost > 0 OR n = 0 THEN 'none' WHEN abs(mean) < 1e12 THEN 'number' ELSE printf('%.9e', mean) END"""
+_EXTREMES_MEAN = "CASE WHEN nan + up + down + lost = 0 AND abs(mean) < 1e12 THEN mean END"
+
+
+@query(f"""
+WITH v AS (
+  SELECT event_id, user_id, ts, {_ODD} AS odd, {_ODD} <> 7 AS present,
+         {_cases(_ODD_DECIMALS, "DECIMAL(38,9)", f"WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 3 THEN 0 WHEN 6 THEN 0 WHEN 7 THEN 0 ELSE CAST(CAST(value AS DECIMAL(18,2)) AS DECIMAL(38,9))")} AS number
+  FROM events
+),
+spans AS (
+  SELECT event_id, {_EXTREMES_PARTS.format(w="r")} FROM v
+  WINDOW r AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)
+),
+counted AS (
+  SELECT event_id, {_EXTREMES_PARTS.format(w="o")} FROM v
+  WINDOW o AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+),
+s AS (SELECT event_id, {_EXTREMES_TEXT} AS range_kind, {_EXTREMES_MEAN} AS range_mean, n AS range_n FROM spans),
+c AS (SELECT event_id, {_EXTREMES_TEXT} AS rows_kind, {_EXTREMES_MEAN} AS rows_mean, n AS rows_n FROM counted)
+SELECT s.event_id, range_kind, range_mean, range_n, rows_kind, rows_mean, rows_n FROM s JOIN c ON c.event_id = s.event_id""")
+def trailing_range_extremes(spark, sf_dir):
+    """Frames by time and by rows over NaN, infinities, 22 digits, nine decimals and values too large for the type."""
+    value = F.expr(_cases(_ODD_TEXTS, "DOUBLE", "WHEN 7 THEN NULL ELSE value"))
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("symbol"), "ts", value.alias("value"))
+    rows = trailing_rows(rows, "value", 7, "rows_mean", "rows_n", order=("ts", "event_id"), exact=EXACT)
+    rows = trailing_range(rows, "value", 7 * 86400, "range_mean", "range_n", at="ts", exact=EXACT)
+
+    def shown(frame):
+        mean = F.col(f"{frame}_mean")
+        plain = F.abs(mean) < 1e12
+        large = F.when(F.abs(mean) < float("inf"), F.format_string("%.9e", mean)).otherwise(mean.cast("string"))
+        kind = F.when(mean.isNull(), "none").when(plain, "number").otherwise(large)
+        return [kind.alias(f"{frame}_kind"), F.when(plain, mean).alias(f"{frame}_mean"), f"{frame}_n"]
+
+    return rows.select("event_id", *shown("range"), *shown("rows"))
+
+
 _COPIES_SQL = (
     TICKS_SQL
     + """,
@@ -229,7 +282,9 @@ def minute_keys(spark, sf_dir):
 def _incremental(spark, sf_dir, in_history, **options):
     parts = time_parts(ticks(spark, sf_dir))
     history = minute_rows(parts, **dedup_options()).filter(in_history)
-    rows = analyze_new(parts, history, dedup=dedup_options(), exact=CENTS, **options)
+    # A stored table has its tails beside it; here they come from the history itself.
+    tails = cut_lineage(history_tails(history))
+    rows = analyze_new(parts, history, dedup=dedup_options(), tails=tails, exact=CENTS, **options)
     return rows.select("event_id", "symbol", *_TRAILING)
 
 

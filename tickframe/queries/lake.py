@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickframe.plans.analyze import run_analyze, run_daily
+from tickframe.plans.analyze import run_analyze, run_analyze_lake, run_daily
 from tickframe.plans.ingest import run_ingest
 from tickframe.plans.upkeep import run_cleanup
 from tickframe.queries.base import ANALYZED_SQL, CENTS, TICKS_SQL, analyzed, naive, query, sql_avg, table, whole
 from tickframe.queries.records import _faulty, batch_instant, messages
 from tickframe.schemas import ANALYZED_SCHEMA, DAILY_SCHEMA, RAW_SCHEMA, SYMBOL_PARTITIONS
 from tickframe.session import new_path
+from tickframe.sources.lake import read_batches
 from tickframe.sources.messages import stream_messages
 from tickframe.sources.sinks import staged_overwrite, write_messages, write_partitioned
 from tickframe.sources.tables import read_table
 from tickframe.streaming.analyze import start_analyze
-from tickframe.streaming.ingest import start_ingest, start_quarantine
+from tickframe.streaming.ingest import run_ingest_lake, start_ingest, start_quarantine
 from tickframe.streaming.latest import latest_per_minute_stream, start_latest
 
 _LAKE_SCHEMA = "event_id bigint, ts timestamp_ntz, value double, event_type string, trade_date date"
@@ -241,3 +242,36 @@ def stream_analyze(spark, sf_dir):
         stream = spark.readStream.schema(RAW_SCHEMA).parquet(raw)
         _finish(start_analyze(stream, done, offsets, exact=CENTS))
     return read_table(spark, done, ANALYZED_SCHEMA).select(naive("collection_time"), *_JOB_COLUMNS)
+
+
+_HALVES = ("ts < TIMESTAMP_NTZ '2024-01-16'", "ts >= TIMESTAMP_NTZ '2024-01-16'")
+
+
+def _growing_lake(spark, sf_dir, after_each=lambda lake: None) -> str:
+    """A lake filled by one run after each half of the messages has arrived, and by one that finds nothing new."""
+    topic, lake = new_path(spark, "topic"), new_path(spark, "lake")
+    for part in (*_HALVES, None):
+        if part:
+            write_messages(messages(spark, sf_dir, part), "parquet", topic)
+        source = stream_messages(spark, "parquet", topic, "key string, value binary")
+        run_ingest_lake(source, lake, batch_instant())
+        after_each(lake)
+    return lake
+
+
+@query(f"""WITH {TICKS_SQL}
+SELECT symbol, '2024-02-01' AS batch_date, 12::BIGINT AS batch_hour, ts AS processed_timestamp, current_price, market_cap
+FROM ticks""")
+def ingest_twice(spark, sf_dir):
+    """Runs over a source that grows in between store every message once."""
+    return read_batches(spark, _growing_lake(spark, sf_dir)).select(
+        "symbol", "batch_date", whole("batch_hour"), naive("processed_timestamp"), "current_price", "market_cap"
+    )
+
+
+@query(f"WITH {ANALYZED_SQL} SELECT collection_time, {', '.join(_JOB_COLUMNS)} FROM analyzed")
+def analyze_twice(spark, sf_dir):
+    """An analysis after each ingest reads the new batches only and goes on from the tails of the one before."""
+    done = new_path(spark, "analyzed")
+    _growing_lake(spark, sf_dir, lambda lake: run_analyze_lake(spark, lake, done, exact=CENTS))
+    return read_table(spark, done, ANALYZED_SCHEMA).select(naive("collection_time"), *_JOB_COLUMNS)

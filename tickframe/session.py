@@ -68,6 +68,21 @@ def remove_own(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number of files and bytes below a path, as its file system counts them."""
+    system, target = _file_system(spark, path)
+    summary = system.getContentSummary(target)
+    return summary.getFileCount(), summary.getLength()
+
+
+def remove_folder(spark: SparkSession, path: str, inside: str) -> None:
+    """Delete a folder that lies inside another one of this library; anything else is refused."""
+    if not path.startswith(f"{inside.rstrip('/')}/") or "/.." in path:
+        raise ValueError(f"{path} does not lie inside {inside}")
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once, so later steps see the same rows after an executor is lost."""
     shared_dir(df.sparkSession)

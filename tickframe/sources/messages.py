@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def kafka_options(servers: str, topic: str, starting: str = "earliest", fail_on_data_loss: bool = False) -> dict:
-    return {
+def kafka_options(
+    servers: str,
+    topic: str,
+    starting: str | dict = "earliest",
+    ending: str | dict | None = None,
+    fail_on_data_loss: bool = False,
+) -> dict:
+    """Options of a topic. ``starting`` and ``ending`` are ``earliest``, ``latest``, or offsets by partition; an ending
+    bounds a table, and a stream has none: its own checkpoint says where it goes on."""
+
+    def offsets(where: str | dict) -> str:
+        return where if isinstance(where, str) else json.dumps({topic: {str(k): v for k, v in where.items()}})
+
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": starting,
+        "startingOffsets": offsets(starting),
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    return {**options, "endingOffsets": offsets(ending)} if ending is not None else options
 
 
 def read_messages(

@@ -6,18 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tickframe.functions.times import time_parts
-from tickframe.operators.incremental import analyze_new
-from tickframe.schemas import ANALYZED_PARTITIONS, ANALYZED_SCHEMA
-from tickframe.sources.sinks import write_partitioned
-from tickframe.sources.tables import read_table
+from tickframe.plans.analyze import append_minutes
 from tickframe.streaming.ingest import trigger_of
 
 
 def append_batch(raw: DataFrame, analyzed_path: str, **options) -> int:
     """Add one micro-batch to ANALYZED. Minutes already there are skipped, so running a batch again adds nothing."""
-    history = read_table(raw.sparkSession, analyzed_path, ANALYZED_SCHEMA, missing_ok=True)
-    rows = analyze_new(time_parts(raw), history, **options).select(*ANALYZED_SCHEMA.fieldNames())
-    return write_partitioned(rows, analyzed_path, ANALYZED_PARTITIONS, "append", ["symbol", "collection_time"])
+    return append_minutes(time_parts(raw), analyzed_path, **options)
 
 
 def start_analyze(

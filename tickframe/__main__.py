@@ -8,10 +8,12 @@ import sys
 from tickframe.functions.times import SEOUL, collection_open
 from tickframe.operators.enrich import METRIC_KEYS, PROFILE_NUMBER_KEYS, PROFILE_TEXT_KEYS, QUOTE_KEYS
 from tickframe.operators.quality import newest_rows, profile, time_columns
+from tickframe.operators.serving import kpi_texts
 from tickframe.operators.universe import DEFAULT_SYMBOLS, choose_universe
 from tickframe.plans.analyze import run_analyze, run_analyze_lake, run_daily
 from tickframe.plans.collect import run_collect
 from tickframe.plans.ingest import run_ingest
+from tickframe.plans.serve import run_kpis
 from tickframe.plans.upkeep import run_cleanup, run_monitor, run_quality
 from tickframe.schemas import ANALYZED_SCHEMA, RAW_SCHEMA
 from tickframe.session import build_session
@@ -32,6 +34,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     collect.add_argument("--topic")
     collect.add_argument("--path", help="files to write instead of a topic")
     collect.add_argument("--format", default="kafka")
+    collect.add_argument("--quarantine", help="folder for quotes that cannot be used, with the reason")
+    collect.add_argument("--industry-key", default=PROFILE_TEXT_KEYS["industry"], help="key of the industry in profile documents")
     ingest = jobs.add_parser("ingest", help="messages to RAW")
     ingest.add_argument("--lake", help="folder of RAW, quarantine and offsets: only messages that came since the last run")
     ingest.add_argument("--raw", help="without a lake: all retained messages are appended here")
@@ -57,6 +61,12 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     quality = jobs.add_parser("quality", help="exit code 0 when both tables pass")
     quality.add_argument("--raw", required=True)
     quality.add_argument("--analyzed", required=True)
+    quality.add_argument("--keys", help="columns that tell rows apart, joined by commas; without them whole rows count")
+    quality.add_argument("--max-duplicates", type=float, default=0.05, help="share of rows")
+    quality.add_argument("--max-nulls", type=float, default=0.10, help="missing values against rows; negative for no limit")
+    quality.add_argument("--max-column-nulls", help="share for every column, or column=share pairs joined by commas")
+    serve = jobs.add_parser("serve", help="headline figures of the stored table")
+    serve.add_argument("--analyzed", required=True)
     monitor = jobs.add_parser("monitor", help="exit code 0 when data keeps arriving")
     monitor.add_argument("--analyzed", required=True)
     monitor.add_argument("--servers", help="brokers of a topic")
@@ -76,6 +86,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return args
 
 
+def _shares(text: str | None) -> float | dict[str, float] | None:
+    """``0.1``, or ``a=0.1,b=0.5``."""
+    if not text or "=" not in text:
+        return float(text) if text else None
+    return {name.strip(): float(share) for name, share in (pair.split("=") for pair in text.split(","))}
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
     spark = build_session(f"tickframe-{args.job}")
@@ -83,14 +100,17 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.job == "collect":
         topic = {"kafka.bootstrap.servers": args.servers, "topic": args.topic} if args.format == "kafka" else {}
+        profile_keys = {**PROFILE_TEXT_KEYS, "industry": args.industry_key}
         run_collect(
             read_documents(spark, args.quotes, [*QUOTE_KEYS.values(), "t", "polled_at"]),
-            read_documents(spark, args.profiles, [*PROFILE_TEXT_KEYS.values(), *PROFILE_NUMBER_KEYS.values()]),
+            read_documents(spark, args.profiles, [*profile_keys.values(), *PROFILE_NUMBER_KEYS.values()]),
             read_documents(spark, args.metrics, METRIC_KEYS.values()),
             args.format,
             args.path,
             choose_universe(spark, args.symbols, args.symbol_list),
             topic,
+            args.quarantine,
+            profile_text_keys=profile_keys,
         )
     elif args.job == "ingest":
         options = kafka_options(args.servers, args.topic) if args.format == "kafka" else {}
@@ -111,13 +131,19 @@ def main(argv: list[str] | None = None) -> int:
         print(run_daily(spark, args.raw, args.daily))
     elif args.job == "cleanup":
         print(run_cleanup(spark, args.analyzed))
+    elif args.job == "serve":
+        kpi_texts(run_kpis(spark, args.analyzed)).orderBy("symbol").show(1000, truncate=False)
     elif args.job == "quality":
+        own = {"keys": args.keys.split(",")} if args.keys else {}
         verdicts = run_quality(
             spark,
             {
                 "raw": {"path": args.raw, "schema": RAW_SCHEMA, "price": "current_price"},
-                "analyzed": {"path": args.analyzed, "schema": ANALYZED_SCHEMA, "price": "average_price"},
+                "analyzed": {"path": args.analyzed, "schema": ANALYZED_SCHEMA, "price": "average_price", **own},
             },
+            max_duplicates=args.max_duplicates,
+            max_nulls=None if args.max_nulls < 0 else args.max_nulls,
+            max_column_nulls=_shares(args.max_column_nulls),
         )
         verdicts.show(truncate=False)
         return 0 if verdicts.filter("NOT passed").isEmpty() else 1

@@ -60,9 +60,15 @@ def best_per_key(
 def serving_rows(
     df: DataFrame, prefer: Sequence[str] = (*_BEST, "data_count_for_avg"), tie: Column | None = None
 ) -> DataFrame:
-    """One row per symbol and instant, or per symbol and day in tables without an instant."""
-    at = "collection_time" if "collection_time" in df.columns else "trade_date"
-    return best_per_key(df, ["symbol", at], prefer, tie)
+    """One row per symbol and instant, or per symbol and day in tables, or rows, without an instant.
+
+    A stored table may hold days of an older layout, whose rows have a date only: each day is a key of its own.
+    """
+    if "collection_time" not in df.columns:
+        return best_per_key(df, ["symbol", "trade_date"], prefer, tie)
+    dated = F.when(F.col("collection_time").isNull(), F.col("trade_date")) if "trade_date" in df.columns else F.lit(None)
+    tie = tie_break(df) if tie is None else tie
+    return best_per_key(df.withColumn("_day", dated), ["symbol", "collection_time", "_day"], prefer, tie).drop("_day")
 
 
 def latest_per_symbol(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickframe.functions.digests import row_digest
+
 
 def is_missing(df: DataFrame, name: str) -> Column:
     """Null, or NaN where the type has one; asking ``isnan`` of a date or text column is an error."""
@@ -24,37 +27,52 @@ def null_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def _mask(flags: Sequence[Column]) -> Column:
+    """Flags as the bits of one number; a null flag is not set."""
+    bits = [F.when(flag, F.lit(1 << place).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for place, flag in enumerate(flags)]
+    return functools.reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
 def quality_report(
     df: DataFrame,
     price: str | None = "current_price",
     keys: Sequence[str] | None = None,
     max_duplicates: float = 0.05,
-    max_nulls: float = 0.10,
-    max_column_nulls: float | None = None,
+    max_nulls: float | None = 0.10,
+    max_column_nulls: float | Mapping[str, float] | None = None,
 ) -> DataFrame:
     """One row: totals, duplicates, prices at or below zero, missing values per column, and the verdict.
 
     Copies of a row are counted together first, inside each input task, so a group of copies that makes up much of the
-    table shuffles as one row. A price column that is not there is an error. With ``keys``, rows that share a key count as duplicates even when ingest stamps
-    differ. ``max_nulls`` compares all missing values with the number of rows; ``max_column_nulls`` adds a limit for
-    every single column.
+    table shuffles as one row; and rows are known by a digest, so 32 bytes and a few flags move, however wide they are. A
+    price column that is not there is an error. With ``keys``, rows that share a key count as duplicates even when ingest
+    stamps differ. ``max_nulls`` compares all missing values with the number of rows, None leaves them unchecked;
+    ``max_column_nulls`` limits the share of missing values, for every column or by name for some.
     """
     missing = {c: is_missing(df, c) for c in df.columns}
+    if not df.columns:
+        raise ValueError("a table without columns has no quality")
     if price is not None and price not in df.columns:
         raise ValueError(f"no price column {price}; pass price=None to leave prices unchecked")
     invalid = F.lit(False) if price is None else F.col(price) <= 0
-    # With keys one grouping is enough, and only the keys and the measures move.
-    counted = df.withColumn("_copies", F.lit(1)) if keys else df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    measures = {
-        "_rows": F.sum("_copies"),
-        "_invalid": F.sum(F.when(invalid, F.col("_copies")).otherwise(0)),
-        **{f"_null_{c}": F.sum(F.when(flag, F.col("_copies")).otherwise(0)) for c, flag in missing.items()},
-    }
+    # One bit for each column with a missing value, and one for an invalid price.
+    flags = [invalid, *missing.values()]
+    masks = {f"_flags{i}": _mask(flags[at : at + 63]) for i, at in enumerate(range(0, len(flags), 63))}
+    bit = {name: (f"_flags{at // 63}", at % 63) for at, name in enumerate(["_invalid", *(f"_null_{c}" for c in missing)])}
+    marked = df.select(*[F.col(f"`{k}`") for k in keys or ()], *([] if keys else [row_digest(df).alias("_row")]), *[m.alias(n) for n, m in masks.items()])
+
+    def holds(name: str) -> Column:
+        mask, place = bit[name]
+        return F.shiftright(F.col(mask), place).bitwiseAND(F.lit(1).cast("bigint"))
+
     if keys is None:
-        first = counted.agg(F.count(F.lit(1)).alias("_groups"), *[m.alias(n) for n, m in measures.items()])
+        # Flags follow from the row, so they split no group.
+        counted = marked.groupBy("_row", *masks).agg(F.count(F.lit(1)).alias("_rows"))
+        sums = [F.sum("_rows").alias("_rows"), *[F.sum(holds(n) * F.col("_rows")).alias(n) for n in bit]]
     else:
-        per_key = counted.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
-        first = per_key.agg(F.count(F.lit(1)).alias("_groups"), *[F.sum(n).alias(n) for n in measures])
+        counted = marked.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(holds(n)).alias(n) for n in bit])
+        sums = [F.sum(n).alias(n) for n in ("_rows", *bit)]
+    first = counted.agg(F.count(F.lit(1)).alias("_groups"), *sums)
 
     def whole(name: str) -> Column:
         return F.coalesce(F.col(f"`{name}`"), F.lit(0)).cast("bigint")
@@ -65,19 +83,19 @@ def quality_report(
         whole("_invalid").alias("invalid_prices"),
         *[whole(f"_null_{c}").alias(f"nulls_{c}") for c in df.columns],
     )
-    null_columns = [F.col(f"`nulls_{c}`") for c in df.columns]
-    nulls = null_columns[0]
-    for column in null_columns[1:]:
-        nulls = nulls + column
+    null_columns = {c: F.col(f"`nulls_{c}`") for c in df.columns}
     verdict = (
         (F.col("total") > 0)
         & (F.col("duplicates") < F.col("total") * max_duplicates)
         & (F.col("invalid_prices") == 0)
-        & (nulls < F.col("total") * max_nulls)
     )
-    if max_column_nulls is not None:
-        for column in null_columns:
-            verdict = verdict & (column < F.col("total") * max_column_nulls)
+    if max_nulls is not None:
+        verdict = verdict & (sum(null_columns.values(), F.lit(0)) < F.col("total") * max_nulls)
+    limits = max_column_nulls if isinstance(max_column_nulls, Mapping) else dict.fromkeys(df.columns, max_column_nulls)
+    for name, limit in limits.items():
+        # Limits by name may serve several tables; a column that one lacks has no missing values there.
+        if limit is not None and name in null_columns:
+            verdict = verdict & (null_columns[name] < F.col("total") * limit if limit else null_columns[name] == 0)
     return report.withColumn("passed", verdict)
 
 

@@ -39,6 +39,10 @@ DETAIL_COLUMNS = [
 ]
 
 
+# Columns that the headline figures are made of.
+KPI_COLUMNS = ["average_price", "avg_daily_return", "avg_market_cap", "avg_pe_ratio", "avg_volatility"]
+
+
 def time_column(df: DataFrame) -> str:
     return "collection_time" if "collection_time" in df.columns else "trade_date"
 
@@ -52,8 +56,12 @@ def one_symbol(df: DataFrame, symbol: str) -> DataFrame:
 
 
 def kpis(df: DataFrame, krw_rate: float = N.KRW_PER_USD, tie: Column | None = None) -> DataFrame:
-    """Headline figures of every symbol's newest row; a figure whose input is absent or not positive is null."""
-    newest = latest_per_symbol(df, time_column(df), tie=tie)
+    """Headline figures of every symbol's newest row; a figure whose input is absent or not positive is null.
+
+    Only the columns shown are read, unless ``tie`` may name others.
+    """
+    rows = df if tie is not None else df.select(*present(df, ["symbol", time_column(df), *KPI_COLUMNS]))
+    newest = latest_per_symbol(rows, time_column(df), tie=tie)
 
     def metric(name: str) -> Column:
         return F.col(name) if name in df.columns else F.lit(None).cast("double")
@@ -98,12 +106,17 @@ def price_series(df: DataFrame) -> DataFrame:
     return df.select("symbol", at, *present(df, ["average_price", "moving_avg_7_days"])).orderBy("symbol", at)
 
 
+def _in_time(df: DataFrame, *values: Column | str) -> DataFrame:
+    """Symbol, date and time where there is one, and the values, in time order."""
+    return df.select("symbol", *dict.fromkeys(["trade_date", time_column(df)]), *values).orderBy("symbol", time_column(df))
+
+
 def market_cap_series(df: DataFrame) -> DataFrame:
-    return df.select("symbol", "trade_date", N.billions_usd(F.col("avg_market_cap")).alias("cap_billion_usd"))
+    return _in_time(df, N.billions_usd(F.col("avg_market_cap")).alias("cap_billion_usd"))
 
 
 def pe_series(df: DataFrame) -> DataFrame:
-    return df.select("symbol", "trade_date", "avg_pe_ratio")
+    return _in_time(df, "avg_pe_ratio")
 
 
 def recent_history(df: DataFrame, n: int = RECENT_ROWS, tie: Column | None = None) -> DataFrame:

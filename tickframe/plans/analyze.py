@@ -18,7 +18,7 @@ from tickframe.operators.incremental import (
 from tickframe.operators.rollups import daily_average, daily_moving_average
 from tickframe.schemas import ANALYZED_PARTITIONS, ANALYZED_SCHEMA, DAILY_SCHEMA, RAW_SCHEMA
 from tickframe.session import cut_lineage
-from tickframe.sources.sinks import staged_overwrite, write_partitioned
+from tickframe.sources.sinks import finish_swaps, staged_overwrite, write_partitioned
 from tickframe.sources.lake import lake_batches, read_batches
 from tickframe.sources.tables import read_table
 from tickframe.sources.tail_store import TailStore
@@ -52,6 +52,7 @@ def run_analyze(
     parts = _raw_parts(spark, raw_path, since)
     if mode == "append":
         return append_minutes(parts, analyzed_path, dedup, **trailing)
+    finish_swaps(spark, analyzed_path)
     history = read_table(spark, analyzed_path, ANALYZED_SCHEMA, missing_ok=True)
     if mode == "repair":
         rows = repaired(parts, history, dedup, **trailing)
@@ -70,6 +71,7 @@ def append_minutes(parts: DataFrame, analyzed_path: str, dedup: dict | None = No
     tails' entry is written last and names the table's size, so such a run finds them out of date and makes them anew.
     """
     spark = parts.sparkSession
+    finish_swaps(spark, analyzed_path)
     history = read_table(spark, analyzed_path, ANALYZED_SCHEMA, missing_ok=True)
     order, price = trailing.get("order", ("collection_time",)), trailing.get("price", "average_price")
     store = TailStore(spark, analyzed_path, trailing.get("rows", FRAME_ROWS) - 1, price, order)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-from tickframe.operators.enrich import enrich, metric_rows, profile_rows, quote_rows
+from tickframe.operators.enrich import enrich, metric_rows, profile_rows, quote_quarantine, quote_rows
 from tickframe.operators.indicators import derive_indicators
 from tickframe.operators.universe import restrict
 from tickframe.sources.sinks import encode_messages, write_messages
@@ -45,8 +46,16 @@ def run_collect(
     path: str | None = None,
     universe: DataFrame | None = None,
     options: dict | None = None,
+    quarantine: str | None = None,
     **choices,
-) -> None:
-    """Send the collected ticks as messages."""
+) -> int:
+    """Send the collected ticks as messages; quotes that cannot be used go to ``quarantine``. Returns their number."""
     messages = encode_messages(collect_ticks(quotes, profiles, metrics, universe, **choices))
     write_messages(messages, format, path, **(options or {}))
+    if quarantine is None:
+        return 0
+    rejected = Observation()
+    followed = quotes if universe is None else restrict(quotes, universe)
+    rows = quote_quarantine(followed, **_chosen(choices, keys="quote_keys"))
+    rows.observe(rejected, F.count(F.lit(1)).alias("rows")).write.mode("append").json(quarantine)
+    return int(rejected.get["rows"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickframe.operators.dedup import best_per_key
 from tickframe.operators.quality import freshness, quality_report
 from tickframe.schemas import ANALYZED_PARTITIONS, ANALYZED_SCHEMA, MINUTE_KEY
-from tickframe.sources.sinks import staged_overwrite
+from tickframe.sources.sinks import finish_swaps, staged_overwrite
 from tickframe.sources.tables import read_table
 
 
@@ -34,6 +34,7 @@ def run_cleanup(
     missing = [c for c in by if c not in keys]
     if missing:
         raise ValueError(f"keys must include the partition columns {missing}")
+    finish_swaps(spark, path)
     table = read_table(spark, path, schema)
     # One value per calendar date at most, so the list is small whatever the table's size.
     dates = [row[0] for row in duplicated_dates(table, keys, by[0]).collect()]

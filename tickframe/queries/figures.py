@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickframe.operators import quality as Q
@@ -9,6 +10,7 @@ from tickframe.operators import rollups as R
 from tickframe.operators import serving as S
 from tickframe.plans.upkeep import run_freshness
 from tickframe.queries.base import ANALYZED_SQL, CENTS, TICKS_SQL, analyzed, naive, query, sql_avg, table, ticks, whole
+from tickframe.session import cut_lineage
 from tickframe.sources.tables import preview
 
 
@@ -51,21 +53,35 @@ def latest_kpi_texts(spark, sf_dir):
     return S.kpi_texts(S.kpis(analyzed(spark, sf_dir), tie=_by_event()))
 
 
+def _placed(series):
+    """A series with the place of each row in the order it comes in: partitions in turn, and rows within them."""
+    rows = cut_lineage(series.withColumn("_number", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id()))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_number").alias("_low"))
+    before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", (F.coalesce(before, F.lit(0)) - F.col("_low") + 1).alias("_shift"))
+    placed = rows.join(F.broadcast(starts), "_part").withColumn("place", F.col("_number") + F.col("_shift"))
+    return placed.withColumn("collection_time", naive("collection_time")).drop("_number", "_part", "_shift")
+
+
 @query(f"""WITH {ANALYZED_SQL}
-SELECT symbol, collection_time, average_price, moving_avg_7_days FROM analyzed ORDER BY symbol, collection_time""")
+SELECT symbol, collection_time, average_price, moving_avg_7_days, row_number() OVER (ORDER BY symbol, collection_time) AS place
+FROM analyzed ORDER BY symbol, collection_time""")
 def price_series(spark, sf_dir):
-    return S.price_series(analyzed(spark, sf_dir)).withColumn("collection_time", naive("collection_time"))
+    return _placed(S.price_series(analyzed(spark, sf_dir)))
 
 
 @query(f"""WITH {ANALYZED_SQL}
-SELECT symbol, trade_date, avg_market_cap / 1000.0::DOUBLE AS cap_billion_usd FROM analyzed""")
+SELECT symbol, trade_date, collection_time, avg_market_cap / 1000.0::DOUBLE AS cap_billion_usd,
+       row_number() OVER (ORDER BY symbol, collection_time) AS place
+FROM analyzed""")
 def market_cap_series(spark, sf_dir):
-    return S.market_cap_series(analyzed(spark, sf_dir))
+    return _placed(S.market_cap_series(analyzed(spark, sf_dir)))
 
 
-@query(f"WITH {ANALYZED_SQL} SELECT symbol, trade_date, avg_pe_ratio FROM analyzed")
+@query(f"""WITH {ANALYZED_SQL}
+SELECT symbol, trade_date, collection_time, avg_pe_ratio, row_number() OVER (ORDER BY symbol, collection_time) AS place FROM analyzed""")
 def pe_series(spark, sf_dir):
-    return S.pe_series(analyzed(spark, sf_dir))
+    return _placed(S.pe_series(analyzed(spark, sf_dir)))
 
 
 @query(f"""WITH {ANALYZED_SQL}

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from tickframe.operators.dedup import serving_rows
 from tickframe.plans.analyze import run_analyze, run_analyze_lake, run_daily
 from tickframe.plans.ingest import run_ingest
+from tickframe.plans.serve import run_kpis
 from tickframe.plans.upkeep import run_cleanup
 from tickframe.queries.base import ANALYZED_SQL, CENTS, TICKS_SQL, analyzed, naive, query, sql_avg, table, whole
 from tickframe.queries.records import _faulty, batch_instant, messages
@@ -14,10 +18,11 @@ from tickframe.session import new_path
 from tickframe.sources.lake import read_batches
 from tickframe.sources.messages import stream_messages
 from tickframe.sources.sinks import staged_overwrite, write_messages, write_partitioned
-from tickframe.sources.tables import read_table
+from tickframe.sources.tables import read_layouts, read_table
 from tickframe.streaming.analyze import start_analyze
 from tickframe.streaming.ingest import run_ingest_lake, start_ingest, start_quarantine
 from tickframe.streaming.latest import latest_per_minute_stream, start_latest
+from tickframe.streaming.minutes import MinuteSteps, start_minutes
 
 _LAKE_SCHEMA = "event_id bigint, ts timestamp_ntz, value double, event_type string, trade_date date"
 
@@ -275,3 +280,73 @@ def analyze_twice(spark, sf_dir):
     done = new_path(spark, "analyzed")
     _growing_lake(spark, sf_dir, lambda lake: run_analyze_lake(spark, lake, done, exact=CENTS))
     return read_table(spark, done, ANALYZED_SCHEMA).select(naive("collection_time"), *_JOB_COLUMNS)
+
+
+_LATE_SQL = """
+WITH sent AS (
+  SELECT *, least(3, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 1 WHEN ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END
+                     + CASE WHEN event_id % 50 = 3 THEN 1 ELSE 0 END) AS file
+  FROM events
+),
+marks AS (SELECT f AS file, (SELECT max(ts) FROM sent WHERE file < f) - INTERVAL 10 MINUTES AS mark FROM (VALUES (1), (2), (3)) AS v(f)),
+ticks AS (
+  SELECT event_id, event_type AS symbol, date_trunc('minute', ts) AS minute_start, ts, value,
+         coalesce(date_trunc('minute', ts) + INTERVAL 1 MINUTE <= mark, false) AS late
+  FROM sent JOIN marks USING (file)
+),
+kept AS (
+  SELECT *, count(*) OVER (PARTITION BY symbol, minute_start) AS n_ticks FROM ticks WHERE NOT late
+  QUALIFY row_number() OVER (PARTITION BY symbol, minute_start ORDER BY ts DESC, event_id DESC) = 1
+)
+SELECT 'minute' AS kind, event_id, symbol, minute_start, value AS current_price, n_ticks FROM kept
+UNION ALL SELECT 'late', event_id, symbol, minute_start, value, 1 FROM ticks WHERE late"""
+
+
+@query(_LATE_SQL)
+def stream_late_ticks(spark, sf_dir):
+    """Three files, some ticks a file late: every tick is counted in a minute or stands among the late ones."""
+    source = new_path(spark, "ticks")
+    ticks = table(spark, sf_dir, "events").select(
+        "event_id", F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("processed_timestamp"),
+        F.col("value").alias("current_price"),
+        F.expr("""least(3, CASE WHEN ts < TIMESTAMP_NTZ '2024-01-11' THEN 1 WHEN ts < TIMESTAMP_NTZ '2024-01-21' THEN 2 ELSE 3 END
+                  + CASE WHEN event_id % 50 = 3 THEN 1 ELSE 0 END)""").alias("file"),
+    )
+    schema = ticks.drop("file").schema
+    steps = MinuteSteps(spark, new_path(spark, "minutes"), schema, recency=("processed_timestamp", "event_id"))
+    for file in (1, 2, 3):
+        ticks.filter(F.col("file") == file).drop("file").coalesce(1).write.mode("append").parquet(source)
+        _finish(start_minutes(spark.readStream.schema(schema).parquet(source), steps))
+    steps.close(dt.datetime(2025, 1, 1))
+    columns = ["event_id", "symbol", naive("minute_start"), "current_price", "n_ticks"]
+    kept = steps.read("closed").select(F.lit("minute").alias("kind"), *columns)
+    return kept.unionByName(steps.read("late").select(F.lit("late").alias("kind"), *columns))
+
+
+@query(f"""WITH {ANALYZED_SQL},
+old AS (
+  SELECT symbol, trade_date, CAST(NULL AS TIMESTAMP) AS collection_time, max(moving_avg_7_days) AS moving_avg_7_days
+  FROM analyzed WHERE trade_date < DATE '2024-01-11' GROUP BY 1, 2
+)
+SELECT * FROM old UNION ALL
+SELECT symbol, trade_date, collection_time, moving_avg_7_days FROM analyzed WHERE trade_date >= DATE '2024-01-11'""")
+def serving_old_layout_stored(spark, sf_dir):
+    """Ten stored days of the layout without times, one row a day, stay ten rows beside newer days of minutes."""
+    path, minutes_ = new_path(spark, "layouts"), analyzed(spark, sf_dir)
+    is_old = F.col("trade_date") < F.lit("2024-01-11").cast("date")
+    old = minutes_.filter(is_old).groupBy("symbol", "trade_date").agg(F.max("moving_avg_7_days").alias("moving_avg_7_days"))
+    columns = ["symbol", "trade_date", "collection_time", "average_price", "moving_avg_7_days", "data_count_for_avg"]
+    for rows in (old, minutes_.filter(~is_old).select(*columns)):
+        write_partitioned(rows.unionByName(rows), path, ["trade_date"])
+    return serving_rows(read_layouts(spark, path)).select("symbol", "trade_date", naive("collection_time"), "moving_avg_7_days")
+
+
+@query(f"""WITH {ANALYZED_SQL}
+SELECT symbol, average_price AS price, avg_daily_return * 100.0::DOUBLE AS return_pct FROM analyzed
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) = 1""")
+def kpis_stored(spark, sf_dir):
+    """Headline figures of a stored table, which its tails lead to."""
+    raw, bad, done = (new_path(spark, name) for name in ("raw", "quarantine", "analyzed"))
+    run_ingest(messages(spark, sf_dir), raw, bad, batch_instant())
+    run_analyze(spark, raw, done, exact=CENTS)
+    return run_kpis(spark, done).select("symbol", "price", "return_pct")

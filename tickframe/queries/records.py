@@ -14,14 +14,16 @@ from tickframe.functions.times import (
     iso_text,
     time_parts,
 )
-from tickframe.operators.enrich import enrich, metric_rows, profile_rows, quote_rows
+from tickframe.operators.enrich import PROFILE_NUMBER_KEYS, PROFILE_TEXT_KEYS, enrich, metric_rows, profile_rows, quote_rows
+from tickframe.operators.enrich import enrich_as_of as as_of
+from tickframe.operators.enrich import quote_quarantine as rejected_quotes
 from tickframe.operators.indicators import derive_indicators
 from tickframe.operators.universe import parse_symbols, restrict, top_symbols
 from tickframe.plans.collect import collect_ticks
 from tickframe.plans.ingest import decode, good_rows, quarantine_rows, stamp
 from tickframe.queries.base import TICKS_SQL, base_ticks, naive, query, table, ticks, whole
 from tickframe.session import new_path
-from tickframe.sources.messages import read_messages
+from tickframe.sources.messages import parse_documents, read_messages
 from tickframe.sources.sinks import encode_messages, write_messages
 
 BATCH = "2024-02-01 12:34:56"
@@ -467,3 +469,59 @@ def number_texts(spark, sf_dir):
         "o_orderkey", N.two_decimals_text(price).alias("plain"), N.grouped_text(price).alias("grouped"),
         N.signed_percent_text(change).alias("signed"),
     )
+
+
+_QUOTE_FIELDS = ["c", "o", "h", "l", "pc", "d", "dp"]
+
+
+def _quote_texts(spark, sf_dir):
+    """Quote documents as JSON: usable, empty, unreadable, with a null, without a price, without a symbol."""
+    kind = F.col("event_id") % 7
+    value = F.col("value").cast("string")
+    price = F.when(kind == 1, F.lit("0")).when(kind == 2, F.lit('"n/a"')).when(kind == 3, F.lit("null")).otherwise(value)
+    symbol = F.when(kind == 5, F.lit("")).otherwise(F.concat(F.lit('"symbol": "'), F.col("event_type"), F.lit('", ')))
+    low = F.when(kind == 6, F.lit(', "l": null')).otherwise(F.lit(""))
+    first = F.when(kind == 4, F.lit("")).otherwise(F.concat(F.lit('"c": '), price, F.lit(", ")))
+    text = F.concat(F.lit("{"), symbol, first, F.lit('"o": 1.5'), low, F.lit(', "t": '), F.col("event_id").cast("string"), F.lit("}"))
+    return table(spark, sf_dir, "events").select(text.alias("value"))
+
+
+@query("""
+SELECT CASE event_id % 7 WHEN 1 THEN 'empty_quote' WHEN 2 THEN 'not_a_number:current_price' WHEN 3 THEN 'null:current_price'
+            WHEN 5 THEN 'no_symbol' WHEN 6 THEN 'null:low_price' ELSE 'usable' END AS outcome,
+       count(*) AS n, sum(event_id)::BIGINT AS events
+FROM events WHERE event_id % 7 IN (1, 2, 3, 5, 6) OR value <> 0 OR event_id % 7 = 4 GROUP BY 1""")
+def quote_quarantine(spark, sf_dir):
+    """Every quote is either a tick or stands in quarantine with its reason and its document."""
+    quotes = parse_documents(_quote_texts(spark, sf_dir), [*_QUOTE_FIELDS, "t", "polled_at"])
+    rejected = rejected_quotes(quotes).select(F.col("reason").alias("outcome"), F.get_json_object("document", "$.t").cast("bigint").alias("event"))
+    usable = quote_rows(quotes).select(F.lit("usable").alias("outcome"), F.unix_timestamp(F.col("market_timestamp").cast("timestamp")).alias("event"))
+    return rejected.unionByName(usable).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum("event").alias("events"))
+
+
+@query("""
+SELECT c_custkey AS symbol, CASE c_custkey % 3 WHEN 0 THEN 'USD' WHEN 2 THEN 'EUR' END AS currency,
+       CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE c_name END AS company_name
+FROM customer""")
+def profile_null_kept(spark, sf_dir):
+    """A key that a document lacks has its default; one with a null stays null."""
+    number = F.col("c_custkey")
+    money = F.when(number % 3 == 0, F.lit("")).when(number % 3 == 1, F.lit(', "currency": null')).otherwise(F.lit(', "currency": "EUR"'))
+    named = F.concat(F.lit(', "name": "'), F.col("c_name"), F.lit('"'))
+    name = F.when(number % 4 == 0, F.lit("")).when(number % 4 == 1, F.lit(', "name": null')).otherwise(named)
+    texts = table(spark, sf_dir, "customer").select(F.concat(F.lit('{"symbol": "'), number.cast("string"), F.lit('"'), money, name, F.lit("}")).alias("value"))
+    found = profile_rows(parse_documents(texts, [*PROFILE_TEXT_KEYS.values(), *PROFILE_NUMBER_KEYS.values()]))
+    return found.select(F.col("symbol").cast("bigint").alias("symbol"), "currency", "company_name")
+
+
+@query("""
+WITH versions AS (
+  SELECT event_type AS symbol, ts AS valid_from, max(event_id) AS version FROM events WHERE event_id % 40 = 7 GROUP BY 1, 2
+)
+SELECT t.event_id, t.event_type AS symbol, v.version FROM events t ASOF LEFT JOIN versions v ON v.symbol = t.event_type AND v.valid_from <= t.ts""")
+def enrich_as_of(spark, sf_dir):
+    """Ticks with the version of their symbol that was valid at their time."""
+    events = table(spark, sf_dir, "events")
+    versions = events.filter(F.col("event_id") % 40 == 7).select(F.col("event_type").alias("symbol"), F.col("ts").alias("valid_from"), F.col("event_id").alias("version"))
+    ticks_ = events.select("event_id", F.col("event_type").alias("symbol"), "ts")
+    return as_of(ticks_, versions, "ts", "valid_from", tie=F.col("version").desc()).select("event_id", "symbol", "version")

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 
 def kafka_options(
@@ -51,7 +51,25 @@ def stream_messages(
     return reader.load(path) if path else reader.load()
 
 
+NULL_KEYS = "null_keys"
+
+
+def parse_documents(texts: DataFrame, keys: Iterable[str], column: str = "value") -> DataFrame:
+    """JSON texts as a ``symbol`` and some ``keys``, each as text, ``null_keys`` and ``document``, the text itself.
+
+    ``null_keys`` names the wanted keys that a document has with a null, so they can be told from those it lacks. Numbers
+    are parsed where they are used. What is no JSON object has nulls only.
+    """
+    wanted = list(dict.fromkeys(["symbol", *keys]))
+    fields = F.from_json(F.col(column).cast("string"), "map<string,string>")
+    # A generator's output is computed once, however many columns take from it.
+    rows = texts.select(F.col(column).cast("string").alias("document"), F.inline(F.array(F.struct(fields.alias("_fields")))))
+    named = F.array(*[F.lit(key) for key in wanted])
+    empty = F.filter(named, lambda key: F.map_contains_key(F.col("_fields"), key) & F.col("_fields")[key].isNull())
+    nulls = F.coalesce(empty, F.array().cast("array<string>")).alias(NULL_KEYS)
+    return rows.select(*[F.col("_fields")[key].alias(key) for key in wanted], nulls, "document")
+
+
 def read_documents(spark: SparkSession, path: str, keys: Iterable[str]) -> DataFrame:
-    """JSON documents with a ``symbol`` and some of ``keys``, each as text; numbers are parsed where they are used."""
-    fields = [T.StructField(key, T.StringType(), True) for key in dict.fromkeys(["symbol", *keys])]
-    return spark.read.schema(T.StructType(fields)).json(path)
+    """JSON documents, one a line, as ``parse_documents`` gives them."""
+    return parse_documents(spark.read.text(path), keys)

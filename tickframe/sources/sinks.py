@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickframe.session import new_path, remove_own
+from tickframe.session import new_path, path_exists, remove_own
+from tickframe.sources.ledger import Ledger
 
 
 def write_partitioned(
@@ -48,16 +51,50 @@ def staged_overwrite(
     """Overwrite ``path`` with rows that may have been read from ``path``.
 
     Spark deletes the target before it reads it, so the rows go to a staging table first. ``replace="partitions"``
-    touches only the directories present in ``df``; ``"all"`` replaces the table. If the second write is interrupted, the
-    staging table still holds every row; it is removed only after that write has been committed.
+    touches only the directories present in ``df``; ``"all"`` replaces the table. A ledger beside the target names the
+    staging table from its last row on until the swap is done; a run that ended in between is finished by the next one
+    (``finish_swaps``).
     """
     if replace not in ("partitions", "all"):
         raise ValueError(f"replace must be 'partitions' or 'all', not {replace!r}")
-    staging = new_path(df.sparkSession, "staging")
+    spark = df.sparkSession
+    finish_swaps(spark, path)
+    ledger, staging = _swaps(spark, path), new_path(spark, "staging")
+    last = ledger.last()
+    number = last[0] + 1 if last else 0
     df.write.parquet(staging)
-    staged = df.sparkSession.read.schema(df.schema).parquet(staging)
-    rows = write_partitioned(staged, path, by, "overwrite", sort, dynamic=replace == "partitions")
-    remove_own(df.sparkSession, staging)
+    plan = {"staging": staging, "replace": replace, "by": list(by), "sort": list(sort), "schema": df.schema.json()}
+    ledger.commit(number, plan)
+    rows = _swap(spark, path, plan)
+    ledger.commit(number + 1, {"done": number})
+    remove_own(spark, staging)
+    return rows
+
+
+def _swaps(spark: SparkSession, path: str) -> Ledger:
+    return Ledger(spark, f"{path.rstrip('/')}_swaps")
+
+
+def _swap(spark: SparkSession, path: str, plan: dict) -> int:
+    schema = T.StructType.fromJson(json.loads(plan["schema"]))
+    staged = spark.read.schema(schema).parquet(plan["staging"])
+    return write_partitioned(staged, path, plan["by"], "overwrite", plan["sort"], dynamic=plan["replace"] == "partitions")
+
+
+def finish_swaps(spark: SparkSession, path: str) -> int | None:
+    """Finish a swap that a run before left between its staging table and its target; returns the rows written, if any.
+
+    Writing the same partitions from the same staging table again gives the same table, however far the first run came.
+    """
+    ledger = _swaps(spark, path)
+    last = ledger.last()
+    if last is None or "done" in last[1]:
+        return None
+    number, plan = last
+    rows = _swap(spark, path, plan) if path_exists(spark, plan["staging"]) else None
+    ledger.commit(number + 1, {"done": number})
+    if rows is not None:
+        remove_own(spark, plan["staging"])
     return rows
 
 

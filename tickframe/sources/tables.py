@@ -24,6 +24,17 @@ def read_table(spark: SparkSession, path: str, schema=None, missing_ok: bool = F
     return reader.parquet(path)
 
 
+def read_layouts(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """A stored table whose files were written in several layouts, united by their columns.
+
+    The layouts are found in the files' footers; a column that a file lacks is null in its rows. Without files, and with a
+    schema, it is an empty table.
+    """
+    if schema is not None and not path_exists(spark, path):
+        return empty_table(spark, schema)
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """First ``n`` rows, as a frame rather than printed text."""
     return df.limit(n)

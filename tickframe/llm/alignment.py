@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from typing import NamedTuple
 
@@ -26,12 +26,13 @@ from tickframe.session import cut_lineage, new_path
 
 # Pairs that are sent to every task (17 bytes each), characters tokenized at once, pairs counted before they leave a task,
 # characters of words whose ids a task keeps.
-HEAD_PAIRS, SLICE_CHARS, FLUSH_PAIRS, KEPT_CHARS = 1 << 18, 1 << 21, 1 << 20, 1 << 21
+HEAD_PAIRS, SLICE_CHARS, FLUSH_PAIRS, KEPT_CHARS = 1 << 18, 1 << 20, 1 << 20, 1 << 22
 
 _FIGURES = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
 _TOKENS = "a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>"
 _PAIRS = "pairs array<bigint>, times array<int>"
 _LONG, _INT = pa.int64(), pa.int32()
+_SPACES = re.compile(r"\s \s")
 
 
 class Vocabularies(NamedTuple):
@@ -39,12 +40,11 @@ class Vocabularies(NamedTuple):
 
     a: str  # byte-level BPE, JSON
     b: bytes  # pieces with byte fallback, a serialized model
-    a_pattern: str | None = None  # how A cuts texts before its merges; without it texts are encoded whole
 
 
-def read_vocabularies(a_path: str, b_path: str, a_pattern: str | None = None) -> Vocabularies:
+def read_vocabularies(a_path: str, b_path: str) -> Vocabularies:
     with open(a_path, encoding="utf-8") as a, open(b_path, "rb") as b:
-        return Vocabularies(a.read(), b.read(), a_pattern)
+        return Vocabularies(a.read(), b.read())
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -61,39 +61,17 @@ def byte_table(entries: Iterable[tuple[int, bytes]]) -> pa.Array:
     return pa.array([known.get(i, b"") for i in range(max(known, default=-1) + 1)], pa.binary())
 
 
-class Words:
-    """Token ids of the words of a tokenizer, kept for the words that come again."""
-
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self.encode, self.known, self.chars = encode, {}, 0
-
-    def __call__(self, texts: list[list[str]]) -> pa.Array:
-        """One list of ids for each text, given as its words."""
-        flat = list(chain.from_iterable(texts))
-        places = {word: i for i, word in enumerate(dict.fromkeys(flat))}
-        codes = np.fromiter(map(places.__getitem__, flat), np.int32, len(flat))
-        missing = [word for word in places if word not in self.known]
-        self.chars += sum(map(len, missing))
-        if self.chars > KEPT_CHARS:
-            self.known, missing = {}, list(places)
-            self.chars = sum(map(len, missing))
-        self.known.update(zip(missing, self.encode(missing) if missing else []))
-        taken = pa.array([self.known[word] for word in places], pa.list_(_INT)).take(pa.array(codes, _INT))
-        upto = np.append(0, np.cumsum([len(words) for words in texts], dtype=np.int64))
-        return pa.ListArray.from_arrays(pa.array(np.asarray(taken.offsets)[upto], _INT), taken.flatten())
-
-
 class Tokenizers:
     """Both tokenizers and the bytes of their tokens, loaded once in a task.
 
-    Texts are cut into words that no token crosses, and every word is encoded once: A's pattern makes its words, for B
-    they end at single spaces, which no piece has but at its start. Where that isn't certain (characters that the two
-    libraries' patterns may class differently, spaces that follow each other), the whole text is one word.
+    No token of either reaches over a single space from the end of one word to the start of the next: A cuts before it, and
+    B's pieces have spaces at their start alone. So texts are split at single spaces, every different word is encoded once
+    (A's with its space), and its ids are kept for the words that come again. Where spaces stand beside other white space
+    the whole text is one word.
     """
 
     def __init__(self, vocabularies: Vocabularies):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -103,24 +81,43 @@ class Tokenizers:
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=vocabularies.b)
         alphabet = byte_alphabet()
-        self.a_bytes = byte_table((i, bytes(alphabet[c] for c in t) if set(t) <= alphabet.keys() else t.encode()) for t, i in self.a.get_vocab().items())
+        entries = self.a.get_vocab()
+        self.a_bytes = byte_table((i, bytes(alphabet[c] for c in t) if set(t) <= alphabet.keys() else t.encode()) for t, i in entries.items())
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = byte_table((i, bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()) for i, p in enumerate(pieces))
-        self.pattern = regex.compile(vocabularies.a_pattern) if vocabularies.a_pattern else None
-        self.plain = re.compile("[\t\n\r -~\u00a0-\u052f\u2010-\u2027\u3041-\u3096\u4e00-\u9fa5\uac00-\ud7a3]*")
-        self.apart = not any("▁" in p.lstrip("▁") for p in pieces) and self.b.encode("a b\n c") == [i for w in ("a", "b\n", "c") for i in self.b.encode(w)]
-        self.a_words = Words(lambda words: [e.ids for e in self.a.encode_batch(words, add_special_tokens=False)])
-        self.b_words = Words(lambda words: self.b.encode(words, num_threads=1))
+        probe = ["a", "b's\n\nx,", "\tc", "1é.\n", "d"]
+        ids = self._encode_words(probe)
+        self.apart = not any("▁" in p.lstrip("▁") for p in pieces) and all(
+            whole == list(chain.from_iterable(parts)) for whole, parts in zip((x[0] for x in self._encode_words([" ".join(probe)])), ids)
+        )
+        self.known: tuple[dict, dict] = ({}, {})
+        self.chars = 0
 
-    def _cut_a(self, text: str) -> list[str]:
-        return self.pattern.findall(text) if self.pattern and self.plain.fullmatch(text) else [text]
+    def _encode_words(self, words: list[str]) -> tuple[list, list]:
+        return [e.ids for e in self.a.encode_batch([f" {w}" for w in words], add_special_tokens=False)], self.b.encode(words, num_threads=1)
 
-    def _cut_b(self, text: str) -> list[str]:
-        words = text.split(" ") if self.apart else [text]
-        return [text] if "" in words or "▁" in text else words
+    def _words(self, text: str) -> list[str]:
+        words = text.split(" ") if self.apart and "▁" not in text and not _SPACES.search(text) else [text]
+        return [text] if "" in words else words
 
     def encode(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
-        return self.a_words([self._cut_a(f" {t}") if t else [] for t in texts]), self.b_words([self._cut_b(t) if t else [] for t in texts])
+        """Token ids of each text by A and by B; empty texts have none."""
+        cut = [self._words(t) if t else [] for t in texts]
+        flat = list(chain.from_iterable(cut))
+        places = {word: i for i, word in enumerate(dict.fromkeys(flat))}
+        codes = pa.array(np.fromiter(map(places.__getitem__, flat), np.int32, len(flat)))
+        missing = [word for word in places if word not in self.known[0]]
+        self.chars += sum(map(len, missing))
+        if self.chars > KEPT_CHARS:
+            self.known, missing = ({}, {}), list(places)
+            self.chars = sum(map(len, missing))
+        upto = np.append(0, np.cumsum([len(words) for words in cut], dtype=np.int64))
+        out = []
+        for known, ids in zip(self.known, self._encode_words(missing) if missing else ((), ())):
+            known.update(zip(missing, ids))
+            taken = pa.array(map(known.__getitem__, places), pa.list_(_INT)).take(codes)
+            out.append(pa.ListArray.from_arrays(pa.array(np.asarray(taken.offsets)[upto], _INT), taken.flatten()))
+        return out[0], out[1]
 
 
 def _spells(tokens: pa.Array, table: pa.Array, wanted: list[bytes]) -> np.ndarray:
@@ -133,12 +130,13 @@ def _spells(tokens: pa.Array, table: pa.Array, wanted: list[bytes]) -> np.ndarra
 
 
 def _ends(tokens: pa.Array, table: pa.Array, name: str) -> pa.Table:
-    """(doc, end, place) of all tokens: the end as bytes from the start of its document."""
+    """(at, place) of all tokens: document and end, as bytes from the document's start, in one number."""
     flat, parents = tokens.flatten(), pc.list_parent_indices(tokens)
     total = pc.cumulative_sum(pc.cast(pc.binary_length(table.take(flat)), _LONG))
     before = np.append(0, total.to_numpy())[np.asarray(tokens.offsets) - tokens.offsets[0].as_py()]
     ends = pc.subtract(total, pa.array(before, _LONG).take(parents))
-    return pa.table({"doc": parents, "end": ends, name: pa.array(np.arange(len(flat), dtype=np.int64))})
+    at = pc.add(pc.shift_left(pc.cast(parents, _LONG), pa.scalar(40, _LONG)), ends)
+    return pa.table({"at": at, name: pa.array(np.arange(len(flat), dtype=np.int64))})
 
 
 def _cut(values: pa.Array, after: np.ndarray) -> pa.Array:
@@ -155,8 +153,10 @@ def align_texts(texts: list[str | None], load: Tokenizers, tokens: bool) -> dict
     if not valid.all():
         # Lists of unusable texts become empty, so that every text keeps its place.
         a, b = (pc.fill_null(pc.if_else(pa.array(valid), x, pa.scalar(None, x.type)), pa.scalar([], x.type)) for x in (a, b))
-    met = _ends(a, load.a_bytes, "a").join(_ends(b, load.b_bytes, "b"), ["doc", "end"], join_type="inner", use_threads=False).sort_by("a")
-    doc, at_a, at_b = (met.column(c).combine_chunks().to_numpy() for c in ("doc", "a", "b"))
+    met = _ends(a, load.a_bytes, "a").join(_ends(b, load.b_bytes, "b"), "at", join_type="inner", use_threads=False)
+    doc, at_a, at_b = (met.column(c).combine_chunks().to_numpy() for c in ("at", "a", "b"))
+    order = np.argsort(at_a, kind="stable")
+    doc, at_a, at_b = doc[order] >> 40, at_a[order], at_b[order]
     upto = np.cumsum(np.bincount(doc, minlength=len(texts)))  # groups up to the end of each text
     a_flat, b_flat = a.flatten(), b.flatten()
     groups = pc.binary_join_element_wise(*(pc.binary_join(_cut(pc.cast(flat, pa.string()), at + 1), ",") for flat, at in ((a_flat, at_a), (b_flat, at_b))), "|")

@@ -73,7 +73,7 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = alignment.read_vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+    both = alignment.read_vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     return alignment.alignment_report(documents(spark, sf_dir), both)
 
 

@@ -2,8 +2,11 @@
 
 Character n-grams of the letters of a text are hashed into buckets; each bucket has an embedding, a text is the average
 of its embeddings, and a linear softmax gives the languages. The model is trained by stochastic gradient descent in
-numpy on a bounded sample of labelled rows, its probabilities are calibrated on rows left out of the training, and texts
-whose calibrated probability is lower than nearly all of those are rejected. Prediction runs over Arrow batches.
+numpy on a bounded sample of labelled rows, with steps that adapt to each weight, and its probabilities are calibrated
+on rows left out of the training. A softmax shares its whole probability among the languages it knows, so it cannot tell
+a text in none of them. Rejection therefore asks how well the n-grams of a text fit those of its language in the sample:
+their cross entropy, less that of the language's own texts, against the spread expected for a text of its length. Texts
+beyond nearly all of the labelled ones are rejected. Prediction runs over Arrow batches.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from tickframe.llm.common import own_name, text_of
 
 BUCKETS, DIMENSIONS, LONGEST = 1 << 13, 16, 4
 # Rows of one language, and of all languages together, that the model learns from; a language has one row at least.
-SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL = 600, 38_400
+SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL = 600, 12_000
 UNKNOWN = "und"
 
 
@@ -30,7 +33,37 @@ class Model(NamedTuple):
     weights: np.ndarray  # embeddings times the linear layer: one row of scores for each bucket
     bias: np.ndarray
     temperature: float
-    threshold: float
+    profile: np.ndarray  # logarithm of the share of each bucket in the sample's texts of each language
+    entropy: np.ndarray  # mean cross entropy of a language's own texts
+    spread: tuple[float, float]  # variance of a text's cross entropy: a part that shrinks with its length, and the rest
+    limit: float  # distances above it are rejected
+
+    def judge(self, counts: np.ndarray) -> tuple[int, float, float]:
+        """The most probable language, its probability, and how far the text is from that language's own texts."""
+        n = counts.sum()
+        p = _softmax((counts.astype(np.float32) @ self.weights / n + self.bias) / self.temperature)
+        best = int(p.argmax())
+        return best, float(p[best]), self.distance(counts / n, n, best)
+
+    def distance(self, shares: np.ndarray, n: float, language: int) -> float:
+        off = -float(shares @ self.profile[:, language]) - float(self.entropy[language])
+        return off / (self.spread[0] / n + self.spread[1]) ** 0.5
+
+
+class Samples(NamedTuple):
+    """Texts as n-gram buckets: those of row i are ``buckets[starts[i]:starts[i + 1]]``."""
+
+    languages: list[str]
+    starts: np.ndarray
+    buckets: np.ndarray
+    counts: np.ndarray
+
+    def shares(self, rows: np.ndarray) -> np.ndarray:
+        x = np.zeros((len(rows), BUCKETS), dtype=np.float32)
+        for i, row in enumerate(rows):
+            own = slice(self.starts[row], self.starts[row + 1])
+            x[i, self.buckets[own]] = self.counts[own] / max(1, self.counts[own].sum())
+        return x
 
 
 def letters_of(text: Column) -> Column:
@@ -62,52 +95,62 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(samples: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 12, rate: float = 4.0, batch: int = 32, keep: float = 0.998) -> Model | None:
-    """A model of (language, buckets, counts) samples, of which every fifth only calibrates; None without samples."""
-    languages = sorted({s[0] for s in samples})
-    if not languages:
-        return None
-    number = {language: i for i, language in enumerate(languages)}
+def _learn(samples: Samples, truth: np.ndarray, rows: np.ndarray, n_languages: int, epochs: int, rate: float, batch: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and bias after stochastic gradient steps, each divided by the root of the squares of its weight's steps so
+    far: no step is longer than ``rate``, whatever the scale of the gradients."""
     random = np.random.default_rng(7)
-    embeddings = random.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
-    linear = random.normal(0, 0.1, (DIMENSIONS, len(languages))).astype(np.float32)
-    bias = np.zeros(len(languages), dtype=np.float32)
-
-    def dense(rows):
-        x = np.zeros((len(rows), BUCKETS), dtype=np.float32)
-        for i, (_, buckets, counts) in enumerate(rows):
-            x[i, buckets] = counts / max(1, counts.sum())
-        return x
-
-    learning = [s for i, s in enumerate(samples) if i % 5 != 4] or samples
-    checking = [s for i, s in enumerate(samples) if i % 5 == 4] or samples
-    learnt = {s[0] for s in learning}
-    learning += [s for s in checking if s[0] not in learnt]
+    parts = [random.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32), random.normal(0, 0.1, (DIMENSIONS, n_languages)).astype(np.float32), np.zeros(n_languages, dtype=np.float32)]
+    squares = [np.full_like(part, 1e-8) for part in parts]
     for epoch in range(epochs):
-        order = random.permutation(len(learning))
+        order = random.permutation(rows)
         for start in range(0, len(order), batch):
-            rows = [learning[i] for i in order[start : start + batch]]
-            x = dense(rows)
+            some = order[start : start + batch]
+            x = samples.shares(some)
+            embeddings, linear, bias = parts
             hidden = x @ embeddings
             p = _softmax(hidden @ linear + bias)
-            p[np.arange(len(rows)), [number[r[0]] for r in rows]] -= 1
-            p /= len(rows)
-            step = rate * (1 - epoch / epochs)
-            down = p @ linear.T
-            linear -= step * (hidden.T @ p)
-            bias -= step * p.sum(axis=0)
-            embeddings -= step * BUCKETS**0.5 * (x.T @ down)
-    weights = embeddings @ linear
-    scores = np.concatenate([dense(checking[i : i + 256]) @ weights + bias for i in range(0, len(checking), 256)])
-    truth = np.array([number[s[0]] for s in checking])
+            p[np.arange(len(some)), truth[some]] -= 1
+            p /= len(some)
+            for part, square, gradient in zip(parts, squares, (x.T @ (p @ linear.T), hidden.T @ p, p.sum(axis=0))):
+                square += gradient * gradient
+                part -= rate * (1 - epoch / epochs) * gradient / np.sqrt(square)
+    return parts[0] @ parts[1], parts[2]
+
+
+def train(samples: Samples, epochs: int = 12, rate: float = 0.1, batch: int = 32, keep: float = 0.998) -> Model | None:
+    """A model of the samples, of which every fifth only calibrates; None without samples. Weights that are no finite
+    numbers are an error."""
+    languages = sorted(set(samples.languages))
+    if not languages:
+        return None
+    number = {language: i for i, language in enumerate(languages)}
+    truth = np.array([number[language] for language in samples.languages])
+    rows = np.arange(len(truth))
+    learning, checking = rows[rows % 5 != 4], rows[rows % 5 == 4]
+    learning = np.append(learning, [r for r in checking if truth[r] not in set(truth[learning])]).astype(np.int64)
+    checking = checking if len(checking) else learning
+    weights, bias = _learn(samples, truth, learning, len(languages), epochs, rate, batch)
+    if not (np.isfinite(weights).all() and np.isfinite(bias).all()):
+        raise ValueError("training gave weights that are no finite numbers")
+    scores = np.concatenate([samples.shares(part) @ weights + bias for part in np.array_split(checking, -(-len(checking) // 256))])
     temperatures = [0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0]
-    losses = [-np.log(np.maximum(_softmax(scores / t)[np.arange(len(truth)), truth], 1e-9)).mean() for t in temperatures]
-    temperature = temperatures[int(np.argmin(losses))]
-    sure = _softmax(scores / temperature)
-    right = sure.max(axis=1)[sure.argmax(axis=1) == truth]
-    # Nearly all texts that are recognised correctly pass; a text with a majority of the probability always does.
-    threshold = min(0.5, float(np.quantile(right, 1 - keep))) if len(right) else 0.0
-    return Model(languages, weights.astype(np.float32), bias, temperature, threshold)
+    losses = [-np.log(np.maximum(_softmax(scores / t)[np.arange(len(checking)), truth[checking]], 1e-9)).mean() for t in temperatures]
+
+    sizes = np.array([samples.counts[a:b].sum() for a, b in zip(samples.starts[:-1], samples.starts[1:])])
+    held = np.zeros((len(languages), BUCKETS))
+    for row in learning:
+        own = slice(samples.starts[row], samples.starts[row + 1])
+        held[truth[row], samples.buckets[own]] += samples.counts[own]
+    profile = np.log((held + 0.5) / (held.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)).T
+    crossed = np.array([-(samples.counts[a:b] @ profile[samples.buckets[a:b], t]) / max(1, n) for a, b, t, n in zip(samples.starts[:-1], samples.starts[1:], truth, sizes)])
+    # A language's own level and the spread around it, by least squares over what the profile has seen and what it has not.
+    entropy = np.array([np.average(crossed[truth == t], weights=sizes[truth == t]) for t in range(len(languages))])
+    off = crossed - entropy[truth]
+    shape = np.stack([1 / np.maximum(1, sizes), np.ones(len(sizes))], axis=1)
+    spread = np.maximum(np.linalg.lstsq(shape, off * off, rcond=None)[0], [1.0, 0.02])
+    far = off / np.sqrt(shape @ spread)
+    limit = max(5.0, float(np.quantile(far, keep)))
+    return Model(languages, weights.astype(np.float32), bias, temperatures[int(np.argmin(losses))], profile.astype(np.float32), entropy, (float(spread[0]), float(spread[1])), limit)
 
 
 def fold(doc_id: Column) -> Column:
@@ -138,7 +181,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {"language": [], "drawn": [], "buckets": [], "counts": []}
+            rows: list[tuple] = []
             for language, draw, letters in zip(*[batch.column(c).to_pylist() for c in ("language", "drawn", "letters")]):
                 words = letters.split()
                 start = int(draw * 1_000_003) % max(1, len(words))
@@ -146,22 +189,24 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
                     if piece.strip():
                         counts = bucket_counts(piece)
                         used = np.flatnonzero(counts)
-                        for key, value in (("language", language), ("drawn", draw), ("buckets", used.tolist()), ("counts", counts[used].tolist())):
-                            rows[key].append(value)
-            schema = pa.schema([("language", pa.string()), ("drawn", pa.float64()), ("buckets", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
-            yield pa.RecordBatch.from_pydict(rows, schema=schema)
+                        rows.append((language, draw, used.astype(np.int32), counts[used].astype(np.int32)))
+            columns = [[row[i] for row in rows] for i in range(4)]
+            kinds = (pa.string(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["language", "drawn", "buckets", "counts"])
 
     table = sample.mapInArrow(run, "language string, drawn double, buckets array<int>, counts array<int>")
     got = table.orderBy("drawn", "language", "counts").toArrow()  # the order makes the result repeatable
-    samples = [(r, np.array(b), np.array(c)) for r, b, c in zip(*[got.column(n).to_pylist() for n in ("language", "buckets", "counts")])]
-    return train(samples)
+    buckets, counts = (got.column(name).combine_chunks() for name in ("buckets", "counts"))
+    flat = [x.flatten().to_numpy() if len(x) else np.zeros(0, np.int32) for x in (buckets, counts)]
+    starts = np.asarray(buckets.offsets).astype(np.int64) if len(buckets) else np.zeros(1, np.int64)
+    return train(Samples(got.column("language").to_pylist(), starts - starts[0], *flat))
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``lang_pred``, ``lang_score`` (0 to 1) and ``lang_rejected``.
 
     A null text or one without letters is ``und`` with score 0 and rejected, as is every text without a model. Other
-    texts get the most probable language; they are rejected when its probability is below the calibrated threshold.
+    texts get the most probable language; they are rejected when they are further from its texts than nearly all of these.
     Columns of ``docs`` with these names are replaced.
     """
     made = ("lang_pred", "lang_score", "lang_rejected")
@@ -180,12 +225,10 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                     scores.append(0.0)
                     rejected.append(True)
                     continue
-                counts = bucket_counts(value)
-                p = _softmax((counts.astype(np.float32) @ model.weights / counts.sum() + model.bias) / model.temperature)
-                best = int(p.argmax())
+                best, p, far = model.judge(bucket_counts(value))
                 names.append(model.languages[best])
-                scores.append(float(min(1.0, p[best])))
-                rejected.append(bool(p[best] < model.threshold))
+                scores.append(min(1.0, p))
+                rejected.append(far > model.limit)
             kept = [(c, n) for c, n in zip(batch.columns, batch.schema.names) if n != letters]
             yield pa.RecordBatch.from_arrays(
                 [c for c, _ in kept] + [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],

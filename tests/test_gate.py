@@ -18,3 +18,16 @@ from tickframe.functions.times import SEOUL, collection_open
 )
 def test_gate(spark, moment, is_open):
     assert collection_open(spark, F.lit(moment).cast("timestamp"), SEOUL) is is_open
+
+
+def test_the_entry_works_without_the_corpus_operators(tmp_path):
+    """Also where a library they need is missing."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    (tmp_path / "numpy.py").write_text("raise ImportError('absent')")
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'daily_ma7' in q and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)"
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, env={**os.environ, "PYTHONPATH": f"{tmp_path}:{root}"}, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from tickframe.functions.times import time_parts
 from tickframe.operators.dedup import latest_per_minute
-from tickframe.operators.incremental import drop_processed, on_dates
+from tickframe.operators.incremental import drop_processed, on_dates, with_trailing
 from tickframe.operators.quality import null_counts, quality_report
-from tickframe.operators.rolling import trailing_range, trailing_rows_plain
+from tickframe.operators.rolling import trailing_range, trailing_rows, trailing_rows_plain
 from tickframe.operators.rollups import daily_average, hourly_price
 from tickframe.schemas import MINUTE_KEY
 from tickframe.sources import read_table, write_partitioned
@@ -58,7 +58,7 @@ def test_deduplication_shuffles_once_and_the_anti_join_reuses_it(spark, stored):
     # One shuffle for each side; the deduplicated side is not moved again for the join.
     assert plan.count("Exchange hashpartitioning") == 2
     assert "LeftAnti" in plan
-    assert len(MINUTE_KEY) == 4
+    assert MINUTE_KEY[0] == "symbol" and "hashpartitioning(symbol" in plan
 
 
 def test_group_summaries_aggregate_before_the_shuffle(stored):
@@ -89,3 +89,15 @@ def test_range_frames_never_group_by_symbol_alone_on_rows(stored):
     assert len(set(whole_symbol)) <= 2
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_minute_rows_of_a_range_frame_move_once(stored):
+    plan = plan_of(with_trailing(stored, frame="range", exact="decimal(18,2)"))
+    assert plan.count("Exchange") == 1 and "hashpartitioning(symbol, _block" in plan
+
+
+def test_row_frames_move_counts_and_rows_by_pieces(spark, stored):
+    """Rows meet the counts of their buckets and then their piece; no exchange of rows is by the symbol alone."""
+    plan = plan_of(trailing_rows(stored, "average_price", 7, "a", "n", exact="decimal(18,2)"))
+    by_symbol = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(symbol, \d+\)", line)]
+    assert len(by_symbol) <= 1 and re.search(r"hashpartitioning\(symbol, _piece", plan)

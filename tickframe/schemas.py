@@ -5,26 +5,45 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _fields(kind: T.DataType, names: str) -> list[T.StructField]:
-    return [T.StructField(name, kind, True) for name in names.split()]
+def _fields(kind: T.DataType, names: list[str]) -> list[T.StructField]:
+    return [T.StructField(name, kind, True) for name in names]
 
 
 # Column names and types of one tick message.
 TICK_SCHEMA = T.StructType(
-    _fields(T.StringType(), "symbol")
+    _fields(T.StringType(), ["symbol"])
     + _fields(
         T.DoubleType(),
-        "current_price open_price high_price low_price previous_close price_change percent_change",
+        [
+            "current_price",
+            "open_price",
+            "high_price",
+            "low_price",
+            "previous_close",
+            "price_change",
+            "percent_change",
+        ],
     )
-    + _fields(T.StringType(), "timestamp")
-    + _fields(T.StringType(), "company_name industry")
-    + _fields(T.DoubleType(), "market_cap")
-    + _fields(T.StringType(), "country currency exchange ipo_date")
+    + _fields(T.StringType(), ["timestamp", "company_name", "industry"])
+    + _fields(T.DoubleType(), ["market_cap"])
+    + _fields(T.StringType(), ["country", "currency", "exchange", "ipo_date"])
     + _fields(
         T.DoubleType(),
-        "pe_ratio pb_ratio eps_ttm dividend_yield beta week_52_high week_52_low volume_10day_avg",
+        [
+            "pe_ratio",
+            "pb_ratio",
+            "eps_ttm",
+            "dividend_yield",
+            "beta",
+            "week_52_high",
+            "week_52_low",
+            "volume_10day_avg",
+            "daily_return",
+            "volatility",
+            "price_range",
+            "price_position",
+        ],
     )
-    + _fields(T.DoubleType(), "daily_return volatility price_range price_position")
 )
 
 # RAW: the tick plus ingest stamps.

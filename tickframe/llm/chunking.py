@@ -13,12 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickframe.llm.common import own_name, text_of
-from tickframe.session import cut_lineage
+from tickframe.session import cut_lineage, small_side
 
 # A boundary is possible at one byte in 32; with the least length a chunk has some 48 bytes.
 MASK_BITS, LEAST, MOST = 5, 16, 128
@@ -63,39 +63,49 @@ def boundaries(data: bytes, least: int = LEAST, most: int = MOST, mask_bits: int
     return ends
 
 
+def text_key(text: str) -> Column:
+    """128 bits of a text, which tell rows of one id, or without an id, apart."""
+    return F.unhex(F.md5(text_of(text)))
+
+
+def _row_once(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """doc_id, h and text; one row for those equal in id and text. Only rows that have equals are moved."""
+    rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_key(text).alias("h"), text_of(text).alias("text"))
+    several = small_side(rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").toDF("same_id", "same_h", "rows"))
+    same = F.col("doc_id").eqNullSafe(F.col("same_id")) & (F.col("h") == F.col("same_h"))
+    place = F.row_number().over(Window.partitionBy("doc_id", "h").orderBy("h"))
+    first = rows.join(several, same, "left_semi").withColumn("place", place).where("place = 1").drop("place")
+    return rows.join(several, same, "left_anti").unionByName(first)
+
+
 def chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row for every chunk: doc_id, h (hash of the text, which tells rows of one id apart), place, start, size, and
-    its digest of 96 bits as d1 and d2. Null and empty texts have no chunks."""
+    """One row for every chunk of every different row: doc_id, h (``text_key``), place, start, size, its digest of 96 bits as
+    d1 and d2, and ``again``, whether the text holds it before. Null and empty texts have no chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, place, begin, size, first, second = [], [], [], [], [], []
+            found: list[tuple] = []
             for i, value in enumerate(batch.column("text")):
-                data = value.as_py().encode()
-                start = 0
+                data, start, seen = value.as_py().encode(), 0, set()
                 for n, end in enumerate(boundaries(data)):
                     digest = xxhash.xxh3_128_intdigest(data[start:end])
-                    of.append(i)
-                    place.append(n)
-                    begin.append(start)
-                    size.append(end - start)
-                    first.append((digest >> 64) - (1 << 63))
-                    second.append((digest & 0xFFFFFFFF) - (1 << 31))
+                    found.append((i, n, start, end - start, (digest >> 64) - (1 << 63), (digest & 0xFFFFFFFF) - (1 << 31), digest in seen))
+                    seen.add(digest)
                     start = end
-                if len(of) > 200_000:
-                    yield rows(batch, of, place, begin, size, first, second)
-                    of, place, begin, size, first, second = [], [], [], [], [], []
-            yield rows(batch, of, place, begin, size, first, second)
+                if len(found) > 200_000:
+                    yield rows(batch, found)
+                    found = []
+            yield rows(batch, found)
 
-    def rows(batch, of, place, begin, size, first, second):
-        index = pa.array(of, pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(index), batch.column("h").take(index), pa.array(place, pa.int32()), pa.array(begin, pa.int64()), pa.array(size, pa.int32()), pa.array(first, pa.int64()), pa.array(second, pa.int32())],
-            ["doc_id", "h", "place", "start", "size", "d1", "d2"],
-        )
+    def rows(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*found)) or [()] * 7
+        index = pa.array(columns[0], pa.int64())
+        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_())
+        own = [pa.array(c, k) for c, k in zip(columns[1:], kinds)]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id").take(index), batch.column("h").take(index), *own], ["doc_id", "h", "place", "start", "size", "d1", "d2", "again"])
 
-    source = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.hash(text_of(text)).alias("h"), text_of(text).alias("text"))
-    return source.mapInArrow(run, "doc_id bigint, h int, place int, start bigint, size int, d1 bigint, d2 int")
+    kind = "doc_id bigint, h binary, place int, start bigint, size int, d1 bigint, d2 int, again boolean"
+    return _row_once(docs, text, doc_id).mapInArrow(run, kind)
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", span_bytes: int = SPAN_BYTES) -> DataFrame:
@@ -110,11 +120,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     cut = chunks(docs, text, doc_id)
     id_key = F.coalesce("doc_id", F.lit(-(1 << 63)))
     # A text that repeats a chunk within itself counts once; no task gathers the holders of a chunk.
-    held = cut.select("d1", "d2", "doc_id", "h").distinct()
-    once = held.groupBy("d1", "d2").agg(F.min(id_key).alias("owner"), F.max(id_key).alias("last"), F.count(F.lit(1)).alias("n_docs"))
-    repeats = cut.join(once.where("owner < last").drop("last"), ["d1", "d2"]).drop("d1", "d2").withColumn("own", F.col("owner") == id_key)
+    once = cut.where("NOT again").groupBy("d1", "d2").agg(F.min(id_key).alias("owner"), F.max(id_key).alias("last"), F.count(F.lit(1)).alias("n_docs"))
+    repeats = cut.drop("again").join(once.where("owner < last").drop("last"), ["d1", "d2"]).drop("d1", "d2").withColumn("own", F.col("owner") == id_key)
     row = Window.partitionBy("doc_id", "h").orderBy("place")
-    # Repeated rows give every chunk twice; they count once.
     runs = repeats.withColumns({"run": F.col("place") - F.dense_rank().over(row), "turn": (F.col("own") != F.lag("own").over(row)).cast("int")})
     parts = runs.withColumn("part", F.coalesce(F.sum("turn").over(row), F.lit(0))).groupBy("doc_id", "h", "run", "part").agg(
         F.min("start").alias("span_start"),
@@ -138,11 +146,11 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sp
 
 def _without_spans(docs: DataFrame, spans: DataFrame, text: str, doc_id: str) -> DataFrame:
     spans = spans.where(~F.col("is_first"))
-    k, h, cuts = (own_name(docs, n) for n in ("span_id", "span_hash", "span_cuts"))
+    k, h, cuts, mine = (own_name(docs, n) for n in ("span_id", "span_hash", "span_cuts", "span_hash_own"))
     by_row = spans.groupBy(F.col("doc_id").alias(k), F.col("h").alias(h)).agg(F.sort_array(F.collect_list(F.struct("span_start", "span_end"))).alias(cuts))
     kept = [c for c in docs.columns if c != "dropped_bytes"]
-    keyed = docs.select(*[F.col(f"`{c}`") for c in kept], F.hash(text_of(text)).alias(f"{h}_own"))
-    joined = keyed.join(by_row, keyed[f"`{doc_id}`"].eqNullSafe(by_row[k]) & (keyed[f"{h}_own"] == by_row[h]), "left").select(*[F.col(f"`{c}`") for c in kept], cuts)
+    keyed = docs.select(*[F.col(f"`{c}`") for c in kept], text_key(text).alias(mine))
+    joined = keyed.join(by_row, keyed[f"`{doc_id}`"].eqNullSafe(by_row[k]) & (keyed[mine] == by_row[h]), "left").select(*[F.col(f"`{c}`") for c in kept], cuts)
     schema = StructType([f for f in docs.schema.fields if f.name != "dropped_bytes"]).add("dropped_bytes", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,9 +177,10 @@ def _without_spans(docs: DataFrame, spans: DataFrame, text: str, doc_id: str) ->
 
 def span_report(docs: DataFrame) -> DataFrame:
     """One row for every span of a repeated passage of a document, with the bytes that its document loses in all and a
-    digest of the text that it keeps."""
+    digest of the text that it keeps. Rows equal in id and text give their spans once; rows without an id are one owner;
+    null and empty texts, and an empty table, have no spans."""
     docs = docs.select("doc_id", "text")
     spans = cut_lineage(repeated_spans(docs))
-    cleaned = _without_spans(docs.withColumn("of_hash", F.hash(text_of("text"))), spans, "text", "doc_id")
+    cleaned = _without_spans(docs.withColumn("of_hash", text_key("text")), spans, "text", "doc_id")
     left = cleaned.select(F.col("doc_id").alias("of_id"), "of_hash", "dropped_bytes", F.sha2("text", 256).alias("kept_sha256")).distinct()
     return spans.join(left, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_hash"))).drop("h", "of_id", "of_hash")

@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from tickframe.llm.common import free_finished, text_of
 from tickframe.session import new_path
 
-HEAD_WORDS = 700_000
+HEAD_WORDS = 400_000
 # White space after a space: such texts are matched as a whole.
 SPACED = re.compile(r" \s")
 FLUSH_WORDS = 300_000
-CACHED_PARTS = 500_000
+CACHED_PARTS = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -305,17 +305,19 @@ def _open(head, pattern: str) -> Callable:
     return run
 
 
+_ROW_KEY = ("k", "h", "g")
+
+
 def _known_rows(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
     squeeze = zstandard.ZstdCompressor(level=1).compress
     return pa.RecordBatch.from_arrays(
         [
-            batch.column("k"),
-            batch.column("h"),
+            *(batch.column(c) for c in _ROW_KEY),
             batch.column("doc_id"),
             pa.array([squeeze(ids) for ids, _ in found], pa.binary()),
             pa.array([np.array(places, "<u4").tobytes() for _, places in found], pa.binary()),
         ],
-        ["k", "h", "doc_id", "known", "gaps"],
+        [*_ROW_KEY, "doc_id", "known", "gaps"],
     )
 
 
@@ -323,12 +325,11 @@ def _open_rows(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
     repeat = [i for i, words in enumerate(found) for _ in words]
     return pa.RecordBatch.from_arrays(
         [
-            batch.column("k").take(pa.array(repeat, pa.int64())),
-            batch.column("h").take(pa.array(repeat, pa.int64())),
+            *(batch.column(c).take(pa.array(repeat, pa.int64())) for c in _ROW_KEY),
             pa.array([i for words in found for i in range(len(words))], pa.int32()),
             pa.array([w for words in found for w in words], pa.string()),
         ],
-        ["k", "h", "place", "word"],
+        [*_ROW_KEY, "place", "word"],
     )
 
 
@@ -354,21 +355,22 @@ def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str,
     reaches = F.floor(F.log2("n") * 16) >= head_cut(words, head_words)
     head_table = words.where(reaches).select("word", "ids").toArrow()  # at most head_words rows
     head = spark.sparkContext.broadcast(dict(zip(head_table.column("word").to_pylist(), head_table.column("ids").to_pylist())))
-    # A row is found again by its id and a hash of its text; rows equal in both have equal ids.
+    # A row is found again by its id, whether it has one, and 128 bits of hashes of its text: rows equal in all have equal ids.
     body = text_of(text)
     id_column = F.col(f"`{doc_id}`")
-    keyed = docs.select(F.coalesce(id_column.cast("bigint"), F.lit(-1)).alias("k"), F.hash(body).alias("h"), id_column.alias("doc_id"), body.alias("text"))
+    digest = [F.xxhash64(body).alias("h"), F.xxhash64(id_column.isNull(), body).alias("g")]
+    keyed = docs.select(F.coalesce(id_column.cast("bigint"), F.lit(0)).alias("k"), *digest, id_column.alias("doc_id"), body.alias("text"))
     id_name = dict(keyed.dtypes)["doc_id"]
-    known = keyed.mapInArrow(_known(head, pattern), f"k bigint, h int, doc_id {id_name}, known binary, gaps binary")
-    rest = keyed.mapInArrow(_open(head, pattern), "k bigint, h int, place int, word string")
+    known = keyed.mapInArrow(_known(head, pattern), f"k bigint, h bigint, g bigint, doc_id {id_name}, known binary, gaps binary")
+    rest = keyed.mapInArrow(_open(head, pattern), "k bigint, h bigint, g bigint, place int, word string")
     tail = words.where(~reaches).select("word", "ids")
     filled = (
         rest.join(tail, "word")
-        .groupBy("k", "h")
+        .groupBy("k", "h", "g")
         .agg(F.sort_array(F.collect_set(F.struct("place", "ids"))).alias("fill"))
-        .select("k", "h", F.col("fill.ids").alias("fill"))
+        .select("k", "h", "g", F.col("fill.ids").alias("fill"))
     )
-    return known.join(filled, ["k", "h"], "left").select("doc_id", "known", "gaps", "fill")
+    return known.join(filled, ["k", "h", "g"], "left").select("doc_id", "known", "gaps", "fill")
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", doc_id: str = "doc_id", head_words: int = HEAD_WORDS) -> DataFrame:

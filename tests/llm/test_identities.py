@@ -74,7 +74,8 @@ def test_a_run_of_the_pipeline_leaves_its_result_only(spark, tmp_path):
     from tickframe.session import shared_dir
 
     def tables():
-        return {n for n in os.listdir(f"{shared_dir(spark)}/tickframe") if n.rsplit("-", 1)[0] in {k.replace(" ", "-") for k, _ in corpus_pipeline.STAGES}}
+        folder = f"{shared_dir(spark)}/tickframe"
+        return {n for n in (os.listdir(folder) if os.path.isdir(folder) else ()) if n.rsplit("-", 1)[0] in {k.replace(" ", "-") for k, _ in corpus_pipeline.STAGES}}
 
     before = tables()
     os.makedirs(tmp_path / "in")

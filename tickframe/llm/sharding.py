@@ -72,7 +72,8 @@ def balance(items: DataFrame, shards: int) -> DataFrame:
             table = pd.concat(frames).sort_values("item", kind="stable").reset_index(drop=True)
             yield pd.DataFrame({"item": table["item"], "shard": difference_items(table["size"].tolist(), shards)})
 
-    return items.coalesce(1).mapInPandas(run, "item string, shard int")
+    # One task for the bounded number of items alone; their sums are made in many.
+    return items.repartition(1).mapInPandas(run, "item string, shard int")
 
 
 def group_of(text: Column) -> Column:
@@ -96,16 +97,16 @@ def assign_shards(docs: DataFrame, shards: int = 24, overhead: int = 8, text: st
     items = groups.select(F.when(large, F.col("group")).otherwise(bag).alias("item"), "size").groupBy("item").agg(F.sum("size").cast("bigint").alias("size"))
     # At most two rows for every bag, so sending the table to all executors has a proven bound.
     placed = cut_lineage(balance(items, shards))
-    own = F.broadcast(placed.where(~F.col("item").startswith("bag ")).toDF("own_item", "own_shard"))
-    shared = F.broadcast(placed.where(F.col("item").startswith("bag ")).toDF("bag_item", "bag_shard"))
+    own = F.broadcast(placed.where(~F.col("item").startswith("bag ")).toDF(*(own_name(docs, c) for c in ("own_item", "own_shard"))))
+    shared = F.broadcast(placed.where(F.col("item").startswith("bag ")).toDF(*(own_name(docs, c) for c in ("bag_item", "bag_shard"))))
     key = own_name(docs, "group")
     kept = [c for c in docs.columns if c not in ("shard", "shard_size")]
     keyed = docs.select(*[F.col(f"`{c}`") for c in kept], group_of(body).alias(key), size.alias("shard_size"))
     bag_key = F.concat(F.lit("bag "), F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") % bags)
     return (
-        keyed.join(own, keyed[key] == own["own_item"], "left")
-        .join(shared, bag_key == shared["bag_item"], "left")
-        .select(*[F.col(f"`{c}`") for c in kept], F.coalesce("own_shard", "bag_shard").alias("shard"), "shard_size")
+        keyed.join(own, keyed[key] == own[own.columns[0]], "left")
+        .join(shared, bag_key == shared[shared.columns[0]], "left")
+        .select(*[F.col(f"`{c}`") for c in kept], F.coalesce(own.columns[1], shared.columns[1]).alias("shard"), "shard_size")
     )
 
 

@@ -133,7 +133,9 @@ def mix_sources(
 
 
 def repeat_taken(mixed: DataFrame) -> DataFrame:
-    """The documents as the mix takes them: left out at zero copies, repeated at two or three."""
-    columns = [F.col(f"`{c}`") for c in mixed.columns if not c.startswith("mix_")]
+    """The documents as the mix takes them, without the four columns of ``mix_sources``: left out at zero copies or none
+    known, repeated at two or three. An empty table gives an empty one."""
+    columns = [F.col(f"`{c}`") for c in mixed.columns if c not in ("mix_size", "mix_source_size", "mix_target", "mix_copies")]
     taken = mixed.where(F.col("mix_copies") > 0)
-    return taken.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("mix_copies"))).alias("mix_copy")).drop("mix_copy")
+    copy = own_name(mixed, "mix_copy")
+    return taken.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("mix_copies"))).alias(copy)).drop(copy)

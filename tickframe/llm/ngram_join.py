@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import ascii_lower, free_finished, let, text_of, words_of
+from tickframe.llm.common import WORD, ascii_lower, free_finished, let, own_name, text_of, words_of
 from tickframe.llm.graph import components
 from tickframe.session import cut_lineage, small_side
 
@@ -108,18 +108,23 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     smallest id that links reach. Documents without words have no shingles and stay alone, as do rows without an id that
     link to none (their component is null). Rows of one id are one node. An empty table gives an empty result.
     """
+    stored, by_class = _resolved(docs, text, doc_id)
+    narrow = stored.select("doc_id", "d1", "d2", F.col("n").cast("bigint").alias("n_shingles"))
+    # Documents without words share a digest but no class.
+    return narrow.join(by_class.drop("label"), ["d1", "d2"], "left").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    )
+
+
+def _resolved(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """The stored rows, and for each class (d1, d2) the label and the smallest id of its component, null where all lack one."""
     stored = cut_lineage(_stored(docs, text, doc_id))
     classes = _classes(stored)
     linked = _linked(classes, docs, text, doc_id)
     free_finished(docs.sparkSession)
     named = classes.select("d1", "d2", "cid", "smallest").join(linked, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     names = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
-    by_class = named.join(names, "label").select("d1", "d2", "component_id")
-    narrow = stored.select("doc_id", "d1", "d2", F.col("n").cast("bigint").alias("n_shingles"))
-    # Documents without words share a digest but no class.
-    return narrow.join(by_class, ["d1", "d2"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    return stored, named.join(names, "label").select("d1", "d2", "label", "component_id")
 
 
 def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -333,7 +338,35 @@ def _verified(close: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
 
 
 def keep_representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One document of each component: the one whose id names it. Rows without an id are kept unless linked to others."""
-    found = similar_classes(docs, text, doc_id)
-    gone = found.where(F.col("doc_id").isNotNull() & (F.col("component_id") != F.col("doc_id"))).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(small_side(gone, NARROW_ROWS), F.col(f"`{doc_id}`").cast("bigint") == F.col("gone_id"), "left_anti")
+    """One row of each component: of the rows of the id that names it, and, where all rows lack an id, of these.
+
+    Of several such rows one stays: the one whose text has the smallest hash, and any one of equal rows. Rows without
+    words are in no component and stay. All columns of ``docs`` come back; an empty table gives an empty one.
+    """
+    stored, by_class = _resolved(docs, text, doc_id)
+    by_class = cut_lineage(by_class)
+    id_column, body = F.col(f"`{doc_id}`").cast("bigint"), text_of(text)
+    own = {n: own_name(docs, n) for n in ("gone_id", "several_id", "row_hash", "row_place", "class_1", "class_2", "class_label", "class_id")}
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+
+    def first_of(rows: DataFrame, key: str) -> DataFrame:
+        window = Window.partitionBy(key).orderBy(own["row_hash"])
+        hashed = rows.withColumn(own["row_hash"], F.xxhash64(body))
+        return hashed.withColumn(own["row_place"], F.row_number().over(window)).where(F.col(own["row_place"]) == 1).select(*kept)
+
+    wordless = ~body.rlike(WORD)
+    rows = stored.where("n > 0 AND doc_id IS NOT NULL").join(by_class, ["d1", "d2"])
+    gone = rows.where("component_id <> doc_id").select(F.col("doc_id").alias(own["gone_id"])).distinct()
+    several = rows.where("component_id = doc_id").groupBy(F.col("doc_id").alias(own["several_id"])).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
+    several = small_side(several, NARROW_ROWS)
+    worded = docs.where(id_column.isNotNull() & ~wordless)
+    left = worded.join(small_side(gone, NARROW_ROWS), id_column == F.col(own["gone_id"]), "left_anti")
+    alone = left.join(several, id_column == F.col(own["several_id"]), "left_anti")
+    repeated = first_of(left.join(several, id_column == F.col(own["several_id"])), own["several_id"])
+
+    # Rows without an id are found by their words.
+    joined = F.array_join(words_of(ascii_lower(body)), " ")
+    nameless = docs.where(id_column.isNull() & ~wordless).withColumns({own["class_1"]: F.xxhash64(joined), own["class_2"]: F.hash(joined)})
+    own_class = by_class.where("component_id IS NULL").toDF(own["class_1"], own["class_2"], own["class_label"], own["class_id"])
+    unnamed = first_of(nameless.join(own_class, [own["class_1"], own["class_2"]]), own["class_label"])
+    return alone.union(repeated).union(unnamed).union(docs.where(wordless))

@@ -94,6 +94,12 @@ def test_late_minutes_append_and_repair(spark):
     assert values(fixed, *OUT) == values(full, *OUT)
 
 
+def test_pieces_of_symbols_give_the_same_figures(spark):
+    minutes = minute_rows(time_parts(ticks_of(spark, walk())))
+    whole, cut = (with_trailing(minutes, rows=20, exact=EXACT, **sizes) for sizes in ({}, {"chunk_rows": 30}))
+    assert values(cut, *OUT) == values(whole, *OUT)
+
+
 def test_nothing_new(spark):
     parts = time_parts(ticks_of(spark, walk(20)))
     history = minute_rows(parts)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.operators.dedup import last_rows, latest_per_minute
-from tickframe.operators.rolling import EXACT, trailing_range_blocks, trailing_rows
+from tickframe.operators.rolling import EXACT, trailing_range_blocks, trailing_rows, trailing_rows_plain
 from tickframe.operators.tails import newest_times, tail_rows, tails_of, unserved
 from tickframe.schemas import METRIC_COPIES, MINUTE_KEY
 from tickframe.session import cut_lineage, small_side
@@ -152,10 +152,16 @@ def with_trailing(
     exact: str | None = None,
     **sizes,
 ) -> DataFrame:
-    """Trailing average and count over 168 rows, or with ``frame="range"`` over the seven days the name speaks of."""
+    """Trailing average and count over 168 rows, or with ``frame="range"`` over the seven days the name speaks of.
+
+    There is one row per symbol and minute, so the calendar bounds a symbol (half a million rows a year) and one shuffle
+    by symbol does; ``chunk_rows`` cuts symbols into pieces all the same.
+    """
     if frame == "range":
         return trailing_range_blocks(df, price, days * 86400, _AVERAGE, _COUNT, at=order[0], exact=exact or EXACT)
-    return trailing_rows(df, price, rows, _AVERAGE, _COUNT, order=order, exact=exact, **sizes)
+    if sizes:
+        return trailing_rows(df, price, rows, _AVERAGE, _COUNT, order=order, exact=exact, **sizes)
+    return trailing_rows_plain(df, price, rows, _AVERAGE, _COUNT, order=order, exact=exact)
 
 
 def one_per_time(history: DataFrame, price: str, order: Sequence[str], date: str = "trade_date") -> DataFrame:

@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import WHITE, let, own_name, text_of, word_alternatives, words_of
+from tickframe.llm.common import WHITE, let, own_name, text_of, words_of
 from tickframe.session import cut_lineage
 
 SYMBOLS = "#*$%&|<>"
@@ -62,14 +62,21 @@ def _class_counts(text: Column) -> Column:
 
 
 def _common_counts(text: Column, n_words: Column, words: list[str]) -> Column:
-    found = F.regexp_extract_all(F.lower(text), F.lit(rf"(?<!\p{{L}})(?:{word_alternatives(words)})(?!\p{{L}})"), F.lit(0))
-    joined = F.concat(F.lit(" "), F.array_join(found, "  "), F.lit(" "))
-    counts = let(
-        joined,
-        lambda j: F.transform(
-            F.array(*[F.lit(f" {w} ") for w in words]), lambda w: ((F.length(j) - F.length(F.replace(j, w, F.lit("")))) / F.length(w)).cast("int")
-        ),
-    )
+    """Occurrences of each of ``words`` as a whole run of letters, and the number of all other words.
+
+    Only words that a text has are counted in it, each by what is left of the found ones without it.
+    """
+    runs = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}++"), F.lit(0))
+    found = F.filter(runs, lambda run: run.isin(words))
+
+    def histogram(x):
+        own = F.transform(x["own"], lambda w: F.size(x["found"]) - F.size(F.array_remove(x["found"], w)))
+        return let(
+            own,
+            lambda n: F.transform(F.array(*[F.lit(w) for w in words]), lambda w: F.coalesce(F.get(n, F.array_position(x["own"], w).cast("int") - 1), F.lit(0))),
+        )
+
+    counts = let(found, lambda f: let(F.struct(f.alias("found"), F.array_distinct(f).alias("own")), histogram))
     return let(counts, lambda c: F.concat(c, F.array(F.greatest(F.lit(0), n_words - F.aggregate(c, F.lit(0), lambda a, x: a + x)))))
 
 
@@ -87,16 +94,13 @@ def jensen_shannon(counts: Column, reference: Column) -> Column:
 def _repeat_words(words: Column) -> Column:
     """Words in windows of three that occur twice or more in the text.
 
-    Windows are sorted by a hash of 64 bits with their place; equal neighbours are repeated ones, and their places in
-    order give the number of words covered.
+    Windows are known by a hash of 64 bits. Where some are equal, they are sorted with their place; equal neighbours are
+    repeated ones, and their places in order give the number of words covered.
     """
     windows = F.when(
         F.size(words) >= 3,
-        F.transform(
-            F.sequence(F.lit(0), F.size(words) - 3),
-            lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")),
-        ),
-    ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
+        F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))),
+    ).otherwise(F.array().cast("array<bigint>"))
 
     def repeated(s):
         same = lambda x, k: F.coalesce(F.get(s, k)["h"] == x["h"], F.lit(False))
@@ -106,7 +110,12 @@ def _repeat_words(words: Column) -> Column:
         return F.struct(i.alias("last"), (state["n"] + F.least(F.lit(3), i - state["last"])).cast("bigint").alias("n"))
 
     start = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("bigint").alias("n"))
-    return F.aggregate(F.sort_array(let(F.sort_array(windows), repeated)), start, cover)["n"]
+
+    def covered(hashes):
+        placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        return F.aggregate(F.sort_array(let(F.sort_array(placed), repeated)), start, cover)["n"]
+
+    return let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("bigint")).otherwise(covered(h)))
 
 
 def common_words() -> list[str]:

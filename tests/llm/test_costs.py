@@ -3,12 +3,13 @@
 import os
 import sys
 
+import numpy as np
 import regex
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from tickframe.llm import quality  # noqa: E402
+from tickframe.llm import ngram_join, quality  # noqa: E402
 
 ODD = [
     None,
@@ -44,3 +45,21 @@ def test_common_words_are_not_searched_one_by_one(spark):
     plan = frame.select(quality._common_counts(F.col("text"), F.lit(0), words))._jdf.queryExecution().optimizedPlan().toString()
     assert "replace(" not in plan and "array_remove" in plan
     assert "array_distinct" in frame.select(quality._repeat_words(F.split("text", " ")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_near_misses_do_not_become_rows_of_the_join(spark):
+    """Sets that share most of their shingles and still too few: their sketches differ by more than links may."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 62, 300)
+    sets = [np.concatenate([base[:265], rng.integers(0, 1 << 62, 35)]) for _ in range(40)]  # 265 of 335, 0.79
+    sets += [np.concatenate([base[:260], rng.integers(0, 1 << 62, 40)]) for _ in range(40)]  # 0.76 or less
+    sets += [np.concatenate([base[:290], rng.integers(0, 1 << 62, 10)]) for _ in range(5)]  # 0.93
+    flat = np.concatenate(sets).astype("<i8")
+    bits = ngram_join._sketches(flat, np.array([len(s) for s in sets], np.int32)).to_pylist()
+    frame = spark.createDataFrame([(i, 300, b) for i, b in enumerate(bits)], "cid long, n int, bits array<bigint>")
+    x, y = (frame.select(*[F.col(c).alias(f"{s}_{c}") for c in frame.columns]) for s in "xy")
+    met = {(r.x_cid, r.y_cid) for r in x.join(y, F.col("x_cid") < F.col("y_cid")).where(ngram_join._fits("x_", "y_")).select("x_cid", "y_cid").collect()}
+    assert {(i, j) for i in range(80, 85) for j in range(i + 1, 85)} <= met  # a link is never lost
+    assert sum(i >= 40 and j < 80 for i, j in met) <= 0.1 * 40 * 39 / 2
+    folded = frame.select(ngram_join._folded("bits").alias("bits")).collect()
+    assert [list(r.bits) for r in folded] == [np.bitwise_xor.reduce(np.array(b).reshape(-1, ngram_join.FIRST_WORDS)).tolist() for b in bits]

@@ -7,11 +7,12 @@ of its shingles in the other, so the first fifth and one more of each, the prefi
 each prefix the ``l`` shared shingles lie; shared ones beyond that do not count. The more candidates a class's prefix brings, by the frequencies of its shingles, the
 longer its prefix is made, and the more shared shingles a pair needs before it is verified.
 
-Candidates are not all pairs of a list. In each list a few pivots, the classes with the most widely shared shingles, meet
-the rest; verified links merge classes, and only classes of different components meet in the next round, so a large
-group of near copies costs as many pairs as it has members. Rounds end when few pairs are open or the last one settled
-less than half of them; what is open then is compared pair by pair. Every class carries a small parity sketch of its
-set, and a meeting becomes a row only if the sketches leave room for the similarity.
+Candidates are not all pairs of a list. In each list a few pivots, at first the classes with the most widely shared
+shingles, then any, meet the rest; verified links merge classes, and only classes of different components meet in the
+next round, so a large group of near copies costs as many pairs as it has members. After two rounds, they end when few
+pairs are open or the last one settled less than half of them; what is open then is compared pair by pair. Every class
+carries a parity sketch of its set, folded to a small one for the first round, and a meeting becomes a row only if the
+sketches leave room for the similarity.
 """
 
 from __future__ import annotations
@@ -35,7 +36,9 @@ LONGEST = 12
 # Open pairs for each row of the lists that may be left to the comparison of sketches.
 PAIRS_PER_ROW = 32
 PIVOTS = 4
-SKETCH_WORDS = 4  # of 64 bits
+LATER_PIVOTS = 16
+SKETCH_WORDS = 16  # of 64 bits
+FIRST_WORDS = 4  # the sketches of the first round, in which all lists take part, folded to these
 NARROW_ROWS = 1_000_000  # two numbers a row
 
 
@@ -84,9 +87,13 @@ def _stored(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def _sketches(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     """For each set its parities: how often, even or odd, the low bits of its shingles name each of the sketch's bits."""
-    width = 64 * SKETCH_WORDS
-    marks = np.bincount(np.repeat(np.arange(len(sizes)), sizes) * width + (values & (width - 1)), minlength=len(sizes) * width)
-    words = np.packbits((marks & 1).astype(np.uint8), bitorder="little").view("<i8")
+    width, ends, made = 64 * SKETCH_WORDS, np.concatenate([[0], np.cumsum(sizes)]), [np.zeros(0, "<i8")]
+    for start in range(0, len(sizes), 1000):
+        some = sizes[start : start + 1000]
+        own = values[ends[start] : ends[start + len(some)]]
+        marks = np.bincount(np.repeat(np.arange(len(some)), some) * width + (own & (width - 1)), minlength=len(some) * width)
+        made.append(np.packbits((marks & 1).astype(np.uint8), bitorder="little").view("<i8"))
+    words = np.concatenate(made)
     return pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, SKETCH_WORDS), pa.int32()), pa.array(words, pa.int64()))
 
 
@@ -131,12 +138,15 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
     """``cid`` and ``label`` of all classes that have a link."""
     prefixes = _prefixes(classes, docs, text, doc_id)
     free_finished(docs.sparkSession)
-    lists = prefixes.select("cid", "n", "l", "central", "bits", F.inline("prefix")).withColumn("label", F.col("cid"))
+    lists = prefixes.select("cid", "n", "l", "central", _folded("bits").alias("bits"), F.inline("prefix")).withColumn("label", F.col("cid"))
     rows = lists.count()
-    member = F.struct("central", "cid", "label", "n", "l", "rank", "bits")
-    first_of = [F.max(F.when(F.pmod(F.hash("cid"), F.lit(PIVOTS)) == i, member)) for i in range(PIVOTS)]
-    links, labels, before = None, None, None
+    links, labels, before, number = None, None, None, 0
     while True:
+        # After the most central classes, pivots are any of a list, the same in lists of the same classes.
+        order = F.xxhash64("cid", F.lit(number)).alias("order") if number else F.col("central").alias("order")
+        member, n_pivots = F.struct(order, "cid", "label", "n", "l", "rank", "bits"), LATER_PIVOTS if number else PIVOTS
+        first_of = [F.max(F.when(F.pmod(F.hash("cid"), F.lit(n_pivots)) == i, member)) for i in range(n_pivots)]
+        words = SKETCH_WORDS if number else FIRST_WORDS
         # Lists of one component are settled and left out.
         pivots = cut_lineage(
             lists.groupBy("token").agg(
@@ -147,7 +157,7 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
             break
         free_finished(docs.sparkSession)
         last = False
-        if labels is not None:
+        if number > 1:
             of_label = lists.join(pivots.select("token"), "token", "left_semi").groupBy("token", "label").agg(F.count(F.lit(1)).cast("double").alias("c"))
             per_list = of_label.groupBy("token").agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"))
             pairs = per_list.agg(F.sum("pairs")).first()[0]
@@ -157,11 +167,11 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
             # Two classes that are still apart and never met a pivot hold all their shared prefix shingles here.
             open_lists = lists.join(pivots.select("token"), "token", "left_semi")
             x, y = (open_lists.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "l", "rank", "label", "bits")]) for s in "xy")
-            met = x.join(y, "token").where((F.col("x_cid") < F.col("y_cid")) & (F.col("x_label") != F.col("y_label")) & _fits("x_", "y_") & _counts("x_", "y_"))
+            met = x.join(y, "token").where((F.col("x_cid") < F.col("y_cid")) & (F.col("x_label") != F.col("y_label")) & _fits("x_", "y_", words) & _counts("x_", "y_"))
             shared = met.groupBy(F.col("x_cid").alias("x"), F.col("y_cid").alias("y")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x_l", "y_l")).alias("need"))
             close = cut_lineage(shared.where("shared >= need").select("x", "y"))
         else:
-            met = lists.join(pivots, "token").withColumn("pivot", F.explode("pivots")).where((F.col("label") != F.col("pivot.label")) & _fits("", "pivot.") & _counts("", "pivot."))
+            met = lists.join(pivots, "token").withColumn("pivot", F.explode("pivots")).where((F.col("label") != F.col("pivot.label")) & _fits("", "pivot.", words) & _counts("", "pivot."))
             near = met.select(F.least("cid", "pivot.cid").alias("x"), F.greatest("cid", "pivot.cid").alias("y")).distinct()
             close = _enough_shared(cut_lineage(near), prefixes)
         free_finished(docs.sparkSession)
@@ -174,6 +184,9 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
         # Pivots have met all others of their list, which goes on without them as long as two are left.
         longer = pivots.where("df > size(pivots) + 1").select("token", F.col("pivots.cid").alias("met"))
         left = lists.join(longer, "token").where(~F.array_contains("met", F.col("cid"))).drop("met")
+        if not number:
+            left = left.drop("bits").join(prefixes.select("cid", "bits"), "cid")
+        number += 1
         lists = cut_lineage(
             left.join(small_side(labels, NARROW_ROWS), "cid", "left").withColumn("label", F.coalesce("new_label", "cid")).select("cid", "n", "l", "central", "bits", "token", "rank", "label")
         )
@@ -247,10 +260,22 @@ def _full_sets(wanted: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Da
     return cut_lineage(picked.select("cid", shingle_hashes(words_of(ascii_lower(F.col("body")))).alias("tokens"))).withColumn("n", F.size("tokens"))
 
 
-def _fits(x: str, y: str) -> Column:
+def _folded(bits: str) -> Column:
+    """Sketches as if they had been made with ``FIRST_WORDS`` words: parities of the same low bits add up."""
+
+    def word(i: int) -> Column:
+        out = F.get(bits, F.lit(i))
+        for k in range(i + FIRST_WORDS, SKETCH_WORDS, FIRST_WORDS):
+            out = out.bitwiseXOR(F.get(bits, F.lit(k)))
+        return out
+
+    return F.array(*[word(i) for i in range(FIRST_WORDS)])
+
+
+def _fits(x: str, y: str, words: int = SKETCH_WORDS) -> Column:
     """Sizes and sketches that leave room for the similarity: every shingle of one set alone changes one parity at most."""
     sizes = F.least(f"{x}n", f"{y}n") * 100 >= F.greatest(f"{x}n", f"{y}n") * PERCENT
-    differing = sum((F.bit_count(F.get(f"{x}bits", i).bitwiseXOR(F.get(f"{y}bits", i))) for i in range(SKETCH_WORDS)), F.lit(0))
+    differing = sum((F.bit_count(F.get(f"{x}bits", i).bitwiseXOR(F.get(f"{y}bits", i))) for i in range(words)), F.lit(0))
     return sizes & (differing * (100 + PERCENT) <= (F.col(f"{x}n") + F.col(f"{y}n")) * (100 - PERCENT))
 
 

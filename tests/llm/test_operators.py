@@ -123,6 +123,36 @@ def test_bpe_merges():
         assert bpe.merge_word(word, ranks) == bpe.merge_long_word(word, ranks) == brute.tiktoken_encoding().encode_ordinary(word.decode())
 
 
+def test_texts_are_cut_once_and_moved_once(spark):
+    """Both sides of the last join read one exchange; before, texts were cut for the known ids and again for the other words."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    known = brute.tiktoken_encoding()
+    texts = [None, "", " ", "\0 \0", "thequick the, ñandú Ωmega x y", "one\n two  three", "zq" * 5000, " ".join(f"w{i}q the" for i in range(5000)), "the " * 300]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[4]), (3, texts[4]), (None, texts[4]), (None, "the 'other' one"), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    for head in (0, 300, bpe.HEAD_WORDS, 9):
+        report = bpe.bpe_report(frame, ranks, public_tokenizers.PATTERN, head)
+        wanted = []
+        for i, t in rows:
+            ids = known.encode_ordinary(t or "")
+            wanted.append((str(i), len(ids), brute.sha(",".join(map(str, ids))), brute.sha(t or "")))
+        assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in report.collect()) == sorted(wanted)
+    report.write.format("noop").mode("overwrite").save()
+    rows_of = report._jdf.queryExecution()
+    rows_of.executedPlan().execute().count()
+    assert "ReusedExchange" in rows_of.executedPlan().toString()
+
+
+def test_codes():
+    numbers = [1, 127, 128, 300, 16383, 16384, 70000]
+    codes = bpe.word_codes(70000)
+    found, ends = bpe.read_codes(b"\0".join(codes[n - 1] for n in numbers))
+    assert found[::2].tolist() == numbers and not found[1::2].any() and len(ends) == 13
+    packed = b"".join(bpe._short(x) + bpe._short(len(y)) + y for x, y in ((0, b"ab"), (129, b""), (4096, b"c" * 5000)))
+    assert bpe._unpacked([packed]) == {0: b"ab", 129: b"", 4096: b"c" * 5000}
+    assert bpe._unpacked([]) == {}
+
+
 def test_quality(docs, texts):
     for r in quality.quality_report(docs).collect():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.quality_base(texts[r.doc_id])

@@ -4,14 +4,17 @@ A text is cut into pre-tokens by a pattern. The distinct pre-tokens ("words") of
 aggregation, and each is encoded once. The ids come back in two ways with the same result: the most frequent words, at
 most ``head_words`` of them whatever the input, are sent to every task; occurrences of all other words are exploded with
 their place, joined with the word table by shuffle, and put back into their documents by place. Frequent words, which
-would be hot join keys, thus never meet in one task. Decoding looks ids up in the token-byte table.
+would be hot join keys, thus never meet in one task. A text is cut once for both: what moves is a row of numbers, the
+places of its frequent words in their order, and the other words beside it. Decoding looks ids up in the token-byte table.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import re
+import struct
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -19,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 import zstandard
@@ -26,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import free_finished, text_of
-from tickframe.session import new_path
+from tickframe.session import new_path, shuffles_removed
 
 HEAD_WORDS = 400_000
 # White space after a space: such texts are matched as a whole.
 SPACED = re.compile(r" \s")
 FLUSH_WORDS = 300_000
-CACHED_PARTS = 300_000
+CACHED_PARTS = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -136,6 +140,11 @@ def encode_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return merge_word(word, ranks) if len(word) <= 64 else merge_long_word(word, ranks)
 
 
+def plain(part: str) -> bool:
+    """Letters of the Latin blocks alone: with the space before them, one pre-token."""
+    return part.isalpha() and (part.isascii() or max(part) < "\u0250")
+
+
 def split_part(part: str, find: Callable) -> list[str] | None:
     """Pre-tokens of a part of a text between spaces, with the space before it; None where a pre-token may span it.
 
@@ -144,9 +153,11 @@ def split_part(part: str, find: Callable) -> list[str] | None:
     """
     if not part or part[0].isspace():
         return None
+    if plain(part):
+        return [" " + part]
     letters = part.rstrip(".,;:!?")
-    if letters.isalpha() and max(letters) < "\u0250":
-        return [" " + part] if letters == part else [" " + letters, part[len(letters) :]]
+    if letters != part and plain(letters):
+        return [" " + letters, part[len(letters) :]]
     return find(" " + part)
 
 
@@ -209,9 +220,10 @@ def word_table(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.binary())], ["word", "n", "ids"])
 
     path = new_path(spark, "words")
-    distinct = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    distinct.mapInArrow(encode, "word string, n bigint, ids binary").write.option("compression", "zstd").parquet(path)
-    del counted, distinct
+    # In order, neighbours share their first letters and take less room, here and in later shuffles.
+    distinct = counted.groupBy("word").agg(F.sum("n").alias("n")).sortWithinPartitions("word")
+    with shuffles_removed(spark):
+        distinct.mapInArrow(encode, "word string, n bigint, ids binary").write.option("compression", "zstd").parquet(path)
     free_finished(spark)
     return spark.read.parquet(path)
 
@@ -233,144 +245,222 @@ def head_cut(words: DataFrame, limit: int) -> int:
     return cut if cut is not None else 1 << 20
 
 
+def word_codes(n: int) -> list[bytes]:
+    """Codes of the numbers 1 to ``n``: seven bits a byte, the lowest last, all bytes but the last marked. 0 is a gap."""
+    codes = []
+    for number in range(1, n + 1):
+        code = bytes([number & 127])
+        while number := number >> 7:
+            code = bytes([number & 127 | 128]) + code
+        codes.append(code)
+    return codes
+
+
+def read_codes(coded: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a row of codes, and where the last byte of each stands."""
+    marks = np.frombuffer(coded, np.uint8)
+    ends = np.flatnonzero(marks < 128)
+    lengths = np.diff(ends, prepend=-1)
+    numbers = marks[ends].astype(np.int64)
+    for k in range(1, int(lengths.max(initial=0))):
+        longer = lengths > k
+        numbers[longer] |= (marks[ends[longer] - k].astype(np.int64) & 127) << (7 * k)
+    return numbers, ends
+
+
+def split_head(head: dict[str, bytes]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """The codes of plain words, by what follows their space, and of all others."""
+    spaced = {w[1:]: code for w, code in head.items() if w[0] == " " and plain(w[1:])}
+    return spaced, {w: code for w, code in head.items() if not (w[0] == " " and w[1:] in spaced)}
+
+
 class Lookup:
-    """Pieces of texts: bytes of ids where words are in the head, and the words themselves where they are not."""
-
-    def __init__(self, head: dict[str, bytes], pattern: str):
-        self.head, self.find = head, regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
-        self.mixed: dict[str, list | None] = {}
-
-    def _words(self, words: list[str]) -> list:
-        return [self.head.get(w, w) for w in words]
-
-    def _learn(self, part: str) -> bytes | list | None:
-        words = split_part(part, self.find)
-        pieces = words and self._words(words)
-        if pieces and all(isinstance(p, bytes) for p in pieces):
-            pieces = self.known[part] = b"".join(pieces)
-        else:
-            self.mixed[part] = pieces
-        return pieces
-
-    def pieces(self, text: str) -> list:
-        """Bytes, and lists of bytes and words, in order."""
-        if len(self.known) + len(self.mixed) > CACHED_PARTS:
+    """Codes of the words of a text; where a word is not in the head, a gap, with the word beside it."""
+
+    def __init__(self, head: tuple[dict[str, bytes], dict[str, bytes]], pattern: str):
+        self.spaced, self.other = head
+        self.find = regex.compile(pattern).findall
+        self.known: dict[str, tuple[bytes, list[str]] | None] = {}
+
+    def _words(self, words: list[str]) -> tuple[bytes, list[str]]:
+        codes = [self.other.get(w) or w[0] == " " and self.spaced.get(w[1:]) or b"\0" for w in words]
+        return b"".join(codes), [w for w, code in zip(words, codes) if code == b"\0"]
+
+    def _part(self, part: str) -> tuple[bytes, list[str]] | None:
+        if plain(part):
+            return b"\0", [" " + part]
+        if part not in self.known:
+            words = split_part(part, self.find)
+            self.known[part] = words and self._words(words)
+        return self.known[part]
+
+    def codes(self, text: str) -> tuple[bytes, list[str]]:
+        """The codes in order, and the words for their gaps."""
+        if len(self.known) > CACHED_PARTS:
             self.known.clear()
-            self.mixed.clear()
         first, *rest = text.split(" ")
-        parts = list(map(self.known.get, rest))
+        parts = list(map(self.spaced.get, rest))
+        start, gaps = self._words(self.find(first))
         if None in parts:
-            mixed = self.mixed
-            for i, ids in enumerate(parts):
-                if ids is None:
-                    part = rest[i]
-                    ids = mixed[part] if part in mixed else self._learn(part)
-                    if ids is None:
-                        return [self._words(self.find(text))]
-                    parts[i] = ids
-        return [self._words(self.find(first)), *parts]
-
-
-def _known(head, pattern: str) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(head.value, pattern)
-        for batch in batches:
-            found = []
-            for text in _texts(batch, "text"):
-                ids, places, length = [], [], 0
-                for piece in lookup.pieces(text):
-                    if type(piece) is bytes:
-                        ids.append(piece)
-                        length += len(piece)
-                    else:
-                        for one in piece:
-                            if type(one) is bytes:
-                                ids.append(one)
-                                length += len(one)
-                            else:
-                                places.append(length)
-                found.append((b"".join(ids), places))
-            yield _known_rows(batch, found)
+            for i, code in enumerate(parts):
+                if code is None:
+                    found = self._part(rest[i])
+                    if found is None:
+                        return self._words(self.find(text))
+                    parts[i] = found[0]
+                    gaps += found[1]
+        return start + b"".join(parts), gaps
 
-    return run
 
+_ROW_KEY = ("k", "h")
 
-def _open(head, pattern: str) -> Callable:
+
+def _cut(head, pattern: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(head.value, pattern)
+        lookup, squeeze = Lookup(head.value, pattern), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            yield _open_rows(batch, [[w for p in lookup.pieces(t) if type(p) is list for w in p if type(w) is str] for t in _texts(batch, "text")])
+            known, rest = [], []
+            for codes, gaps in map(lookup.codes, _texts(batch, "text")):
+                known.append(squeeze(codes))
+                # Apart from the codes, so that letters are not packed as numbers are.
+                rest.append(squeeze(json.dumps(gaps, ensure_ascii=False, separators=(",", ":")).encode()) if gaps else b"")
+            columns = [*(batch.column(c) for c in (*_ROW_KEY, "doc_id")), pa.array(known, pa.binary()), pa.array(rest, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [*_ROW_KEY, "doc_id", "known", "rest"])
 
     return run
 
 
-_ROW_KEY = ("k", "h", "g")
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words outside the head with their places among those of their row."""
+    expand = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        found = [json.loads(expand(words)) if words else () for words in batch.column("rest").to_pylist()]
+        repeat = pa.array([i for i, words in enumerate(found) for _ in words], pa.int64())
+        places = pa.array([i for words in found for i in range(len(words))], pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c).take(repeat) for c in _ROW_KEY), places, pa.array([w for words in found for w in words], pa.string())], [*_ROW_KEY, "place", "word"]
+        )
 
 
-def _known_rows(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
-    squeeze = zstandard.ZstdCompressor(level=1).compress
-    return pa.RecordBatch.from_arrays(
-        [
-            *(batch.column(c) for c in _ROW_KEY),
-            batch.column("doc_id"),
-            pa.array([squeeze(ids) for ids, _ in found], pa.binary()),
-            pa.array([np.array(places, "<u4").tobytes() for _, places in found], pa.binary()),
-        ],
-        [*_ROW_KEY, "doc_id", "known", "gaps"],
-    )
+def _short(number: int) -> bytes:
+    """A number as one byte or two, or as a mark and four."""
+    if number < 1 << 12:
+        return bytes([number]) if number < 128 else bytes([128 | number >> 7, number & 127])
+    return struct.pack("<BI", 255, number)
 
 
-def _open_rows(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
-    repeat = [i for i, words in enumerate(found) for _ in words]
-    return pa.RecordBatch.from_arrays(
-        [
-            *(batch.column(c).take(pa.array(repeat, pa.int64())) for c in _ROW_KEY),
-            pa.array([i for words in found for i in range(len(words))], pa.int32()),
-            pa.array([w for words in found for w in words], pa.string()),
-        ],
-        [*_ROW_KEY, "place", "word"],
-    )
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of a word's place and ids as one value for each run of a row's key: place, length of the ids, and the ids."""
+    small = pa.array([_short(i) for i in range(1 << 12)], pa.binary())
 
+    def short(numbers: np.ndarray) -> pa.Array:
+        return small.take(pa.array(numbers)) if numbers.max() < len(small) else pa.array(map(_short, numbers.tolist()), pa.binary())
 
-def _filled(batch: pa.RecordBatch, kind: str) -> Iterator[list[int]]:
-    """Ids of each document, with the joined words put into their gaps."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k, h, places = (batch.column(c).to_numpy() for c in (*_ROW_KEY, "place"))
+        starts = np.concatenate([[0], np.flatnonzero((k[1:] != k[:-1]) | (h[1:] != h[:-1])) + 1])
+        ids = batch.column("ids").cast(pa.binary())
+        entries = pc.binary_join_element_wise(short(places), short(pc.binary_length(ids).to_numpy()), ids, b"")
+        runs = pa.ListArray.from_arrays(pa.array(np.append(starts, batch.num_rows), pa.int32()), entries)
+        yield pa.RecordBatch.from_arrays([pa.array(k[starts]), pa.array(h[starts]), pc.binary_join(runs, b"")], [*_ROW_KEY, "fill"])
+
+
+def _unpacked(values: list[bytes]) -> dict[int, bytes]:
+    """The ids by their places."""
+    found = {}
+    for value in values:
+        at = 0
+        while at < len(value):
+            numbers = []
+            for _ in range(2):
+                number = value[at]
+                if number == 255:
+                    number, at = struct.unpack_from("<I", value, at + 1)[0], at + 5
+                elif number > 127:
+                    number, at = (number & 127) << 7 | value[at + 1], at + 2
+                else:
+                    at += 1
+                numbers.append(number)
+            found[numbers[0]] = value[at : at + numbers[1]]
+            at += numbers[1]
+    return found
+
+
+def _filled(batch: pa.RecordBatch, kind: str, head: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For some documents at a time, in order: the ids of all, with the joined words in their gaps, and where each document's begin and end."""
     expand = zstandard.ZstdDecompressor().decompress
-    for known, gaps, fill in zip(batch.column("known").to_pylist(), batch.column("gaps").to_pylist(), batch.column("fill").to_pylist()):
-        known = expand(known)
-        if fill:
-            pieces, at = [], 0
-            for gap, ids in zip(np.frombuffer(gaps, "<u4").tolist(), fill):
-                pieces += [known[at:gap], ids]
-                at = gap
-            known = b"".join(pieces) + known[at:]
-        yield np.frombuffer(known, kind).tolist()
-
-
-def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str, doc_id: str, head_words: int) -> DataFrame:
-    """Per row: doc_id, known ids, their gaps, and ``fill``, the ids for the gaps in order."""
+    codes, fills, total = [], [], 0
+
+    def together() -> tuple[np.ndarray, np.ndarray]:
+        numbers, ends = read_codes(b"".join(codes))
+        of_words = np.searchsorted(ends, np.cumsum([0, *map(len, codes)]))
+        gaps = np.flatnonzero(numbers == 0)
+        if np.diff(np.searchsorted(gaps, of_words)).tolist() != list(map(len, fills)):
+            raise ValueError("a word was not found again for its gap")
+        numbers[gaps] = len(head) + np.arange(len(gaps))
+        words = [found[place] for found in fills for place in range(len(found))]
+        starts, ids = _take(pa.concat_arrays([head, pa.array(words, pa.large_binary())]), numbers)
+        width = np.dtype(kind).itemsize
+        return np.frombuffer(ids, kind, starts[-1] // width), starts[of_words] // width
+
+    for known, fill in zip(batch.column("known").to_pylist(), batch.column("fill").to_pylist()):
+        codes.append(expand(known))
+        fills.append(_unpacked(fill or []))
+        total += len(codes[-1])
+        if total > FLUSH_WORDS:
+            yield together()
+            codes, fills, total = [], [], 0
+    if codes:
+        yield together()
+
+
+def _take(table: pa.Array, places: np.ndarray) -> tuple[np.ndarray, memoryview]:
+    """The values of ``table`` at ``places``: where each begins, and the last ends, and all one after another."""
+    taken = table.take(pa.array(places))
+    if not len(taken):
+        return np.zeros(1, np.int64), memoryview(b"")
+    return np.frombuffer(taken.buffers()[1], "<i8")[: len(taken) + 1], memoryview(taken.buffers()[2] or b"")
+
+
+def _by_rank(values: dict[int, bytes]) -> pa.Array:
+    """The values at the places of their ranks."""
+    placed = [b""] * (max(values, default=-1) + 1)
+    for rank, value in values.items():
+        placed[rank] = value
+    return pa.array(placed, pa.large_binary())
+
+
+def _joined(table: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> Iterator[memoryview]:
+    """The values of each document's ids one after another."""
+    starts, values = _take(table, ids)
+    at = starts[bounds].tolist()
+    for start, end in zip(at, at[1:]):
+        yield values[start:end]
+
+
+def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str, doc_id: str, head_words: int):
+    """Per row: doc_id, its codes, its other words, and ``fill``, the ids for the gaps; and the ids of the head by number, sent to tasks."""
     spark = docs.sparkSession
     pattern = tiktoken_pattern(pattern)
     words = word_table(docs, ranks, pattern, text)
     reaches = F.floor(F.log2("n") * 16) >= head_cut(words, head_words)
-    head_table = words.where(reaches).select("word", "ids").toArrow()  # at most head_words rows
-    head = spark.sparkContext.broadcast(dict(zip(head_table.column("word").to_pylist(), head_table.column("ids").to_pylist())))
-    # A row is found again by its id, whether it has one, and 128 bits of hashes of its text: rows equal in all have equal ids.
-    body = text_of(text)
-    id_column = F.col(f"`{doc_id}`")
-    digest = [F.xxhash64(body).alias("h"), F.xxhash64(id_column.isNull(), body).alias("g")]
-    keyed = docs.select(F.coalesce(id_column.cast("bigint"), F.lit(0)).alias("k"), *digest, id_column.alias("doc_id"), body.alias("text"))
-    id_name = dict(keyed.dtypes)["doc_id"]
-    known = keyed.mapInArrow(_known(head, pattern), f"k bigint, h bigint, g bigint, doc_id {id_name}, known binary, gaps binary")
-    rest = keyed.mapInArrow(_open(head, pattern), "k bigint, h bigint, g bigint, place int, word string")
+    table = words.where(reaches).toArrow().sort_by([("n", "descending"), ("word", "ascending")])  # at most head_words rows
+    # Frequent words have short codes.
+    head = spark.sparkContext.broadcast(split_head(dict(zip(table.column("word").to_pylist(), word_codes(table.num_rows)))))
+    head_ids = spark.sparkContext.broadcast(pa.array([b"", *table.column("ids").to_pylist()], pa.large_binary()))
+    # A row is found again by its id and a hash of its text, and without an id by two: rows equal in both have equal ids.
+    body, id_column = text_of(text), F.col(f"`{doc_id}`")
+    key = [F.coalesce(id_column.cast("bigint"), F.xxhash64(body)).alias("k"), F.xxhash64(id_column.isNull(), body).alias("h")]
+    keyed = docs.select(*key, id_column.alias("doc_id"), body.alias("text"))
+    # Moved once and read twice: both sides take all columns, so Spark reuses the exchange and the texts are not cut again.
+    pieces = keyed.mapInArrow(_cut(head, pattern), f"k bigint, h bigint, doc_id {dict(keyed.dtypes)['doc_id']}, known binary, rest binary").repartition(*_ROW_KEY)
+    rest = pieces.mapInArrow(_open, "k bigint, h bigint, place int, word string")
     tail = words.where(~reaches).select("word", "ids")
-    filled = (
-        rest.join(tail, "word")
-        .groupBy("k", "h", "g")
-        .agg(F.sort_array(F.collect_set(F.struct("place", "ids"))).alias("fill"))
-        .select("k", "h", "g", F.col("fill.ids").alias("fill"))
-    )
-    return known.join(filled, ["k", "h", "g"], "left").select("doc_id", "known", "gaps", "fill")
+    met = rest.join(tail, "word").select(*_ROW_KEY, "place", "ids").sortWithinPartitions(*_ROW_KEY)
+    filled = met.mapInArrow(_packed, "k bigint, h bigint, fill binary").groupBy(*_ROW_KEY).agg(F.collect_list("fill").alias("fill"))
+    return pieces.join(filled, list(_ROW_KEY), "left").select("doc_id", "known", "rest", "fill"), head_ids
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", doc_id: str = "doc_id", head_words: int = HEAD_WORDS) -> DataFrame:
@@ -383,10 +473,13 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
 
     def run(batches):
         for batch in batches:
-            ids = pa.array([x for x in _filled(batch, kind)], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+            at = 0
+            for ids, bounds in _filled(batch, kind, head_ids.value):
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(lists)), lists], ["doc_id", "ids"])
+                at += len(lists)
 
-    frame = _encoded(docs, ranks, pattern, text, doc_id, head_words)
+    frame, head_ids = _encoded(docs, ranks, pattern, text, doc_id, head_words)
     return frame.mapInArrow(run, f"doc_id {dict(frame.dtypes)['doc_id']}, ids array<int>")
 
 
@@ -406,21 +499,20 @@ def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 def bpe_report(docs: DataFrame, ranks: dict[bytes, int], pattern: str, head_words: int = HEAD_WORDS) -> DataFrame:
     """Number of ids per document, the digest of the ids as text, and the digest of what they decode to."""
     kind = id_type(ranks)
-    table = docs.sparkSession.sparkContext.broadcast({rank: (str(rank), token) for token, rank in ranks.items()})
+    table = docs.sparkSession.sparkContext.broadcast((_by_rank({rank: b"%d," % rank for rank in ranks.values()}), _by_rank({rank: token for token, rank in ranks.items()})))
 
     def run(batches):
-        names = {rank: pair[0] for rank, pair in table.value.items()}
-        tokens = {rank: pair[1] for rank, pair in table.value.items()}
+        names, tokens = table.value
         for batch in batches:
             counts, listed, decoded = [], [], []
-            for ids in _filled(batch, kind):
-                counts.append(len(ids))
-                listed.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(b"".join(map(tokens.__getitem__, ids))).hexdigest())
+            for ids, bounds in _filled(batch, kind, head_ids.value):
+                counts += np.diff(bounds).tolist()
+                listed += [hashlib.sha256(part[:-1]).hexdigest() for part in _joined(names, ids, bounds)]
+                decoded += [hashlib.sha256(part).hexdigest() for part in _joined(tokens, ids, bounds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(listed, pa.string()), pa.array(decoded, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    frame = _encoded(docs, ranks, pattern, "text", "doc_id", head_words)
+    frame, head_ids = _encoded(docs, ranks, pattern, "text", "doc_id", head_words)
     return frame.mapInArrow(run, f"doc_id {dict(frame.dtypes)['doc_id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

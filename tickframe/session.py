@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +85,27 @@ def remove_folder(spark: SparkSession, path: str, inside: str) -> None:
     system.delete(target, True)
 
 
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Frames made and tables written in this block remove their shuffle files as soon as their action ends.
+
+    Otherwise Spark keeps the files of a finished query for as long as anything still refers to its plan. For frames
+    that are run once: a second action on the same frame has to make them anew.
+    """
+    before = spark.conf.get(_REMOVE_SHUFFLES, None)
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(_REMOVE_SHUFFLES, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once, so later steps see the same rows after an executor is lost."""
     shared_dir(df.sparkSession)

@@ -107,9 +107,14 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once, so later steps see the same rows after an executor is lost."""
+    """Write ``df`` to the shared folder once, so later steps see the same rows after an executor is lost.
+
+    The shuffle files made for it go with that; ``df`` itself can be used again.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_removed(df.sparkSession):
+        once = df.select("*")
+    return once.checkpoint(eager=True)
 
 
 # Rows of a join side that may be sent to every executor: some tens of megabytes of keys and numbers.

@@ -63,3 +63,13 @@ def test_near_misses_do_not_become_rows_of_the_join(spark):
     assert sum(i >= 40 and j < 80 for i, j in met) <= 0.1 * 40 * 39 / 2
     folded = frame.select(ngram_join._folded("bits").alias("bits")).collect()
     assert [list(r.bits) for r in folded] == [np.bitwise_xor.reduce(np.array(b).reshape(-1, ngram_join.FIRST_WORDS)).tolist() for b in bits]
+
+
+def test_shared_shingles_are_not_sent_to_the_driver(spark, monkeypatch):
+    """They grow with the documents; a table of them may be small enough to broadcast only where there are few."""
+    sent, keep = [], ngram_join.small_side
+    monkeypatch.setattr(ngram_join, "small_side", lambda df, *limit: sent.append(df.columns) or keep(df, *limit))
+    texts = [" ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(61)), "other words " * 3]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.component_id for r in ngram_join.similar_classes(frame).collect()) == [0, 0, 2]
+    assert sent and not [columns for columns in sent if "df" in columns]

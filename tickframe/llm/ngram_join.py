@@ -217,7 +217,8 @@ def _prefixes(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Da
         extra = extra.join(shared.select("token"), "token", "left_anti").withColumn("df", F.lit(1).cast("bigint"))
     live = cut_lineage(shared if extra is None else shared.unionByName(extra))
     sizes = classes.select("cid", "n", F.size("tokens").alias("held"))
-    own = postings.select("cid", "rank", "token").join(small_side(live), "token").join(sizes, "cid")
+    # Shared shingles grow with the documents, so they are never sent whole to the driver and every executor.
+    own = postings.select("cid", "rank", "token").join(live, "token").join(sizes, "cid")
     if full is not None:
         own = own.join(dense, "cid", "left_anti")
     found = own.select("cid", "n", "held", "rank", "token", "df")

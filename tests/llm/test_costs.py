@@ -1,6 +1,7 @@
 """What operators may not do again for every row, pair or word, with results against plain Python."""
 
 import os
+import re
 import sys
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from tickframe.llm import ngram_join, quality  # noqa: E402
+from tickframe.llm import line_dedup, ngram_join, quality  # noqa: E402
 
 ODD = [
     None,
@@ -73,3 +74,17 @@ def test_shared_shingles_are_not_sent_to_the_driver(spark, monkeypatch):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r.component_id for r in ngram_join.similar_classes(frame).collect()) == [0, 0, 2]
     assert sent and not [columns for columns in sent if "df" in columns]
+
+
+def test_lines_do_not_carry_their_text(spark, monkeypatch):
+    """What is made of the whole text is made once for each row, before its lines are."""
+    plans = []
+    for name in ("cut_lineage", "small_side"):
+        keep = getattr(line_dedup, name)
+        monkeypatch.setattr(line_dedup, name, lambda df, keep=keep: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    texts = [f"Shared line\nown {i}\n\n shared LINE\t" for i in range(12)] + [None, "", "\n"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = sorted(map(tuple, line_dedup.line_report(frame).select("doc_id", "n_lines", "n_dropped").collect()))
+    assert got == [(i, 4, 2) for i in range(12)] + [(12, 1, 0), (13, 1, 0), (14, 2, 0)]
+    carried = [held for plan in plans for held in re.findall(r"\[([^\[\]]*)\], (?:true|false), \[", plan)]
+    assert len(carried) >= 2 and not [held for held in carried if "text" in held]

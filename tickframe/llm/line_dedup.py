@@ -83,15 +83,25 @@ class LineRuns:
         self._drop(self.tables())
 
 
+def _line_keys(docs: DataFrame, keys: Column, text: str, doc_id: str, batches: int) -> DataFrame:
+    """``batch`` and ``key`` of each distinct line key of every row."""
+    # The batch is made before the lines, else every line would carry its whole text and measure it again.
+    batch = F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.length(text_of(text))), F.lit(batches)).cast("int")
+    held = docs.select(batch.alias("batch"), F.array_distinct(keys).alias("lines"))
+    return held.select("batch", F.explode_outer("lines").alias("line")).where("line IS NOT NULL").select("batch", _digest(F.col("line")).alias("key"))
+
+
+def _line_places(docs: DataFrame, text: str) -> DataFrame:
+    """``of``, the digest of the text, ``place`` and ``key`` of all lines; the digest is made once for each row."""
+    held = docs.select(_digest(text_of(text)).alias("of"), _lowered_lines(text).alias("lines"))
+    return held.select("of", F.posexplode_outer("lines").alias("place", "line")).select("of", "place", _digest(line_key(F.col("line"))).alias("key"))
+
+
 def frequent_lines(docs: DataFrame, text: str, doc_id: str, min_docs: int, min_chars: int, batches: int) -> DataFrame:
     """Digests of the line keys that at least ``min_docs`` documents hold."""
     spark = docs.sparkSession
     keys = F.filter(F.transform(_lowered_lines(text), line_key), lambda k: F.length(k) >= min_chars)
-    own = docs.select(
-        F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.length(text_of(text))), F.lit(batches)).cast("int").alias("batch"),
-        F.explode(F.array_distinct(keys)).alias("line"),
-    ).select("batch", _digest(F.col("line")).alias("key"))
-    staged = cut_lineage(own.groupBy("batch", "key").agg(F.count(F.lit(1)).alias("docs")))
+    staged = cut_lineage(_line_keys(docs, keys, text, doc_id, batches).groupBy("batch", "key").agg(F.count(F.lit(1)).alias("docs")))
     runs = LineRuns(spark, min_docs, int(spark.conf.get("spark.sql.shuffle.partitions")))
     try:
         for batch in range(batches):
@@ -112,10 +122,7 @@ def drop_frequent_lines(
     """
     frequent = frequent_lines(docs, text, doc_id, min_docs, min_chars, batches)
     # Which lines go depends on the text alone, so places are gathered and joined by the text's digest.
-    places = docs.select(_digest(text_of(text)).alias("of"), F.posexplode(_lowered_lines(text)).alias("place", "line")).select(
-        "of", "place", _digest(line_key(F.col("line"))).alias("key")
-    )
-    hits = places.join(small_side(frequent), "key", "left_semi").groupBy("of").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    hits = _line_places(docs, text).join(small_side(frequent), "key", "left_semi").groupBy("of").agg(F.sort_array(F.collect_set("place")).alias("places"))
     of, gone = own_name(docs, "of_text"), own_name(docs, "gone_places")
     hits = small_side(hits.toDF(of, gone))
     kept = [c for c in docs.columns if c not in ("line_count", "line_drops")]

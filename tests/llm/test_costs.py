@@ -88,3 +88,17 @@ def test_lines_do_not_carry_their_text(spark, monkeypatch):
     assert got == [(i, 4, 2) for i in range(12)] + [(12, 1, 0), (13, 1, 0), (14, 2, 0)]
     carried = [held for plan in plans for held in re.findall(r"\[([^\[\]]*)\], (?:true|false), \[", plan)]
     assert len(carried) >= 2 and not [held for held in carried if "text" in held]
+
+
+def test_pipeline_hands_small_batches_to_python(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    import pyarrow as pa
+
+    def sizes(spark, docs, sf_dir):
+        return docs.mapInArrow(lambda batches: (pa.record_batch([pa.array([b.num_rows], pa.int64())], ["doc_id"]) for b in batches), "doc_id bigint")
+
+    spark.range(2500).toDF("doc_id").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", sizes)])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == [500, 1000, 1000]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before

@@ -106,6 +106,23 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_REMOVE_SHUFFLES, before)
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Actions in this block hand at most ``rows`` rows at once to Python and back.
+
+    With whole texts the default of 10,000 is a batch of a hundred megabytes, held on both sides of every task.
+    """
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once, so later steps see the same rows after an executor is lost.
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from tickframe.llm import line_dedup, ngram_join, quality  # noqa: E402
+from tickframe import session  # noqa: E402
+from tickframe.llm import graph, line_dedup, ngram_join, quality  # noqa: E402
 
 ODD = [
     None,
@@ -76,6 +77,41 @@ def test_shared_shingles_are_not_sent_to_the_driver(spark, monkeypatch):
     assert sent and not [columns for columns in sent if "df" in columns]
 
 
+def jobs_of(spark, name, run):
+    """The result of ``run``, and how many jobs and tasks it took."""
+    context = spark.sparkContext
+    context.setJobGroup(name, name)
+    try:
+        result = run()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    tracker = context.statusTracker()
+    jobs = tracker.getJobIdsForGroup(name)
+    stages = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+    return result, len(jobs), sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+
+
+def test_rounds_over_a_small_graph_take_few_tasks(spark):
+    """Rounds were dealt over all partitions however small the graph (42 tasks here), and a job of its own compared them."""
+    edges = spark.createDataFrame([(2 * i + 1, 2 * i) for i in range(300)] + [(1, 3)], "a bigint, b bigint")
+    got, _, tasks = jobs_of(spark, "components", lambda: {r.node: r.label for r in graph.components(edges).collect()})
+    assert got == {n: 0 if n < 4 else n - n % 2 for n in range(600)}
+    assert tasks < 40
+
+
+def test_rows_are_counted_while_they_are_written(spark):
+    rows = spark.range(1000).where("id % 10 = 0")
+    _, cut, _ = jobs_of(spark, "cut", lambda: session.cut_lineage(rows))
+    small, jobs, _ = jobs_of(spark, "small", lambda: session.small_side(rows))
+    assert jobs == cut
+    large, _, _ = jobs_of(spark, "large", lambda: session.small_side(rows, 99))
+    hinted = ["ResolvedHint" in f._jdf.queryExecution().analyzed().toString() for f in (small, large)]
+    assert hinted == [True, False] and small.count() == large.count() == 100
+    empty, measured = session.cut_and_measure(rows.where("id < 0"), rows=F.count(F.lit(1)), most=F.max("id"))
+    assert measured == {"rows": 0, "most": None} and not empty.count()
+
+
 def test_lines_do_not_carry_their_text(spark, monkeypatch):
     """What is made of the whole text is made once for each row, before its lines are."""
     plans = []

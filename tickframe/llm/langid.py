@@ -199,7 +199,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     buckets, counts = (got.column(name).combine_chunks() for name in ("buckets", "counts"))
     flat = [x.flatten().to_numpy() if len(x) else np.zeros(0, np.int32) for x in (buckets, counts)]
     starts = np.asarray(buckets.offsets).astype(np.int64) if len(buckets) else np.zeros(1, np.int64)
-    return train(Samples(got.column("language").to_pylist(), starts - starts[0], *flat))
+    model = train(Samples(got.column("language").to_pylist(), starts - starts[0], *flat))
+    # The sample's memory goes back, else Arrow keeps it for as long as the driver runs.
+    del got, buckets, counts, flat
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tickframe.llm.common import WORD, ascii_lower, free_finished, let, own_name, text_of, words_of
 from tickframe.llm.graph import components
-from tickframe.session import cut_lineage, small_side
+from tickframe.session import cut_and_measure, cut_lineage, small_side
 
 WIDTH = 5
 PERCENT = 80
@@ -140,7 +140,7 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
     free_finished(docs.sparkSession)
     lists = prefixes.select("cid", "n", "l", "central", _folded("bits").alias("bits"), F.inline("prefix")).withColumn("label", F.col("cid"))
     rows = lists.count()
-    links, labels, before, number = None, None, None, 0
+    labels, before, number = None, None, 0
     while True:
         # After the most central classes, pivots are any of a list, the same in lists of the same classes.
         order = F.xxhash64("cid", F.lit(number)).alias("order") if number else F.col("central").alias("order")
@@ -148,12 +148,13 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
         first_of = [F.max(F.when(F.pmod(F.hash("cid"), F.lit(n_pivots)) == i, member)) for i in range(n_pivots)]
         words = SKETCH_WORDS if number else FIRST_WORDS
         # Lists of one component are settled and left out.
-        pivots = cut_lineage(
+        pivots, measured = cut_and_measure(
             lists.groupBy("token").agg(
                 F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.array_compact(F.array(*first_of)).alias("pivots")
-            ).where("low < high").select("token", "df", "pivots")
+            ).where("low < high").select("token", "df", "pivots"),
+            rows=F.count(F.lit(1)),
         )
-        if not pivots.limit(1).count():
+        if not measured["rows"]:
             break
         free_finished(docs.sparkSession)
         last = False
@@ -176,8 +177,8 @@ def _linked(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> Data
             close = _enough_shared(cut_lineage(near), prefixes)
         free_finished(docs.sparkSession)
         found = _verified(close, docs, text, doc_id)
-        links = cut_lineage(found if links is None else links.union(found))
-        labels = cut_lineage(components(links).toDF("cid", "new_label"))
+        # The components so far stand for the links they were made of.
+        labels = cut_lineage(components(found if labels is None else found.union(labels)).toDF("cid", "new_label"))
         free_finished(docs.sparkSession)
         if last:
             break

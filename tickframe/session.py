@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _DEFAULTS = {
@@ -134,6 +134,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return once.checkpoint(eager=True)
 
 
+def cut_and_measure(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+    """``cut_lineage(df)`` and aggregates of its rows, taken while they are written and not by a job of their own."""
+    observed = Observation()
+    cut = cut_lineage(df.observe(observed, *[measure.alias(name) for name, measure in measures.items()]))
+    return cut, {name: observed.get[name] for name in measures}
+
+
 # Rows of a join side that may be sent to every executor: some tens of megabytes of keys and numbers.
 BROADCAST_ROWS = 500_000
 
@@ -144,5 +151,5 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     Spark cannot foresee the size of a derived table and would start to shuffle the large side before it is known.
     Larger tables are joined by shuffle.
     """
-    written = cut_lineage(df)
-    return F.broadcast(written) if written.limit(max_rows + 1).count() <= max_rows else written
+    written, measured = cut_and_measure(df, rows=F.count(F.lit(1)))
+    return F.broadcast(written) if measured["rows"] <= max_rows else written
